@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_SECTIONS = ("features",)
+_SECTIONS = ("datasets", "features", "rules", "evaluation")
 
 
 def _load() -> None:

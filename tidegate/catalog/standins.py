@@ -163,3 +163,34 @@ def bucket_sql(expr: str, buckets: int = 100) -> str:
 
 def bucket(expr: F.Column, buckets: int = 100) -> F.Column:
     return md5_bucket([expr], buckets).cast("long")
+
+
+# ---- batch star table and scored table over orders ----------------------------
+
+BAND_CASE = "CASE WHEN {b} < 60 THEN 'LOW' WHEN {b} < 80 THEN 'POSSIBLE' WHEN {b} < 95 THEN 'LIKELY' ELSE 'ODD' END"
+
+
+def _spark_bucket(expr: str, buckets: int) -> str:
+    return f"(CAST(conv(substring(md5(CAST({expr} AS STRING)), 1, 8), 16, 10) AS BIGINT) % {buckets})"
+
+
+def scored_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a scored table: tied scores, bands, outcome and maturity labels."""
+    band = BAND_CASE.format(b=_spark_bucket("'band' || CAST(o_orderkey AS STRING)", 100))
+    return table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "o_totalprice AS loan_amount", "o_orderdate AS feature_as_of_ts", "o_orderpriority",
+        "IF(o_orderstatus = 'F', 1, 0) AS is_fraud", f"{_spark_bucket('o_orderkey', 1000)} / 1000.0D AS score",
+        f"{band} AS heuristic_fraud_band", "IF(o_orderpriority IN ('1-URGENT', '2-HIGH'), 1, 0) AS label_gross_dpd45",
+        "IF(o_orderstatus = 'O', 1, 0) AS label_repaid_current_snapshot",
+        "IF(o_orderkey % 10 <> 0, 1, 0) AS label_mature_d45")
+
+
+SCORED_SQL = f"""
+scored AS (
+  SELECT o_orderkey, o_custkey, o_totalprice AS loan_amount, o_orderdate AS feature_as_of_ts, o_orderpriority,
+         CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_fraud, {bucket_sql('o_orderkey', 1000)} / 1000.0::DOUBLE AS score,
+         {BAND_CASE.format(b=bucket_sql("'band' || CAST(o_orderkey AS VARCHAR)", 100))} AS heuristic_fraud_band,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS label_gross_dpd45,
+         CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS label_repaid_current_snapshot,
+         CASE WHEN o_orderkey % 10 <> 0 THEN 1 ELSE 0 END AS label_mature_d45
+  FROM orders)"""

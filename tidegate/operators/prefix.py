@@ -88,13 +88,16 @@ def fold_until(
     both = changes.selectExpr(*keys, POS, *[f.name for f in folds], f"0 AS {READ}").unionByName(
         reads.selectExpr(*keys, POS, f"1 AS {READ}"), allowMissingColumns=True)
     aggs = [f"{f.aggregate} AS {f.name}" for f in folds]
-    points = _grouped(both.selectExpr("*", f"{bucket} AS {BUCKET}"), [*keys, BUCKET, POS],
-                      [*aggs, f"max({READ}) AS {READ}"])
+    present = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, BUCKET])
+    # The carry and the local fold read the same shuffles: both keep every column
+    # and no branch-specific null filter, so Spark plans those exchanges once.
+    points = _grouped(both.selectExpr("*", f"{bucket} AS {BUCKET}").filter(present), [*keys, BUCKET, POS],
+                      [*aggs, f"max({READ}) AS {READ}"]).repartition(*keys, BUCKET)
     along = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {BUCKET} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     carry = (
-        _grouped(points, [*keys, BUCKET], [*aggs, f"max({READ}) AS {READ}"])
-        .selectExpr(*keys, BUCKET, READ, *[f"{f.aggregate} {along} AS __carry_{f.name}" for f in folds])
-        .filter(f"{READ} = 1").drop(READ)
+        _grouped(points, [*keys, BUCKET], [*aggs, f"max({READ}) AS {READ}", f"max({POS}) AS __last"])
+        .selectExpr(*keys, BUCKET, READ, "__last", *[f"{f.aggregate} {along} AS __carry_{f.name}" for f in folds])
+        .filter(f"{READ} = 1 AND __last IS NOT NULL").drop(READ, "__last")
     )
     inside = f"OVER (PARTITION BY {group} ORDER BY {POS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     local = points.selectExpr(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -59,3 +60,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def share(df: DataFrame) -> DataFrame:
     """Keep a frame several branches of one job read; spills to disk, recomputes if lost."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder on the storage all executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
