@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-RECORD = "_record.json"
+RECORD = "record.json"
 
 
 def _fs_path(spark: SparkSession, path: str):
