@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_SECTIONS = ("datasets", "features", "rules", "evaluation", "graphs")
+_SECTIONS = ("datasets", "features", "rules", "evaluation", "graphs", "discovery")
 
 
 def _load() -> None:

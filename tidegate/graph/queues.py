@@ -11,6 +11,7 @@ from tidegate.functions import clock
 from tidegate.graph.components import census, vertex_components
 from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, RING_CAP, TS, view
 from tidegate.graph.traverse import entity_stats, near_flagged, project_users
+from tidegate.operators.quantiles import exact_quantiles
 from tidegate.plans.rules import Rule, any_flag
 from tidegate.session import share
 
@@ -92,8 +93,8 @@ def user_truth(advances: DataFrame, rules: Sequence[Rule], *, start: str | None
 def pooled_rates(truth: DataFrame, members: DataFrame | None = None, groups: Mapping[str, str] | None = None) -> DataFrame:
     """Users and outcome rates for the pool, its early and late halves (by median first time) and the unflagged cut."""
     timed = truth.withColumn("__m", F.expr(clock.wall_micros("first_ts")))
-    middle = timed.agg(F.expr("percentile(__m, 0.5)").alias("mid"))
-    rows = timed.crossJoin(F.broadcast(middle))  # one row
+    middle = exact_quantiles(timed, ["__m"], [0.5])["__m"][0]
+    rows = timed.withColumn("mid", F.lit(middle))
     if members is not None:
         rows = rows.join(members.select("user_id").distinct(), "user_id", "left_semi")
     groups = groups or {"pool": "true", "early": "__m <= mid", "late": "__m > mid", "residual": "NOT scen"}

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from tidegate.operators.quantiles import exact_quantiles
 from tidegate.operators.schema import logical_type
 from tidegate.session import share
 
@@ -199,12 +200,16 @@ def datetime_review(df: DataFrame, as_of: str) -> DataFrame:
 def outlier_scan(df: DataFrame, columns: Sequence[str] | None = None, *, approximate: bool = False) -> DataFrame:
     """Quantiles of each numeric column: exact with linear interpolation, or sketched on request."""
     columns = list(columns or [f.name for f in df.schema if isinstance(f.dataType, NumericType)])
-    points = ", ".join(str(q) for q in QUANTILES)
-    fn = "percentile_approx(CAST(`{c}` AS DOUBLE), array({p}), 100000)" if approximate else "percentile(`{c}`, array({p}))"
-    wide = df.agg(*[F.expr(fn.format(c=c, p=points)).alias(f"q{i}") for i, c in enumerate(columns)])
-    cells = ", ".join(f"'{c}', q{i}" for i, c in enumerate(columns))
-    return wide.selectExpr(f"stack({len(columns)}, {cells}) AS (column, q)").selectExpr(
-        "column", *[f"q[{i}] AS `q{str(q).replace('.', '_')}`" for i, q in enumerate(QUANTILES)])
+    if approximate:
+        points = ", ".join(str(q) for q in QUANTILES)
+        row = df.agg(*[F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({points}), 100000)") for c in columns]).first()
+        found = {c: list(row[i] or [None] * len(QUANTILES)) for i, c in enumerate(columns)}
+    else:
+        found = exact_quantiles(df, columns, QUANTILES)
+    names = [f"q{str(q).replace('.', '_')}" for q in QUANTILES]
+    # One row per column of the input.
+    return df.sparkSession.createDataFrame(
+        [(c, *found[c]) for c in columns], "column string, " + ", ".join(f"{n} double" for n in names))
 
 
 def profile_diff(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from tidegate.operators import ranking
 from tidegate.operators.keys import check_unique_key
 from tidegate.plans.rules import Rule, residual
 from tidegate.session import share
+from tidegate.sources import writers
 
 DEPTHS = (0.005, 0.01, 0.05)
 EPSILON = 2.220446049250313e-16  # double precision machine epsilon
@@ -213,3 +214,23 @@ def score_parity(left: DataFrame, right: DataFrame, key: Sequence[str], score: s
         F.expr("max(abs(a - b))").alias("max_abs_diff"),
     ).selectExpr("*", f"n_left = n_right AND coalesce(max_abs_diff, 0D) <= {tolerance!r}D AS matches")
 
+
+
+# ---- batch evaluation -----------------------------------------------------------
+
+def evaluate(df: DataFrame, score: Callable[[DataFrame], DataFrame], spec: EvalSpec, folder: str, key: Sequence[str],
+             label: str) -> dict[str, list[dict]]:
+    """Score, write the predictions, compute the metrics, record them under ``label``.
+
+    A label already evaluated in ``folder`` is read back instead of recomputed.
+    Metrics read the written predictions, so scoring runs once.
+    """
+    spark, key = df.sparkSession, list(key)
+    place = f"{folder}/{label}"
+    if writers.exists(spark, f"{place}/{writers.RECORD}") and writers.exists(spark, f"{place}/metrics/{writers.RECORD}"):
+        return writers.read_record(spark, f"{place}/metrics")
+    writers.write_predictions(score(df), place, key, label)
+    predictions, _ = writers.load_predictions(spark, place)
+    metrics = spec.evaluate(share(df.drop("y_pred").join(predictions, key)))
+    writers.write_record(spark, f"{place}/metrics", metrics)
+    return metrics
