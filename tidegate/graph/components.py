@@ -9,14 +9,15 @@ from tidegate.session import cut_lineage, share
 
 
 def _large_star(links: DataFrame) -> DataFrame:
+    """Larger neighbours of every vertex move to the smallest vertex it knows."""
     both = links.unionByName(links.selectExpr("dst AS src", "src AS dst"))
     lowest = both.groupBy("src").agg(F.min("dst").alias("m")).selectExpr("src", "least(src, m) AS low")
-    return both.filter("dst > src").join(lowest, "src").selectExpr("dst AS src", "low AS dst").filter(
-        "src <> dst").distinct()
+    return both.filter("dst > src").join(lowest, "src").selectExpr("dst AS src", "low AS dst")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    down = links.selectExpr("greatest(src, dst) AS src", "least(src, dst) AS dst").filter("src <> dst").distinct()
+    """Smaller neighbours of every vertex, and the vertex, move to the smallest of them."""
+    down = links.selectExpr("greatest(src, dst) AS src", "least(src, dst) AS dst").filter("src <> dst")
     lowest = down.groupBy("src").agg(F.min("dst").alias("low"))
     hung = down.join(lowest, "src").selectExpr("dst AS src", "low AS dst")
     return hung.unionByName(lowest.selectExpr("src", "low AS dst")).filter("src <> dst").distinct()

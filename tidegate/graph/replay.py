@@ -16,8 +16,11 @@ Only units of bounded size reach a task as a group.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -28,6 +31,7 @@ from tidegate.session import cut_lineage
 
 # Rows (event x entity) a single task replays at once; larger units are halved.
 UNIT_ROWS = 500_000
+PACK_ROWS = 50_000
 _BASE = -1  # position of rows that carry the state a unit starts from
 _COLUMNS = ("unit", "o", "is_read", "advance_id", "user_v", "ent_v", "bit", "adds", "du", "ds")
 _RESULT = "advance_id string, comp_users long, comp_types int, nb_comp long"
@@ -118,11 +122,12 @@ def _replay_units(rows: DataFrame, unit_rows: int) -> DataFrame:
             break
         done.append(rows.join(big.select("unit"), "unit", "left_anti"))
         rows = _halve(rows.join(big, "unit"))
-    out = None
-    for part in done:
-        result = part.groupBy("unit").applyInPandas(_replay, _RESULT)
-        out = result if out is None else out.unionByName(result)
-    return out
+    whole = reduce(DataFrame.unionByName, done)
+    # Most units are tiny: whole units are packed together so that a task call
+    # replays about PACK_ROWS rows, never more than a few units' worth beyond it.
+    packs = max(1, -(-whole.count() // PACK_ROWS))
+    packed = whole.withColumn("pack", F.pmod(F.xxhash64("unit"), F.lit(packs)))
+    return packed.groupBy("pack").applyInPandas(_replay_pack, _RESULT)
 
 
 def _halve(rows: DataFrame) -> DataFrame:
@@ -156,7 +161,17 @@ def _halve(rows: DataFrame) -> DataFrame:
     return _into_units(cut_lineage(halves))
 
 
-def _replay(rows: pd.DataFrame) -> pd.DataFrame:
+def _replay_pack(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values(["unit", "o"], kind="stable")
+    starts = np.flatnonzero(np.r_[True, rows["unit"].to_numpy()[1:] != rows["unit"].to_numpy()[:-1]])
+    lines = list(rows.itertuples(index=False))
+    results = []
+    for a, b in zip(starts, [*starts[1:], len(lines)]):
+        results += _replay(lines[a:b])
+    return pd.DataFrame(results, columns=["advance_id", "comp_users", "comp_types", "nb_comp"])
+
+
+def _replay(lines: list) -> list[tuple]:
     """Walk one unit's events in order over a disjoint-set forest."""
     parent: dict[str, str] = {}
     totals: dict[str, list[int]] = {}  # root -> [users, seeds, type bits]
@@ -182,7 +197,8 @@ def _replay(rows: pd.DataFrame) -> pd.DataFrame:
             totals[a] = [ta[0] + tb[0], ta[1] + tb[1], ta[2] | tb[2]]
 
     results = []
-    for _, event in _events(rows):
+    for _, group in groupby(lines, key=lambda r: r.o):
+        event = list(group)
         first = event[0]
         user, ents = first.user_v, [(r.ent_v, int(r.bit)) for r in event if r.ent_v is not None]
         if first.o == _BASE:
@@ -208,18 +224,4 @@ def _replay(rows: pd.DataFrame) -> pd.DataFrame:
         t = totals[root(user)]
         t[0] += int(first.du)
         t[1] += int(first.ds)
-    return pd.DataFrame(results, columns=["advance_id", "comp_users", "comp_types", "nb_comp"])
-
-
-def _events(rows: pd.DataFrame) -> Iterator[tuple[int, list]]:
-    """Rows of one position at a time, in order."""
-    rows = rows.sort_values("o", kind="stable")
-    current, event = None, []
-    for r in rows.itertuples(index=False):
-        if r.o != current and event:
-            yield current, event
-            event = []
-        current = r.o
-        event.append(r)
-    if event:
-        yield current, event
+    return results

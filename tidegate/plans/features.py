@@ -10,7 +10,7 @@ from tidegate.functions import clock, risk, text
 from tidegate.operators import bands
 from tidegate.operators.latest import account_candidates, best_row, latest_rows
 from tidegate.operators.prefix import POS, AsOf, asof_features, attach
-from tidegate.session import share
+from tidegate.session import cut_lineage
 
 TS = "feature_as_of_ts"
 BANK = "bank_account_key"
@@ -109,12 +109,12 @@ def build_features(inputs: Inputs, *, output_start: str | None = None) -> DataFr
 
     Families that share a key are folded together on distinct (key, time) read
     points and joined back; nothing joins anchors to history rows. The frames
-    every family reads are kept once.
+    every family reads are written once, which also keeps the remaining plan small.
     """
-    identities = share(one_identity_per_user(inputs.identity_rows, inputs.identity_tie))
-    links = share(account_links(inputs.link_rows, identities))
-    advances, metadata = share(inputs.advances), inputs.metadata
-    history = share(account_candidates(advances, links))
+    identities = cut_lineage(one_identity_per_user(inputs.identity_rows, inputs.identity_tie))
+    links = cut_lineage(account_links(inputs.link_rows, identities))
+    advances, metadata = inputs.advances, inputs.metadata
+    history = cut_lineage(account_candidates(advances, links))
     anchors, candidates = advances, history
     if output_start is not None:
         start = f"{TS} >= timestamp_ntz'{output_start}'"
@@ -138,7 +138,7 @@ def build_features(inputs: Inputs, *, output_start: str | None = None) -> DataFr
     attributes = identity_attributes(identities)
 
     # Advance grain first (narrow, one row per advance), then the candidate grain.
-    per_advance = share(attach(anchors.select("advance_id", "user_id", TS), user, "user_id", TS))
+    per_advance = cut_lineage(attach(anchors.select("advance_id", "user_id", TS), user, "user_id", TS))
     on_device = asof_features(per_advance, "known_device_id", TS, [bands.shared_users(
         device_links(metadata, identities).withColumnRenamed("device_id", "known_device_id"), "known_device_id",
         link_ts="device_valid_from", identity_ts="identity_created_time", bands=bands.SHORT_BANDS,
