@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tidegate.catalog import rules as RC
 from tidegate.catalog import standins as S
 from tidegate.catalog.registry import query
+from tidegate.functions.predicates import where
 from tidegate.operators.latest import first_in_group
 from tidegate.plans import evaluation as E, rules as R
+from tidegate.plans.dataset import load_nonempty
 
 KEY = "o_orderkey"
 FRAUD = "is_fraud = 1"
@@ -83,6 +85,12 @@ def f8(spark, sf):
     return E.admit_augmentation(S.scored_orders(spark, sf).filter("label_mature_d45 = 1"), _side(spark, sf), [KEY])
 
 
+@query("f11_evaluation_slice", SCORED + "SELECT o_orderkey, score FROM scored WHERE label_mature_d45 = 1 AND score >= 0.5")
+def f11(spark, sf):
+    return load_nonempty(S.scored_orders(spark, sf), (where("label_mature_d45") == 1) & (where("score") >= 0.5)).select(
+        KEY, "score")
+
+
 def _depth_sql(y, w="true", depths=DEPTHS, source="scored", key=KEY):
     parts = " UNION ALL ".join(
         f"""SELECT {d}::DOUBLE AS depth, k AS n_reviewed, tp AS true_positives, tp / k::DOUBLE AS precision,

@@ -18,7 +18,7 @@ TS = "feature_as_of_ts"
 
 def inputs(spark, sf):
     return P.Inputs(S.advances(spark, sf), S.identity_rows(spark, sf), S.link_rows(spark, sf),
-                    S.metadata_rows(spark, sf), identity_tie="identity_seq")
+                    S.metadata_rows(spark, sf), S.kyc_rows(spark, sf), S.user_rows(spark, sf), identity_tie="identity_seq")
 
 
 def identities(spark, sf):
@@ -153,6 +153,7 @@ prior_velocity AS (
     for b, n in (("24h", 24), ("72h", 72), ("7d", 168), ("30d", 720))) + f""",
          sum(CASE WHEN {_PRIOR.format(720)} THEN p.loan_amount::DECIMAL(18,4) ELSE 0 END)::DOUBLE AS prior_loan_amount_sum_30d,
          sum(CASE WHEN {_PRIOR.format(720)} THEN p.loan_amount::DECIMAL(18,4) END)::DOUBLE / nullif(count(CASE WHEN {_PRIOR.format(720)} THEN p.loan_amount END), 0) AS prior_loan_amount_avg_30d,
+         sum(CASE WHEN {_PRIOR.format(720)} THEN p.total_disbursed::DECIMAL(18,4) ELSE 0 END)::DOUBLE AS prior_total_disbursed_sum_30d,
          max(p.feature_as_of_ts) AS previous_advance_on_account_ts,
          date_diff('hour', max(p.feature_as_of_ts), a.feature_as_of_ts) AS hours_since_previous_advance_on_account,
          date_diff('day', min(p.feature_as_of_ts), max(p.feature_as_of_ts)) AS prior_advance_days_span,
@@ -165,7 +166,9 @@ prior_velocity AS (
 @query("d9_prior_event_velocity", S.ctes(*S.BASE, PRIOR_SQL) + "SELECT * FROM prior_velocity")
 def d9(spark, sf):
     return on_account(spark, sf, lambda c: [bands.prior_events(
-        c, "bank_account_key", event_ts=TS, amounts={"loan_amount": "loan_amount"})]).drop(TS)
+        c, "bank_account_key", event_ts=TS,
+        amounts={"loan_amount": "loan_amount", "total_disbursed": "total_disbursed"})]).drop(
+        TS, "prior_total_disbursed_avg_30d")
 
 
 GAP_SQL = """
@@ -375,7 +378,7 @@ def d21(spark, sf):
 
 SCORE_SQL = """
 scored AS (
-  SELECT c.*, b.users_on_bank_account_lifetime_asof, b.users_on_bank_account_72h, p.prior_advances_on_bank_account_30d,
+  SELECT c.*, p.prior_total_disbursed_sum_30d, b.users_on_bank_account_lifetime_asof, b.users_on_bank_account_72h, p.prior_advances_on_bank_account_30d,
          p.prior_advances_on_bank_account_7d, p.prior_advances_on_bank_account_lifetime, n.network_score_asof, n.network_label,
          date_diff('day', c.link_created_at, c.feature_as_of_ts) AS days_since_link_created,
          least(100,
@@ -426,14 +429,21 @@ STAR_COLUMNS = (
     "users_on_email_72h", "users_on_phone_7d", "users_on_address_30d", "users_on_device_id_72h",
     "prior_advances_on_bank_account_7d", "prior_advances_on_bank_account_lifetime",
     "prior_min_hours_between_advances_on_account", "network_score_asof", "network_label", "heuristic_fraud_score",
-    "heuristic_fraud_band", "device_id", "ip_address", "days_since_link_created",
+    "heuristic_fraud_band", "device_id", "ip_address", "days_since_link_created", "total_disbursed",
+    "prior_total_disbursed_sum_30d", "kyc_id", "kyc_decision", "has_kyc", "hours_since_kyc_created", "acquisition_channel",
+    "signup_ip_matches_latest_ip", "name_match_first", "days_between_identity_and_link_creation", "origination_hour", "is_joint",
 )
 
 STAR_SQL = S.ctes(*FEATURE_CTES, GAP_SQL, PERSISTENT_SQL, ATTRIBUTES_SQL, SHARING_SQL, DEVICE_USERS_SQL, """
 latest_meta AS (
   SELECT * FROM (SELECT a.advance_id, m.device_id, m.ip_address, row_number() OVER (PARTITION BY a.advance_id
     ORDER BY m.valid_from DESC NULLS LAST, m.device_id DESC NULLS LAST, m.ip_address DESC NULLS LAST) AS rn
-  FROM advances a LEFT JOIN metadata m ON a.user_id = m.user_id AND m.valid_from <= a.feature_as_of_ts) WHERE rn = 1)""")
+  FROM advances a LEFT JOIN metadata m ON a.user_id = m.user_id AND m.valid_from <= a.feature_as_of_ts) WHERE rn = 1)""", """
+latest_kyc AS (
+  SELECT * FROM (SELECT a.advance_id, e.event_id AS kyc_id, e.ts AS kyc_created_at, CASE WHEN e.k % 2 = 0 THEN 'ACCEPT' WHEN e.k IS NOT NULL THEN 'REJECT' END AS kyc_decision,
+    row_number() OVER (PARTITION BY a.advance_id ORDER BY e.ts DESC NULLS LAST, e.event_id DESC NULLS LAST) AS rn
+  FROM advances a LEFT JOIN (SELECT * FROM ev WHERE event_type = 'error') e ON a.user_id = e.user_id AND e.ts <= a.feature_as_of_ts) WHERE rn = 1),
+user_dims AS (SELECT user_id, 'c' || (min(event_id) % 5)::VARCHAR AS acquisition_channel, '10.0.0.' || (user_id % 40)::VARCHAR AS signup_ip FROM ev GROUP BY 1)""")
 
 
 @query("d18_star_assembly", STAR_SQL + """
@@ -443,13 +453,21 @@ SELECT s.advance_id, s.user_id, s.feature_as_of_ts, s.bank_account_key, s.loan_a
        coalesce(g.users_on_address_30d, 0) AS users_on_address_30d, coalesce(d.users_on_device_id_72h, 0) AS users_on_device_id_72h,
        s.prior_advances_on_bank_account_7d, s.prior_advances_on_bank_account_lifetime,
        m.prior_min_hours_between_advances_on_account, s.network_score_asof, s.network_label, s.heuristic_fraud_score,
-       s.heuristic_fraud_band, l.device_id, l.ip_address, s.days_since_link_created
+       s.heuristic_fraud_band, l.device_id, l.ip_address, s.days_since_link_created, s.total_disbursed, s.prior_total_disbursed_sum_30d,
+       q.kyc_id, q.kyc_decision, CASE WHEN q.kyc_id IS NOT NULL THEN 1 ELSE 0 END::BIGINT AS has_kyc,
+       date_diff('hour', q.kyc_created_at, s.feature_as_of_ts) AS hours_since_kyc_created, y.acquisition_channel,
+       CASE WHEN y.signup_ip = l.ip_address THEN 1 ELSE 0 END::BIGINT AS signup_ip_matches_latest_ip,
+       round(jaro_winkler_similarity(upper(trim(s.first_name)), upper(trim(s.matched_first_name))) * 100, 6) AS name_match_first,
+       date_diff('day', s.identity_created_time, s.link_created_at) AS days_between_identity_and_link_creation,
+       date_part('hour', s.feature_as_of_ts) AS origination_hour, s.is_joint::BIGINT AS is_joint
 FROM one_per_advance s LEFT JOIN owned o USING (advance_id) LEFT JOIN persistent_users p USING (advance_id, bank_account_key)
 LEFT JOIN min_gap m USING (advance_id, bank_account_key) LEFT JOIN users_on_email_f e USING (advance_id)
 LEFT JOIN users_on_phone_f f USING (advance_id) LEFT JOIN users_on_address_f g USING (advance_id)
-LEFT JOIN device_users d USING (advance_id) LEFT JOIN latest_meta l USING (advance_id)""")
+LEFT JOIN device_users d USING (advance_id) LEFT JOIN latest_meta l USING (advance_id)
+LEFT JOIN latest_kyc q USING (advance_id) LEFT JOIN user_dims y USING (user_id)""")
 def d18(spark, sf):
-    return P.build_features(inputs(spark, sf)).select(*STAR_COLUMNS)
+    return P.build_features(inputs(spark, sf)).select(*STAR_COLUMNS).withColumn(
+        "name_match_first", F.round("name_match_first", 6))
 
 
 @query("d24_one_row_per_advance", S.ctes(*FEATURE_CTES) + """

@@ -27,7 +27,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 def advances(spark: SparkSession, sf: str) -> DataFrame:
     """Purchases; the account is named, absent or half named by event_id % 3."""
     return events(spark, sf).filter("event_type = 'purchase'").selectExpr(
-        "event_id AS advance_id", "user_id", "ts AS feature_as_of_ts", "value AS loan_amount",
+        "event_id AS advance_id", "user_id", "ts AS feature_as_of_ts", "value AS loan_amount", "value + 2.5D AS total_disbursed",
         f"IF(event_id % 3 <> 0, {K} % 7, NULL) AS adv_routing",
         f"IF(event_id % 3 = 1, {K}, NULL) AS adv_account")
 
@@ -47,7 +47,19 @@ def identity_rows(spark: SparkSession, sf: str) -> DataFrame:
         f"' User' || CAST({K} % 20 AS STRING) || IF({K} % 9 = 0, '@example.com ', '@Mail.test ') AS email",
         f"'+1 (' || lpad(CAST({K} % 30 AS STRING), 3, '2') || ') 555-0' || lpad(CAST({K} % 10 AS STRING), 3, '0') AS phone_number",
         f"IF({K} % 13 = 0, 'Please Update', CAST({K} % 25 AS STRING) || ' Main st ') AS street",
-        f"lpad(CAST({K} % 4 AS STRING), 5, '0') AS zip_code", "event_id AS identity_seq")
+        f"lpad(CAST({K} % 4 AS STRING), 5, '0') AS zip_code", "event_id AS identity_seq",
+        f"' Annabel' || CAST({K} % 3 AS STRING) AS first_name", f"'annabell' || CAST({K} % 5 AS STRING) AS matched_first_name")
+
+
+def kyc_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Identity checks: errors."""
+    return events(spark, sf).filter("event_type = 'error'").selectExpr(
+        "user_id", "ts AS kyc_created_at", "event_id AS kyc_id", f"IF({K} % 2 = 0, 'ACCEPT', 'REJECT') AS kyc_decision")
+
+
+def user_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).groupBy("user_id").agg(F.min("event_id").alias("e")).selectExpr(
+        "user_id", "'c' || CAST(e % 5 AS STRING) AS acquisition_channel", "'10.0.0.' || CAST(user_id % 40 AS STRING) AS signup_ip")
 
 
 def metadata_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,7 +96,7 @@ def outcomes(spark: SparkSession, sf: str) -> DataFrame:
 ADVANCES_SQL = """
 ev AS (SELECT event_id, ts, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 advances AS (
-  SELECT event_id AS advance_id, user_id, ts AS feature_as_of_ts, value AS loan_amount,
+  SELECT event_id AS advance_id, user_id, ts AS feature_as_of_ts, value AS loan_amount, value + 2.5::DOUBLE AS total_disbursed,
          CASE WHEN event_id % 3 <> 0 THEN k % 7 END AS adv_routing,
          CASE WHEN event_id % 3 = 1 THEN k END AS adv_account
   FROM ev WHERE event_type = 'purchase')"""
@@ -102,12 +114,13 @@ identity_rows AS (
          ' User' || (k % 20)::VARCHAR || CASE WHEN k % 9 = 0 THEN '@example.com ' ELSE '@Mail.test ' END AS email,
          '+1 (' || lpad((k % 30)::VARCHAR, 3, '2') || ') 555-0' || lpad((k % 10)::VARCHAR, 3, '0') AS phone_number,
          CASE WHEN k % 13 = 0 THEN 'Please Update' ELSE (k % 25)::VARCHAR || ' Main st ' END AS street,
-         lpad((k % 4)::VARCHAR, 5, '0') AS zip_code, event_id AS identity_seq
+         lpad((k % 4)::VARCHAR, 5, '0') AS zip_code, event_id AS identity_seq,
+         ' Annabel' || (k % 3)::VARCHAR AS first_name, 'annabell' || (k % 5)::VARCHAR AS matched_first_name
   FROM ev WHERE event_type = 'signup')"""
 
 IDENTITIES_SQL = """
 identities AS (
-  SELECT user_id, created_time AS identity_created_time, is_deleted, email, phone_number, street, zip_code
+  SELECT user_id, created_time AS identity_created_time, is_deleted, email, phone_number, street, zip_code, first_name, matched_first_name
   FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY is_deleted ASC, created_time DESC, identity_seq DESC) AS rn
         FROM identity_rows) WHERE rn = 1)"""
 
@@ -115,7 +128,7 @@ LINKS_SQL = """
 links AS (
   SELECT l.user_id, l.routing_number, l.account_number,
          l.routing_number::VARCHAR || '-' || l.account_number::VARCHAR AS bank_account_key,
-         l.link_created_at, l.is_joint, l.pmax AS persistent_account_id, i.identity_created_time
+         l.link_created_at, l.is_joint, l.pmax AS persistent_account_id, i.identity_created_time, i.first_name, i.matched_first_name
   FROM (SELECT *, max(persistent_account_id) OVER (PARTITION BY user_id, routing_number, account_number) AS pmax,
                row_number() OVER (PARTITION BY user_id, routing_number, account_number ORDER BY incrementing_id DESC) AS rn
         FROM link_rows) l
@@ -125,7 +138,7 @@ links AS (
 CANDIDATES_SQL = """
 candidates AS (
   SELECT a.*, b.bank_account_key, b.routing_number, b.account_number, b.link_created_at, b.is_joint,
-         b.persistent_account_id, b.identity_created_time
+         b.persistent_account_id, b.identity_created_time, b.first_name, b.matched_first_name
   FROM advances a JOIN links b ON a.user_id = b.user_id AND b.link_created_at <= a.feature_as_of_ts
    AND ((a.adv_routing = b.routing_number AND a.adv_account = b.account_number)
         OR (a.adv_routing IS NULL AND a.adv_account IS NULL)))"""

@@ -23,15 +23,16 @@ def one_identity_per_user(rows: DataFrame, tie: str | None = None) -> DataFrame:
     return best_row(rows, ["user_id"], order).withColumnRenamed("created_time", "identity_created_time")
 
 
-def account_links(rows: DataFrame, identities: DataFrame) -> DataFrame:
-    """Newest link per (user, routing, account) with the group's persistent id."""
+def account_links(rows: DataFrame, identities: DataFrame, institutions: DataFrame | None = None) -> DataFrame:
+    """Newest link per (user, routing, account) with the group's persistent id and the institution's name."""
     newest = best_row(
         rows.filter("routing_number IS NOT NULL AND account_number IS NOT NULL"),
         ["user_id", "routing_number", "account_number"], ["incrementing_id"],
         extra={"__persistent": "max(persistent_account_id)"})
     key = f"concat(CAST(routing_number AS STRING), '-', CAST(account_number AS STRING)) AS {BANK}"
     keep = [c for c in newest.columns if c not in ("persistent_account_id", "__persistent")]
-    return newest.selectExpr(*keep, "__persistent AS persistent_account_id", key).join(identities, "user_id")
+    links = newest.selectExpr(*keep, "__persistent AS persistent_account_id", key).join(identities, "user_id")
+    return links if institutions is None else links.join(institutions, "institution_id", "left")
 
 
 def identity_attributes(identities: DataFrame) -> DataFrame:
@@ -56,6 +57,11 @@ def known_device(metadata: DataFrame, name: str = "device_id") -> AsOf:
                        ties=["device_id"], as_name="__device", outputs=[f"__device.device_id AS {name}"])
 
 
+def latest_kyc(kyc: DataFrame) -> AsOf:
+    rest = [c for c in kyc.columns if c not in ("user_id", "kyc_created_at", "kyc_id")]
+    return latest_rows(kyc, "user_id", history_ts="kyc_created_at", ties=["kyc_id"], values=rest, as_name="__kyc")
+
+
 def account_users(links: DataFrame) -> AsOf:
     """Sharing of the bank account with its threshold flags and rates."""
     stem, ever = "users_on_bank_account", "users_on_bank_account_lifetime_asof"
@@ -95,12 +101,20 @@ def shared_attributes(anchors: DataFrame, attributes: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Inputs:
-    """Source tables of the feature job."""
+    """Source tables of the feature job.
+
+    ``kyc(user_id, kyc_created_at, kyc_id, ...)``, ``users(user_id, ...)`` with
+    one row per user and ``institutions(institution_id, institution_name)`` are
+    optional.
+    """
 
     advances: DataFrame
     identity_rows: DataFrame
     link_rows: DataFrame
     metadata: DataFrame
+    kyc: DataFrame | None = None
+    users: DataFrame | None = None
+    institutions: DataFrame | None = None
     identity_tie: str | None = None
 
 
@@ -112,8 +126,9 @@ def build_features(inputs: Inputs, *, output_start: str | None = None) -> DataFr
     every family reads are written once, which also keeps the remaining plan small.
     """
     identities = cut_lineage(one_identity_per_user(inputs.identity_rows, inputs.identity_tie))
-    links = cut_lineage(account_links(inputs.link_rows, identities))
+    links = cut_lineage(account_links(inputs.link_rows, identities, inputs.institutions))
     advances, metadata = inputs.advances, inputs.metadata
+    amounts = {c: c for c in ("loan_amount", "total_disbursed") if c in advances.columns}
     history = cut_lineage(account_candidates(advances, links))
     anchors, candidates = advances, history
     if output_start is not None:
@@ -123,7 +138,7 @@ def build_features(inputs: Inputs, *, output_start: str | None = None) -> DataFr
     stem = "users_on_persistent_account_id"
     account = asof_features(candidates, BANK, TS, [
         account_users(links),
-        bands.prior_events(history, BANK, event_ts=TS, amounts={"loan_amount": "loan_amount"}),
+        bands.prior_events(history, BANK, event_ts=TS, amounts=amounts),
         bands.min_gap(history, BANK, event_ts=TS),
     ])
     persistent = asof_features(candidates, "persistent_account_id", TS, [bands.shared_users(
@@ -134,6 +149,7 @@ def build_features(inputs: Inputs, *, output_start: str | None = None) -> DataFr
         latest_rows(metadata, "user_id", history_ts="valid_from", ties=["device_id", "ip_address"],
                     outputs=["__row.device_id AS device_id", "__row.ip_address AS ip_address"]),
         known_device(metadata, "known_device_id"),
+        *([] if inputs.kyc is None else [latest_kyc(inputs.kyc)]),
     ])
     attributes = identity_attributes(identities)
 
@@ -154,7 +170,10 @@ def build_features(inputs: Inputs, *, output_start: str | None = None) -> DataFr
     # Dedup before the remaining one-to-one joins: they do not affect the choice.
     kept = one_row_per_advance(table)
     kept = kept.join(sharing, "advance_id", "left").fillna(0, zero)
-    return kept.join(attributes.drop("identity_created_time"), "user_id", "left").transform(_described)
+    kept = kept.join(attributes.drop("identity_created_time"), "user_id", "left")
+    if inputs.users is not None:
+        kept = kept.join(inputs.users, "user_id", "left")
+    return _described(kept)
 
 
 def _scored(t: DataFrame) -> DataFrame:
@@ -173,20 +192,32 @@ def _scored(t: DataFrame) -> DataFrame:
 
 def _described(t: DataFrame) -> DataFrame:
     weekday = clock.iso_weekday(TS)
-    t = t.withColumns({n: F.expr(e) for n, e in {
+    derived = {
         "origination_hour": f"CAST(hour({TS}) AS BIGINT)",
         "origination_day_of_week": weekday,
         "is_weekend_origination": f"CAST({weekday} >= 6 AS BIGINT)",
         "has_persistent_account_id": "CAST(persistent_account_id IS NOT NULL AS BIGINT)",
         "is_joint": "coalesce(CAST(is_joint AS BIGINT), 0L)",
         "days_since_identity_created": clock.day_boundaries("identity_created_time", TS),
+        "days_between_identity_and_link_creation": clock.day_boundaries("identity_created_time", "link_created_at"),
         "hours_since_identity_created": clock.hour_boundaries("identity_created_time", TS),
+        "network_user_count_asof": "coalesce(users_on_bank_account_lifetime_asof, 0L)",
+        "network_account_count_asof": "coalesce(bank_accounts_per_user_asof, 0L)",
         "email_key": "sha2(email_norm, 256)",
         "phone_key": "sha2(phone_norm, 256)",
         "address_node_key": "sha2(address_key, 256)",
         "has_device_id": "CAST(device_id IS NOT NULL AS BIGINT)",
         "has_ip_address": "CAST(ip_address IS NOT NULL AS BIGINT)",
-    }.items()})
+    }
+    if "kyc_id" in t.columns:
+        derived["has_kyc"] = "CAST(kyc_id IS NOT NULL AS BIGINT)"
+        derived["hours_since_kyc_created"] = clock.hour_boundaries("kyc_created_at", TS)
+    if "signup_ip" in t.columns:
+        derived["signup_ip_matches_latest_ip"] = "coalesce(CAST(signup_ip = ip_address AS BIGINT), 0L)"
+    t = t.withColumns({n: F.expr(e) for n, e in derived.items()})
+    names = {f"name_match_{p}": text.name_similarity(F.col(f"{p}_name"), F.col(f"matched_{p}_name"))
+             for p in ("first", "last") if {f"{p}_name", f"matched_{p}_name"} <= set(t.columns)}
+    t = t.withColumns(names) if names else t
     return t.withColumns({
         "network_label": risk.network_label(F.col("network_score_asof"), F.col(BANK)),
         "heuristic_fraud_band": risk.score_band(F.col("heuristic_fraud_score")),
