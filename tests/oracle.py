@@ -13,6 +13,7 @@ import duckdb
 import pandas as pd
 
 SF = "/root/testdata/sf0.01"
+EXACT = False  # compare doubles bit for bit instead of to six decimals
 
 
 def duck(sf: str) -> duckdb.DuckDBPyConnection:
@@ -33,7 +34,7 @@ def _cell(v):
     if isinstance(v, dict):
         return tuple((k, _cell(x)) for k, x in sorted(v.items()))
     if isinstance(v, float):
-        return round(v, 6) + 0.0
+        return v + 0.0 if EXACT else round(v, 6) + 0.0
     if hasattr(v, "isoformat"):
         return pd.Timestamp(v).isoformat()
     if type(v).__name__ == "Decimal":
@@ -75,7 +76,10 @@ def main(argv):
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
     import __spark_entry__ as entry
     from tidegate.session import local_session
+    global EXACT
     sf = SF
+    if argv[:1] == ["--exact"]:
+        EXACT, argv = True, argv[1:]
     if argv[:1] == ["--sf"]:
         sf, argv = argv[1], argv[2:]
     queries, sqls = entry.queries(), entry.oracle_sql()

@@ -29,19 +29,24 @@ def f1(spark, sf):
 _AP = """,
 g AS (SELECT score, count(*) AS n, count(*) FILTER (WHERE {y}) AS pos FROM scored WHERE {w} GROUP BY 1),
 c AS (SELECT pos, sum(n) OVER (ORDER BY score DESC) AS cn, sum(pos) OVER (ORDER BY score DESC) AS cp, sum(pos) OVER () AS total FROM g)
-SELECT sum(pos::DOUBLE / total * cp / cn) AS average_precision FROM c"""
+SELECT round(sum(pos::DOUBLE / total * cp / cn), 9) AS average_precision FROM c"""
 
 
 @query("f2_average_precision", SCORED + _AP.format(y=FRAUD, w="true"))
 def f2(spark, sf):
-    return E.average_precision(S.scored_orders(spark, sf), "score", FRAUD)
+    return _round(E.average_precision(S.scored_orders(spark, sf), "score", FRAUD), "average_precision")
+
+
+def _round(df, column):
+    """Sums of doubles depend on their order in the last bits; compare nine decimals."""
+    return df.withColumn(column, F.round(column, 9))
 
 
 @query("f3_log_loss", SCORED + """
-SELECT -avg(CASE WHEN is_fraud = 1 THEN ln(p) ELSE ln(1 - p) END) AS log_loss
+SELECT round(-avg(CASE WHEN is_fraud = 1 THEN ln(p) ELSE ln(1 - p) END), 9) AS log_loss
 FROM (SELECT is_fraud, greatest(2.220446049250313e-16, least(1 - 2.220446049250313e-16, score)) AS p FROM scored)""")
 def f3(spark, sf):
-    return E.log_loss(S.scored_orders(spark, sf), "score", FRAUD)
+    return _round(E.log_loss(S.scored_orders(spark, sf), "score", FRAUD), "log_loss")
 
 
 @query("f4_threshold_sweep", SCORED + """
@@ -110,14 +115,15 @@ def f12(spark, sf):
 @query("f13_band_report", SCORED + """,
 r AS (SELECT *, row_number() OVER (ORDER BY score DESC, o_orderkey) AS rn, count(*) OVER () AS t,
              rank() OVER (ORDER BY score) AS lo, count(*) OVER (PARTITION BY score) AS ties FROM scored)
-SELECT b AS band, count(heuristic_fraud_band) AS n, avg(100.0::DOUBLE * (lo + (ties - 1) / 2.0::DOUBLE) / t) AS mean_score_percentile,
+SELECT b AS band, count(heuristic_fraud_band) AS n, round(avg(100.0::DOUBLE * (lo + (ties - 1) / 2.0::DOUBLE) / t), 9) AS mean_score_percentile,
 """ + ", ".join(
     f"""count(*) FILTER (WHERE rn <= greatest(1, round_even(t * {d}, 0))) AS "n_in_top_{d}",
   count(*) FILTER (WHERE rn <= greatest(1, round_even(t * {d}, 0))) / nullif(count(heuristic_fraud_band), 0)::DOUBLE AS "capture_at_{d}" """
     for d in DEPTHS) + """
 FROM (SELECT unnest(['LOW', 'POSSIBLE', 'LIKELY', 'EXTREMELY_LIKELY', 'ODD']) AS b) LEFT JOIN r ON heuristic_fraud_band = b GROUP BY b""")
 def f13(spark, sf):
-    return E.band_report(S.scored_orders(spark, sf), "score", "heuristic_fraud_band", KEY, DEPTHS)
+    return _round(E.band_report(S.scored_orders(spark, sf), "score", "heuristic_fraud_band", KEY, DEPTHS),
+                  "mean_score_percentile")
 
 
 @query("f14_early_default_capture", SCORED + _depth_sql("label_gross_dpd45 = 1", "label_mature_d45 = 1"))
@@ -132,8 +138,8 @@ SELECT 'gross_dpd45' AS outcome, coalesce(average_precision, 0) AS average_preci
 UNION ALL SELECT 'never_paid', coalesce(average_precision, 0) FROM b""")
 def f15(spark, sf):
     scored = S.scored_orders(spark, sf)
-    return E.outcome_average_precision(scored, "score", E.DPD45).withColumn("outcome", F.lit("gross_dpd45")).unionByName(
-        E.outcome_average_precision(scored, "score", E.NEVER_PAID).withColumn("outcome", F.lit("never_paid")))
+    return _round(E.outcome_average_precision(scored, "score", E.DPD45).withColumn("outcome", F.lit("gross_dpd45")).unionByName(
+        E.outcome_average_precision(scored, "score", E.NEVER_PAID).withColumn("outcome", F.lit("never_paid"))), "average_precision")
 
 
 @query("f16_residual_only_depth", RC.WITH_FLAGS + _depth_sql(FRAUD, "NOT scenario_any", source="flagged"))
