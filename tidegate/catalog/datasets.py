@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidegate.catalog import standins as S
 from tidegate.catalog.registry import query
+from tidegate.functions import clock
 from tidegate.functions.predicates import Predicate, default_splits, where
 from tidegate.operators import keys as K, profile as G, schema as B
 from tidegate.plans import dataset as D
@@ -137,7 +138,7 @@ def a17(spark, sf):
     folder = scratch_folder(spark, "lines")
     lines = S.events(spark, sf).selectExpr(
         "to_json(named_struct('event', event_type, 'agent_id', CAST(user_id AS STRING), 'time_s', "
-        "unix_micros(CAST(ts AS TIMESTAMP)) / 1e6D)) AS value")
+        f"{clock.wall_micros('ts')} / 1e6D)) AS value")
     noise = spark.createDataFrame([("",), ("   ",), ("[1, 2]",), ("7",)], "value string")
     lines.unionByName(noise).write.text(folder)
     return readers.read_event_lines(spark, folder).select("event", "agent_id", "time_s")

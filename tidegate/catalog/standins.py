@@ -83,13 +83,13 @@ def outcomes(spark: SparkSession, sf: str) -> DataFrame:
     bought = ev.filter("event_type = 'purchase'").selectExpr("event_id", "user_id", "m", f"-m AS {POS}")
     ahead = fold_until(changes, bought.select("user_id", POS), ["user_id"],
                        [Fold("next_error", "min"), Fold("next_purchase", "min")])
-    last = F.broadcast(ev.agg(F.max("m").alias("last_m")))  # exactly one row
+    last = ev.agg(F.max("m")).first()[0]
     near = "coalesce({} <= m + " + f"{clock.DAY}L, false)"
-    return bought.join(ahead, ["user_id", POS], "left").crossJoin(last).selectExpr(
+    return bought.join(ahead, ["user_id", POS], "left").selectExpr(
         "event_id AS advance_id",
         f"CAST({near.format('next_error')} AS INT) AS label_gross_dpd45",
         f"CAST({near.format('next_purchase')} AS INT) AS label_repaid_current_snapshot",
-        f"CAST(m <= last_m - {3 * clock.DAY}L AS INT) AS label_mature_d45",
+        f"CAST(m <= {last - 3 * clock.DAY}L AS INT) AS label_mature_d45",
         f"IF({near.format('next_error')}, {clock.micros_to_wall('next_error')}, NULL) AS expected_dpd45_date")
 
 

@@ -35,17 +35,17 @@ def fit_woe(df: DataFrame, column: str, positive: str, smoothing: float = 0.5) -
     counts = share(df.groupBy(F.expr(f"coalesce(CAST({column} AS STRING), '{MISSING}')").alias("category")).agg(
         F.count("*").alias("n"), F.expr(f"count_if({positive})").alias("pos")))
     rate = lambda pos, n: f"(({pos} + {smoothing}D) / ({n} + {2 * smoothing}D))"
-    overall = counts.agg(F.expr(_logit(rate("sum(pos)", "sum(n)"))).alias("fallback"))
-    return counts.selectExpr("category", f"{_logit(rate('pos', 'n'))} AS woe").crossJoin(F.broadcast(overall))  # one row
+    overall = counts.agg(F.expr(_logit(rate("sum(pos)", "sum(n)")))).first()[0]
+    return counts.selectExpr("category", f"{_logit(rate('pos', 'n'))} AS woe").withColumn("fallback", F.lit(overall))
 
 
 def apply_woe(df: DataFrame, fitted: DataFrame, column: str, output: str = "woe") -> DataFrame:
     """Unseen categories take the overall log-odds. Spark broadcasts the mapping when it is small."""
-    fallback = fitted.agg(F.first("fallback").alias("__fallback"))
+    fallback = fitted.select("fallback").first()[0]
     mapping = fitted.selectExpr("category AS __category", "woe AS __woe")
     keyed = df.withColumn("__category", F.expr(f"coalesce(CAST({column} AS STRING), '{MISSING}')"))
-    return keyed.join(mapping, "__category", "left").crossJoin(F.broadcast(fallback)).withColumn(
-        output, F.expr("coalesce(__woe, __fallback)")).drop("__category", "__woe", "__fallback")
+    return keyed.join(mapping, "__category", "left").withColumn(
+        output, F.coalesce("__woe", F.lit(fallback))).drop("__category", "__woe")
 
 
 # ---- fitted models -----------------------------------------------------------------

@@ -193,9 +193,8 @@ _RATES = ("n_never_paid / nullif(n_resolved, 0) AS never_paid_rate",)
 def overall_stats(cube: DataFrame) -> DataFrame:
     """Outcome block of the union, the LOW-band discovery slice and the residual."""
     scopes = {"union": "scenario_any", "discovery": "scenario_any AND band = 'LOW'", "residual": "NOT scenario_any"}
-    total = cube.agg(F.sum("n").alias("n_rows"))
-    blocks = [cube.agg(*_block(w)).withColumn("scope", F.lit(s)) for s, w in scopes.items()]
-    return reduce(DataFrame.unionByName, blocks).crossJoin(total).selectExpr(
+    blocks = [cube.agg(*_block(w), F.sum("n").alias("n_rows")).withColumn("scope", F.lit(s)) for s, w in scopes.items()]
+    return reduce(DataFrame.unionByName, blocks).selectExpr(
         "scope", "n", "n / nullif(n_rows, 0) AS share", "n_mature", "n_never_paid", "n_resolved", *_RATES)
 
 
@@ -203,8 +202,8 @@ def band_stats(cube: DataFrame) -> DataFrame:
     """Baseline block per band, with the rows rules left behind and their coverage; '*' is all bands."""
     keyed = cube.withColumn("band", F.explode(F.array("band", F.lit("*"))))
     per_band = keyed.groupBy("band").agg(*_block(), F.expr("sum(IF(scenario_any, n, 0L))").alias("captured"))
-    total = cube.agg(F.sum("n").alias("n_rows"))
-    return per_band.crossJoin(total).selectExpr(
+    # One line per band; the '*' line holds the row total.
+    return per_band.withColumn("n_rows", F.expr("max(IF(band = '*', n, NULL)) OVER ()")).selectExpr(
         "band", "n", "n / nullif(n_rows, 0) AS share", "n_mature", "n_never_paid", "n_resolved", *_RATES,
         "n_dpd45 / nullif(n_mature, 0) AS dpd45_rate", "n - captured AS n_left",
         "captured / nullif(n, 0) AS coverage")
