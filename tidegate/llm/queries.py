@@ -4,13 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import minhash
+from tidegate.llm import minhash, mixing
 from tidegate.llm.common import table
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+
+
+OP2_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, CAST(CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS BIGINT) AS w
+  FROM sums),
+-- Fill by rising cap per weight: the sources before a place are at their cap, the others share the rest.
+filled AS (
+  SELECT *, (SELECT sum(source_size) FROM weighed) AS total,
+         sum(w) OVER o AS w_here,
+         coalesce(sum(3 * source_size) OVER (ORDER BY 3.0 * source_size / w, source NULLS LAST
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped_before
+  FROM weighed WINDOW o AS (ORDER BY 3.0 * source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+marked AS (SELECT *, (total - capped_before) * w > 3 * source_size * w_here AS over FROM filled),
+goal AS (
+  SELECT source, source_size,
+         CASE WHEN over THEN 3.0::DOUBLE * source_size
+              ELSE CAST(total - (SELECT coalesce(sum(3 * source_size), 0) FROM marked WHERE over) AS DOUBLE) * w
+                   / CAST((SELECT sum(w) FROM marked WHERE NOT over) AS DOUBLE) END AS target,
+         CAST('0x' || substr(md5('offset:' || coalesce(source, 'null')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+  FROM marked),
+placed AS (
+  SELECT s.doc_id, s.size, g.source_size, g.target, g.u,
+         CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS rate,
+         row_number() OVER (PARTITION BY s.source ORDER BY s.size NULLS FIRST, s.doc_id NULLS FIRST) AS rank
+  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (floor(rank * rate + u) - floor((rank - 1) * rate + u)) AS BIGINT) AS taken
+FROM placed
+"""
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_minhash_near_dedup,)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_source_mixing, op9_minhash_near_dedup)}
+SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL}
