@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import minhash, mixing
-from tidegate.llm.common import table
+from tidegate.llm import cnn, minhash, mixing, rules
+from tidegate.llm.common import fold, table
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,9 +46,21 @@ FROM placed
 """
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = cnn.fit(docs, table(spark, sf_dir, "labels"))
+    return cnn.score(docs, net).select("doc_id", (fold(F.col("doc_id"), cnn.FOLDS) == 0).alias("held_out"), "score",
+                                       F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mixing, op9_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op6_quality_rules, op9_minhash_near_dedup)}
 SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL}
