@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegate.llm.common import bounded_sample, fold, text_slices
 
-FIT_ROWS = 3_000
+FIT_ROWS = 2_000
 FIT_CHUNKS = 8
 FOLDS = 5
 CHUNK, WIDTH = 512, 4
@@ -44,9 +44,13 @@ class Network:
         self.out = np.zeros(2 * FILTERS, np.float32)
         self.base = np.float32(0)
 
+    def responses(self) -> np.ndarray:
+        """Filter responses by window place and byte."""
+        return np.einsum("bd,wdf->wbf", self.embed, self.filters)
+
     def tables(self) -> list[np.ndarray]:
-        """Summed filter responses of every byte pair at window positions (0, 1) and (2, 3)."""
-        one = np.einsum("bd,wdf->wbf", self.embed, self.filters)
+        """Summed filter responses of every byte pair at window places (0, 1) and (2, 3)."""
+        one = self.responses()
         return [(one[w][:, None, :] + one[w + 1][None, :, :]).reshape(257 * 257, FILTERS).astype(np.float32) for w in (0, 2)]
 
 
@@ -59,11 +63,12 @@ def chunks(text: bytes) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, CHUNK)[::STEP]
 
 
-def _maxima(rows: np.ndarray, pair: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Chunk maxima of every filter, before the bias, and where they are."""
-    codes = rows[:, :-1] * 257 + rows[:, 1:]
-    response = pair[0][codes[:, :-2]]
-    response += pair[1][codes[:, 2:]]
+def _maxima(rows: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Chunk maxima of every filter, before the bias, and where they are; ``one`` holds responses by place and byte."""
+    length = rows.shape[1] - WIDTH + 1
+    response = one[0][rows[:, :length]]
+    for w in range(1, WIDTH):
+        response += one[w][rows[:, w:w + length]]
     at = response.argmax(axis=1)
     return np.take_along_axis(response, at[:, None, :], 1)[:, 0, :], at
 
@@ -83,7 +88,7 @@ def _score(text: bytes, net: Network, pair: list[np.ndarray]) -> float:
     return float(1 / (1 + np.exp(-np.clip(pooled @ net.out + net.base, -30, 30))))
 
 
-def train(texts: list[bytes], labels: np.ndarray, *, epochs: int = 12, rate: float = 0.03, seed: int = 7) -> Network:
+def train(texts: list[bytes], labels: np.ndarray, *, epochs: int = 10, rate: float = 0.03, seed: int = 7) -> Network:
     """Adam on the log loss; gradients pass through the maxima to their windows."""
     net = Network(seed)
     if labels.min() == labels.max():  # also one class only
@@ -109,7 +114,7 @@ def train(texts: list[bytes], labels: np.ndarray, *, epochs: int = 12, rate: flo
             sizes = np.array([len(held[i]) for i in batch])
             doc = np.repeat(np.arange(len(batch)), sizes)
             edge = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            raw, at = _maxima(rows, net.tables())
+            raw, at = _maxima(rows, net.responses())
             act = np.maximum(raw + net.bias, 0)
             mean = np.add.reduceat(act, edge) / sizes[:, None]
             top = np.maximum.reduceat(act, edge)
@@ -122,9 +127,10 @@ def train(texts: list[bytes], labels: np.ndarray, *, epochs: int = 12, rate: flo
             grads = {"out": pooled.T @ err + 1e-4 * net.out, "base": err.sum(), "bias": d_act.sum(axis=0),
                      "filters": np.zeros_like(net.filters), "embed": np.zeros_like(net.embed)}
             for w in range(WIDTH):
-                seen = np.take_along_axis(rows, at + w, 1)  # the byte under window place w of each filter's maximum
-                grads["filters"][w] = np.einsum("cfd,cf->df", net.embed[seen], d_act)
-                np.add.at(grads["embed"], seen, d_act[:, :, None] * net.filters[w].T[None])
+                seen = np.take_along_axis(rows, at + w, 1)  # the byte at place w of each filter's best window
+                by_byte = np.bincount((seen * FILTERS + np.arange(FILTERS)).ravel(), d_act.ravel(), 257 * FILTERS).reshape(257, FILTERS)
+                grads["filters"][w] = net.embed.T @ by_byte
+                grads["embed"] += (by_byte @ net.filters[w].T).astype(np.float32)
             step += 1
             for k in names:
                 first[k] = 0.9 * first[k] + 0.1 * grads[k]
