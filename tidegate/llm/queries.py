@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import cnn, minhash, mixing, rules
+from tidegate.llm import cnn, minhash, mixing, pii, rules
 from tidegate.llm.common import fold, table
 
 
@@ -53,6 +53,12 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = {i})) AS BIGINT) AS n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.listing("base"), 256).alias("base_sha256"), pii.listing("spans").alias("spans"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
@@ -62,5 +68,5 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op6_quality_rules, op9_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op4_personal_data, op6_quality_rules, op9_minhash_near_dedup)}
 SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL}
