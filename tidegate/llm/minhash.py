@@ -6,10 +6,11 @@ banded, and candidate pairs are confirmed on their full shingle sets.
 
 Rows and sets. Texts of one shingle set form a class, named by its smallest id.
 Classes, not documents, are banded, compared and linked; copies cost one
-aggregate and one join. Buckets compare every member with a pivot first. Only
-where a bucket still holds unlinked parts are further pairs drawn, between
-parts, so that a large group of near copies costs pairs in proportion to its
-members.
+aggregate and one join. Buckets compare every member with a pivot first. Large
+buckets that still hold unlinked parts then try their best linked members as
+pivots, which finds the original of a group of near copies. At last every pair
+of members in different parts is drawn, so no pair that shares a bucket is left
+undecided, yet a large linked group costs pairs in proportion to its members.
 
 Recall. With 40 bands of 5 coordinates a pair of similarity 0.75 misses every
 band with probability 2e-5. Pairs between parts of a bucket are skipped when
@@ -36,6 +37,7 @@ from tidegate.session import cut_lineage
 
 BANDS, ROWS = 40, 5
 SKETCH_MIN = 84
+PIVOT_TURNS, LARGE_BUCKET = 3, 16
 _M64 = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -164,20 +166,49 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     agree = f"128 - bit_count(s1 ^ t1) - bit_count(s2 ^ t2) >= {SKETCH_MIN}"
     mine = reps.select("id", "n", "s1", "s2")
     theirs = reps.selectExpr("id AS pivot", "n AS m", "s1 AS t1", "s2 AS t2")
-    star = cut_lineage(shared.filter("id <> pivot").select("id", "pivot").distinct().join(mine, "id").join(theirs, "pivot")
-                       .filter(fits).filter(agree).selectExpr("pivot AS a", "id AS b"))
-    links = _confirmed(star, source, words, percent)
+    packed = source.filter("id IS NOT NULL").mapInArrow(_pack, "id long, body binary")
+    bodies = cut_lineage(packed.join(shared.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
+
+    def with_pivots(members: DataFrame) -> DataFrame:
+        """Pairs of members (id, pivot) that may be similar enough."""
+        return members.select("id", "pivot").distinct().join(mine, "id").join(theirs, "pivot").filter(fits).filter(agree) \
+            .selectExpr("least(id, pivot) AS a", "greatest(id, pivot) AS b").distinct()
+
+    tried = cut_lineage(with_pivots(shared.filter("id <> pivot")))
+    links = _confirmed(tried, bodies, words, percent)
+    used = shared.select("bucket", "pivot").distinct()
+    for turn in range(PIVOT_TURNS + 1):
+        parts = components(links)
+        side = shared.select("bucket", "id").join(parts.withColumnRenamed("vertex", "id"), "id", "left") \
+            .selectExpr("bucket", "id", "coalesce(component, id) AS part")
+        split = side.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("size")) \
+            .filter("p < q AND size > 2")
+        if turn < PIVOT_TURNS:  # large buckets try their best linked member next: the original of a group of near copies
+            split = split.filter(F.col("size") >= LARGE_BUCKET)
+        side = cut_lineage(side.join(split.select("bucket"), "bucket", "left_semi"))
+        if side.isEmpty():
+            if turn < PIVOT_TURNS:
+                continue
+            break
+        if turn < PIVOT_TURNS:
+            degree = links.selectExpr("explode(array(a, b)) AS id").groupBy("id").agg(F.count("*").alias("k"))
+            rank = F.struct(F.coalesce("k", F.lit(0)).alias("k"), (-F.col("id")).alias("low"))
+            best = side.join(used.withColumnRenamed("pivot", "id"), ["bucket", "id"], "left_anti").join(degree, "id", "left") \
+                .groupBy("bucket").agg(F.max_by(F.struct(F.col("id").alias("pivot"), F.col("part").alias("pivot_part")), rank).alias("best")) \
+                .select("bucket", "best.*")
+            best = cut_lineage(best)
+            used = cut_lineage(used.unionByName(best.select("bucket", "pivot")))
+            fresh = with_pivots(side.join(best, "bucket").filter("part <> pivot_part"))
+        else:  # what is left: every pair of members in different parts
+            side = cut_lineage(side.join(mine, "id"))
+            other = side.selectExpr("bucket", "id AS id2", "n AS m", "s1 AS t1", "s2 AS t2", "part AS part2")
+            fresh = side.join(other, "bucket").filter("id < id2 AND part <> part2").filter(fits).filter(agree) \
+                .selectExpr("id AS a", "id2 AS b").distinct()
+        fresh = cut_lineage(fresh.join(tried, ["a", "b"], "left_anti"))
+        if not fresh.isEmpty():
+            tried = tried.unionByName(fresh)
+            links = cut_lineage(links.unionByName(_confirmed(fresh, bodies, words, percent)))
     parts = components(links)
-    # Buckets whose members are still in several parts: compare across parts, each pair once.
-    side = shared.select("bucket", "id").join(parts.withColumnRenamed("vertex", "id"), "id", "left") \
-        .selectExpr("bucket", "id", "coalesce(component, id) AS part")
-    split = side.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("bucket")
-    side = cut_lineage(side.join(split, "bucket", "left_semi").join(mine, "id"))
-    other = side.selectExpr("bucket", "id AS id2", "n AS m", "s1 AS t1", "s2 AS t2", "part AS part2")
-    across = cut_lineage(side.join(other, "bucket").filter("id < id2 AND part <> part2").filter(fits).filter(agree)
-                         .selectExpr("id AS a", "id2 AS b").distinct().join(star, ["a", "b"], "left_anti"))
-    if not across.isEmpty():
-        parts = components(links.unionByName(_confirmed(across, source, words, percent)))
 
     rep_of = classes.join(parts.withColumnRenamed("vertex", "rep"), "rep", "left") \
         .selectExpr("n", "h1", "h2", "coalesce(component, rep) AS comp")
@@ -186,21 +217,21 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         .selectExpr("doc_id", "n_shingles", "component_id", "coalesce(doc_id = component_id, true) AS kept")
 
 
-def _confirmed(pairs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
-    Partners travel to their hub ``a``; a hub with many is dealt to several
-    groups, each with a copy of the hub's text, so no group holds more than 64
-    texts or so.
+    Partners travel to their hub, the end with more pairs; a hub with many is
+    dealt to several groups, each with a copy of the hub's text, so no group
+    holds more than 64 texts or so.
     """
-    many = pairs.groupBy("a").agg(F.count("*").alias("k")).withColumn("salts", F.ceil(F.col("k") / 64).cast("int"))
-    dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
+    ends = pairs.selectExpr("explode(array(a, b)) AS v").groupBy("v").agg(F.count("*").alias("k"))
+    aimed = pairs.join(ends.selectExpr("v AS a", "k AS ka"), "a").join(ends.selectExpr("v AS b", "k AS kb"), "b") \
+        .selectExpr("IF(ka >= kb, a, b) AS a", "IF(ka >= kb, b, a) AS b")
+    aimed = cut_lineage(aimed)
+    many = aimed.groupBy("a").agg(F.count("*").alias("k")).withColumn("salts", F.ceil(F.col("k") / 64).cast("int"))
+    dealt = aimed.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
     hubs = many.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    wanted = cut_lineage(dealt.unionByName(hubs))
-    needed = wanted.selectExpr("b AS id").distinct()
-    packed = source.filter("id IS NOT NULL").mapInArrow(_pack, "id long, body binary")
-    bodies = packed.join(needed, "id", "left_semi").dropDuplicates(["id"])
-    rows = wanted.join(bodies.withColumnRenamed("id", "b"), "b").select("a", "b", "body", "salt")
+    rows = dealt.unionByName(hubs).join(bodies.withColumnRenamed("id", "b"), "b").select("a", "b", "body", "salt")
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("a") != F.col("b"), "b")
     return cut_lineage(ordered.select("a", "b", "body").mapInArrow(_confirm(words, percent), "a long, b long"))
