@@ -13,10 +13,9 @@ of members in different parts is drawn, so no pair that shares a bucket is left
 undecided, yet a large linked group costs pairs in proportion to its members.
 
 Recall. With 40 bands of 5 coordinates a pair of similarity 0.75 misses every
-band with probability 2e-5. Pairs between parts of a bucket are skipped when
-their 128-bit sketches agree in 84 bits or fewer; a pair of similarity 0.75 agrees
-in 112 on average, with a deviation of 3.7, so 84 is seven deviations away.
-Precision is exact up to collisions of 64-bit shingle hashes.
+band with probability 2e-5. Candidates are skipped when their 192-bit sketches agree in
+fewer than 138 bits; a pair of similarity 0.75 agrees in 168 on average, with a
+deviation of 4.6, so 138 is more than six deviations away. Precision is exact up to collisions of 64-bit shingle hashes.
 
 Defined cases. A null or empty text, or one without words, has an empty set and
 links with nothing. A text with fewer words than a shingle is one shingle. A row
@@ -36,8 +35,8 @@ from tidegate.llm.common import components, text_slices
 from tidegate.session import cut_lineage
 
 BANDS, ROWS = 40, 5
-SKETCH_MIN = 84
-PIVOT_TURNS, LARGE_BUCKET = 3, 16
+SKETCH, SKETCH_MIN = 192, 138
+PIVOT_TURNS, LARGE_BUCKET = 2, 16
 _M64 = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,28 +92,27 @@ def _describe(words: int, bands: int, rows: int):
     """Batches of (id, text) -> set size, set name (two hashes), band keys and sketch."""
     def run(batches):
         for part, texts in text_slices(batches, "text"):
-            size, one, two, keys, low, high = [], [], [], [], [], []
+            size, one, two, keys, bits = [], [], [], [], []
             for text in texts:
                 s = shingle_set(text, words)
                 size.append(len(s))
                 if not len(s):
-                    one.append(None), two.append(None), keys.append(None), low.append(None), high.append(None)
+                    one.append(None), two.append(None), keys.append(None), bits.append([None] * 3)
                     continue
                 with np.errstate(over="ignore"):
                     one.append(int(s.sum().view(np.int64)))
                     two.append(int(_mix64(s).sum().view(np.int64)))
-                sig = signature(s, max(bands * rows, 128))
+                sig = signature(s, max(bands * rows, SKETCH))
                 with np.errstate(over="ignore"):
                     acc = np.arange(1, bands + 1, dtype=np.uint64)
                     for k in range(rows):
                         acc = _mix64(acc * _M64 + sig[k:bands * rows:rows].astype(np.uint64))
                 keys.append(_signed(acc))
-                bits = np.packbits(_mix32(sig[:128].copy()) & np.uint32(1)).view(np.int64)
-                low.append(int(bits[0])), high.append(int(bits[1]))
+                bits.append(np.packbits(_mix32(sig[:SKETCH].copy()) & np.uint32(1)).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays(
                 [part.column(part.schema.get_field_index("id")), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
-                 pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(low, pa.int64()), pa.array(high, pa.int64())],
-                names=["id", "n", "h1", "h2", "bands", "s1", "s2"])
+                 pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64())), *[pa.array([x[k] for x in bits], pa.int64()) for k in range(3)]],
+                names=["id", "n", "h1", "h2", "bands", "s1", "s2", "s3"])
     return run
 
 
@@ -126,14 +124,14 @@ def _pack(batches):
                                           pa.array([packer.compress(t or b"") for t in texts], pa.binary())], names=["id", "body"])
 
 
-def _confirm(words: int, percent: int):
-    """Groups (hub, its text first, then the texts compared with it) -> pairs that are similar enough."""
+def _measure(words: int, percent: int):
+    """Groups (hub, its text first, then the texts compared with it) -> whether each pair is near, and its distance."""
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         hub, held = None, None
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            left, right = [], []
+            out = []
             for i in range(batch.num_rows):
                 own = shingle_set(unpack.decompress(batch.column(2)[i].as_py()), words)
                 if a[i] == b[i]:  # the hub's own row precedes its partners
@@ -141,9 +139,10 @@ def _confirm(words: int, percent: int):
                     continue
                 assert a[i] == hub, "partners must follow their hub"
                 both = np.intersect1d(held, own, assume_unique=True).size
-                if 100 * both >= percent * (len(held) + len(own) - both):
-                    left.append(a[i]), right.append(b[i])
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                union = len(held) + len(own) - both
+                out.append((a[i], b[i], 100 * both >= percent * union, 1 - both / max(union, 1)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in
+                                              enumerate((pa.int64(), pa.int64(), pa.bool_(), pa.float64()))], names=["a", "b", "near", "dist"])
     return run
 
 
@@ -152,63 +151,55 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     """(id, n_shingles, component_id, kept) for every row of ``docs``; see the module text."""
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     described = cut_lineage(source.mapInArrow(
-        _describe(words, bands, rows), "id long, n long, h1 long, h2 long, bands array<long>, s1 long, s2 long"))
+        _describe(words, bands, rows), "id long, n long, h1 long, h2 long, bands array<long>, s1 long, s2 long, s3 long"))
     sets = described.filter("n > 0 AND id IS NOT NULL")
     # One class per shingle set. The bands are a function of the set, so any copy's will do.
     classes = cut_lineage(sets.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")))
     reps = cut_lineage(sets.join(classes.withColumnRenamed("rep", "id"), ["n", "h1", "h2", "id"], "left_semi")
-                       .dropDuplicates(["id"]).select("id", "n", "s1", "s2", "bands"))
+                       .dropDuplicates(["id"]).select("id", "n", "s1", "s2", "s3", "bands"))
     members = reps.select("id", F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("size")).filter("size > 1")
     shared = cut_lineage(members.join(buckets, "bucket").select("bucket", "id", "pivot"))
 
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"  # set sizes this far apart cannot be similar enough
-    agree = f"128 - bit_count(s1 ^ t1) - bit_count(s2 ^ t2) >= {SKETCH_MIN}"
-    mine = reps.select("id", "n", "s1", "s2")
-    theirs = reps.selectExpr("id AS pivot", "n AS m", "s1 AS t1", "s2 AS t2")
+    agree = f"{SKETCH} - bit_count(s1 ^ t1) - bit_count(s2 ^ t2) - bit_count(s3 ^ t3) >= {SKETCH_MIN}"
+    mine = reps.select("id", "n", "s1", "s2", "s3")
     packed = source.filter("id IS NOT NULL").mapInArrow(_pack, "id long, body binary")
     bodies = cut_lineage(packed.join(shared.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
 
     def with_pivots(members: DataFrame) -> DataFrame:
         """Pairs of members (id, pivot) that may be similar enough."""
+        theirs = mine.toDF("pivot", "m", "t1", "t2", "t3")
         return members.select("id", "pivot").distinct().join(mine, "id").join(theirs, "pivot").filter(fits).filter(agree) \
             .selectExpr("least(id, pivot) AS a", "greatest(id, pivot) AS b").distinct()
 
-    tried = cut_lineage(with_pivots(shared.filter("id <> pivot")))
-    links = _confirmed(tried, bodies, words, percent)
+    measured = _measured(cut_lineage(with_pivots(shared.filter("id <> pivot"))), bodies, words, percent)
     used = shared.select("bucket", "pivot").distinct()
     for turn in range(PIVOT_TURNS + 1):
-        parts = components(links)
+        parts = components(measured.filter("near"))
         side = shared.select("bucket", "id").join(parts.withColumnRenamed("vertex", "id"), "id", "left") \
             .selectExpr("bucket", "id", "coalesce(component, id) AS part")
         split = side.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("size")) \
-            .filter("p < q AND size > 2")
-        if turn < PIVOT_TURNS:  # large buckets try their best linked member next: the original of a group of near copies
-            split = split.filter(F.col("size") >= LARGE_BUCKET)
-        side = cut_lineage(side.join(split.select("bucket"), "bucket", "left_semi"))
-        if side.isEmpty():
-            if turn < PIVOT_TURNS:
-                continue
-            break
-        if turn < PIVOT_TURNS:
-            degree = links.selectExpr("explode(array(a, b)) AS id").groupBy("id").agg(F.count("*").alias("k"))
+            .filter("p < q AND size > 2").select("bucket", "size")
+        side = cut_lineage(side.join(split, "bucket"))
+        large = side.filter(F.col("size") >= LARGE_BUCKET)
+        last = turn == PIVOT_TURNS or large.isEmpty()
+        if last:  # every pair of members in different parts
+            fresh = _across(side.join(mine, "id"), used, measured, fits, agree, percent)
+        else:  # large buckets try their best linked member next: the original of a group of near copies
+            degree = measured.filter("near").selectExpr("explode(array(a, b)) AS id").groupBy("id").agg(F.count("*").alias("k"))
             rank = F.struct(F.coalesce("k", F.lit(0)).alias("k"), (-F.col("id")).alias("low"))
-            best = side.join(used.withColumnRenamed("pivot", "id"), ["bucket", "id"], "left_anti").join(degree, "id", "left") \
-                .groupBy("bucket").agg(F.max_by(F.struct(F.col("id").alias("pivot"), F.col("part").alias("pivot_part")), rank).alias("best")) \
-                .select("bucket", "best.*")
-            best = cut_lineage(best)
-            used = cut_lineage(used.unionByName(best.select("bucket", "pivot")))
-            fresh = with_pivots(side.join(best, "bucket").filter("part <> pivot_part"))
-        else:  # what is left: every pair of members in different parts
-            side = cut_lineage(side.join(mine, "id"))
-            other = side.selectExpr("bucket", "id AS id2", "n AS m", "s1 AS t1", "s2 AS t2", "part AS part2")
-            fresh = side.join(other, "bucket").filter("id < id2 AND part <> part2").filter(fits).filter(agree) \
-                .selectExpr("id AS a", "id2 AS b").distinct()
-        fresh = cut_lineage(fresh.join(tried, ["a", "b"], "left_anti"))
+            best = cut_lineage(
+                large.join(used.withColumnRenamed("pivot", "id"), ["bucket", "id"], "left_anti").join(degree, "id", "left")
+                .groupBy("bucket").agg(F.max_by("id", rank).alias("pivot")))
+            used = used.unionByName(best)
+            fresh = with_pivots(large.join(best, "bucket").filter("id <> pivot"))
+        fresh = cut_lineage(fresh.join(measured, ["a", "b"], "left_anti"))
         if not fresh.isEmpty():
-            tried = tried.unionByName(fresh)
-            links = cut_lineage(links.unionByName(_confirmed(fresh, bodies, words, percent)))
-    parts = components(links)
+            measured = measured.unionByName(_measured(fresh, bodies, words, percent))
+            parts = components(measured.filter("near")) if last else parts
+        if last:
+            break
 
     rep_of = classes.join(parts.withColumnRenamed("vertex", "rep"), "rep", "left") \
         .selectExpr("n", "h1", "h2", "coalesce(component, rep) AS comp")
@@ -217,21 +208,40 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         .selectExpr("doc_id", "n_shingles", "component_id", "coalesce(doc_id = component_id, true) AS kept")
 
 
-def _confirmed(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough.
+def _across(side: DataFrame, used: DataFrame, measured: DataFrame, fits: str, agree: str, percent: int) -> DataFrame:
+    """Pairs of bucket members in different parts that sizes, sketches and pivots leave possible.
+
+    One minus similarity is a metric, so two members whose known distances to the
+    same pivot differ by more than the distance of a link cannot be linked.
+    """
+    apart = 1 - percent / 100 + 1e-9
+    known = side.select("bucket", "id").join(used, "bucket").filter("id <> pivot") \
+        .selectExpr("bucket", "id", "pivot", "least(id, pivot) AS a", "greatest(id, pivot) AS b") \
+        .join(measured.select("a", "b", "dist"), ["a", "b"]) \
+        .groupBy("bucket", "id").agg(F.map_from_entries(F.collect_list(F.struct("pivot", "dist"))).alias("far"))  # a few pivots
+    side = cut_lineage(side.join(known, ["bucket", "id"], "left"))
+    other = side.selectExpr("bucket", "id AS id2", "n AS m", "s1 AS t1", "s2 AS t2", "s3 AS t3", "part AS part2", "far AS far2")
+    reach = f"far IS NULL OR far2 IS NULL OR NOT exists(map_keys(far), k -> coalesce(abs(far[k] - far2[k]) > {apart}, false))"
+    return side.join(other, "bucket").filter(f"id < id2 AND part <> part2 AND {fits} AND {agree} AND ({reach})") \
+        .selectExpr("id AS a", "id2 AS b").distinct()
+
+
+def _measured(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, near, dist) of the pairs, on their full sets.
 
     Partners travel to their hub, the end with more pairs; a hub with many is
     dealt to several groups, each with a copy of the hub's text, so no group
     holds more than 64 texts or so.
     """
     ends = pairs.selectExpr("explode(array(a, b)) AS v").groupBy("v").agg(F.count("*").alias("k"))
-    aimed = pairs.join(ends.selectExpr("v AS a", "k AS ka"), "a").join(ends.selectExpr("v AS b", "k AS kb"), "b") \
-        .selectExpr("IF(ka >= kb, a, b) AS a", "IF(ka >= kb, b, a) AS b")
-    aimed = cut_lineage(aimed)
+    aimed = cut_lineage(
+        pairs.join(ends.selectExpr("v AS a", "k AS ka"), "a").join(ends.selectExpr("v AS b", "k AS kb"), "b")
+        .selectExpr("IF(ka >= kb, a, b) AS a", "IF(ka >= kb, b, a) AS b"))
     many = aimed.groupBy("a").agg(F.count("*").alias("k")).withColumn("salts", F.ceil(F.col("k") / 64).cast("int"))
     dealt = aimed.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
     hubs = many.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     rows = dealt.unionByName(hubs).join(bodies.withColumnRenamed("id", "b"), "b").select("a", "b", "body", "salt")
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("a") != F.col("b"), "b")
-    return cut_lineage(ordered.select("a", "b", "body").mapInArrow(_confirm(words, percent), "a long, b long"))
+    out = ordered.select("a", "b", "body").mapInArrow(_measure(words, percent), "a long, b long, near boolean, dist double")
+    return cut_lineage(out.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "near", "dist"))
