@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import cnn, minhash, mixing, pii, rules
+from tidegate.llm import bpe, cnn, minhash, mixing, pii, rules
 from tidegate.llm.common import fold, table
 
 
@@ -64,9 +65,15 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
 
 
+def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op4_personal_data, op6_quality_rules, op9_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op4_personal_data, op6_quality_rules, op8_byte_level_bpe, op9_minhash_near_dedup)}
 SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL}
