@@ -158,7 +158,7 @@ class Codec:
     def decode(self, ids: pa.Table) -> dict[int, bytes]:
         """Bytes of every w in ``ids(w, p, t)``."""
         self.con.register("ids", ids)
-        unknown = self.con.execute("SELECT count(*) FROM ids i ANTI JOIN vocabulary v ON v.t = i.t").fetchone()[0]
+        unknown = self.con.execute("SELECT count(*) FROM ids i ANTI JOIN vocabulary v ON v.t = i.t").fetchall()[0][0]
         if unknown:
             raise ValueError(f"{unknown} ids are not in the vocabulary")
         got = self.con.sql(_DECODE).to_arrow_table()
