@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, cnn, minhash, mixing, pii, rules
+from tidegate.llm import bpe, cnn, minhash, mixing, pii, rules, wrappers
 from tidegate.llm.common import fold, table
 
 
@@ -75,5 +75,10 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op4_personal_data, op6_quality_rules, op8_byte_level_bpe, op9_minhash_near_dedup)}
+def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = wrappers.extract(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
+QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op4_personal_data, op6_quality_rules, op8_byte_level_bpe, op9_minhash_near_dedup, op10_html_wrappers)}
 SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL}
