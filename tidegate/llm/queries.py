@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, cnn, minhash, mixing, pii, rules, wrappers
+from tidegate.llm import bpe, cnn, minhash, mixing, pii, rules, urls, wrappers
 from tidegate.llm.common import fold, table
 
 
@@ -60,6 +60,15 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.listing("base"), 256).alias("base_sha256"), pii.listing("spans").alias("spans"))
 
 
+# The rules of the contract.
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
@@ -80,5 +89,5 @@ def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op4_personal_data, op6_quality_rules, op8_byte_level_bpe, op9_minhash_near_dedup, op10_html_wrappers)}
+QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op4_personal_data, op5_url_filter, op6_quality_rules, op8_byte_level_bpe, op9_minhash_near_dedup, op10_html_wrappers)}
 SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL}
