@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, cnn, minhash, mixing, pii, rules, urls, wrappers
+from tidegate.llm import bpe, cnn, embeddings, minhash, mixing, pii, rules, urls, wrappers
 from tidegate.llm.common import fold, table
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
@@ -89,5 +93,5 @@ def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_quality_classifier, op4_personal_data, op5_url_filter, op6_quality_rules, op8_byte_level_bpe, op9_minhash_near_dedup, op10_html_wrappers)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_source_mixing, op3_quality_classifier, op4_personal_data, op5_url_filter, op6_quality_rules, op8_byte_level_bpe, op9_minhash_near_dedup, op10_html_wrappers)}
 SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL}

@@ -104,7 +104,10 @@ def judge(pages: DataFrame, rules: Sequence[Rule], *, key: str = "page_id", url:
         # In a fixed order and few parts, so that sums, and hence trees, agree between runs.
         sample = bounded_sample(labelled, "url", rows).select("url", "label", *FEATURES).repartitionByRange(4, "url").sortWithinPartitions("url")
         gather = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
-        trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=7, maxBins=64).fit(gather.transform(cut_lineage(sample)))
+        sample = cut_lineage(sample)
+        share = sample.agg(F.avg("label")).first()[0]  # both classes weigh the same: the rules say little of how common each is
+        weighed = sample.withColumn("weight", F.when(F.col("label") == 1, F.lit(1 - share)).otherwise(F.lit(share)))
+        trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=7, maxBins=64, weightCol="weight").fit(gather.transform(weighed))
         judged = trees.transform(gather.transform(out)).withColumn("block_probability", vector_to_array("probability")[1])
     verdict = F.coalesce("by_rule", F.when(F.col("block_probability") >= 0.5, "block").otherwise("allow"))
     return judged.select(F.col("key").alias(key), "url", "host", "path", "rule", verdict.alias("verdict"), "block_probability")
