@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, cnn, embeddings, minhash, mixing, pii, rules, urls, wrappers
+from tidegate.llm import bpe, brown, cnn, embeddings, minhash, mixing, pii, rules, urls, wrappers
 from tidegate.llm.common import fold, table
 
 
@@ -78,6 +78,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
 
 
+def op7_brown_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     coded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -93,5 +97,5 @@ def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_source_mixing, op3_quality_classifier, op4_personal_data, op5_url_filter, op6_quality_rules, op8_byte_level_bpe, op9_minhash_near_dedup, op10_html_wrappers)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_source_mixing, op3_quality_classifier, op4_personal_data, op5_url_filter, op6_quality_rules, op7_brown_lm_scores, op8_byte_level_bpe, op9_minhash_near_dedup, op10_html_wrappers)}
 SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL}
