@@ -245,3 +245,16 @@ def _measured(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) ->
     ordered = rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("a") != F.col("b"), "b")
     out = ordered.select("a", "b", "body").mapInArrow(_measure(words, percent), "a long, b long, near boolean, dist double")
     return cut_lineage(out.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "near", "dist"))
+
+
+def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, one of each group of near duplicates; of rows that repeat an id, the least."""
+    held = docs.columns
+    dropped = near_duplicates(docs, key=key, text=text, **how).filter("NOT kept").select(F.col("doc_id").alias(key)).distinct()
+    rest = docs.join(dropped, key, "left_anti")
+    again = docs.groupBy(key).count().filter(F.col("count") > 1).filter(F.col(key).isNotNull()).select(key)
+    again = cut_lineage(again)
+    if again.isEmpty():
+        return rest.select(*held)
+    least = rest.join(again, key, "left_semi").groupBy(key).agg(F.min(F.struct(*held)).alias("row")).select("row.*")
+    return rest.join(again, key, "left_anti").select(*held).unionByName(least)

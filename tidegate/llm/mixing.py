@@ -95,3 +95,16 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
             .select("doc_id", "source", "size", "source_size", "target", (upto - past).alias("copies")))
 
 
+
+
+def repeat(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Rows are matched by a hash of their id, source and text; equal rows add up their copies.
+    """
+    held = docs.columns
+    named = docs.withColumn("__row", F.xxhash64(F.lit("mix"), F.col(key), F.col(source), F.col(text)))
+    copies = mix(named, key="__row", text=text, source=source, **how).groupBy("doc_id").agg(F.sum("copies").alias("__copies")) \
+        .filter("__copies > 0").withColumnRenamed("doc_id", "__row")
+    return named.dropDuplicates(["__row"]).join(copies, "__row") \
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*held)

@@ -27,6 +27,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -221,21 +222,22 @@ def listing(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', {name}, s.start, s.end)), ',')")
 
 
-def redact(docs: DataFrame, spans: DataFrame, *, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with every span of ``spans(key, spans)`` replaced by its kind in brackets."""
+def redact(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """``docs`` with every span found replaced by its kind in brackets; columns stay as they are."""
+    held = docs.columns
+    named = docs.withColumn("__row", F.xxhash64(F.lit("pii"), F.col(key), F.col(text)))
+    spans = find(named, keys=("__row",), text=text, **how).filter(F.size("spans") > 0).select("__row", "spans").dropDuplicates(["__row"])
+
     @F.pandas_udf("string")
-    def mask(texts, found):
+    def mask(texts: pd.Series, found: pd.Series) -> pd.Series:
         out = []
         for t, own in zip(texts, found):
-            if t is None or own is None or not len(own):
-                out.append(t)
-                continue
             pieces, at = [], 0
             for s in own:
                 if s["start"] >= at:
                     pieces += [t[at:s["start"]], f"[{KINDS[s['kind']].upper()}]"]
                 at = max(at, s["end"])
             out.append("".join([*pieces, t[at:]]))
-        import pandas as pd
         return pd.Series(out, dtype=object)
-    return docs.join(spans, key, "left").withColumn(text, F.when(F.size("spans") > 0, mask(text, "spans")).otherwise(F.col(text))).drop("spans")
+    marked = named.join(spans, "__row", "left").withColumn("spans", F.coalesce("spans", F.array()))
+    return marked.withColumn(text, F.when(F.size("spans") > 0, mask(F.coalesce(text, F.lit("")), "spans")).otherwise(F.col(text))).select(*held)

@@ -198,6 +198,23 @@ def judge(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     """(key, COUNTS, TRAITS, base_failed, rule, kept) of every row."""
     stats = cut_lineage(text_statistics(docs, key, text))
     rules = fit(stats, labels, key=key, label=label, rows=rows)
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return stats.withColumn("base_failed", base).withColumn("rule", as_column(rules)) \
+    return stats.withColumn("base_failed", base_failed()).withColumn("rule", as_column(rules)) \
         .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
+def keep(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality",
+         rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs`` that the fixed limits and the learned list keep; no row moves between tasks."""
+    known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull())
+    sample = bounded_sample(known, key, rows).select(key, label)
+    shown = docs.select(key, text).join(F.broadcast(sample.select(key)), key, "left_semi")
+    rules = fit(text_statistics(shown, key, text), sample, key=key, label=label, rows=2 * rows)
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("binary").alias("text"))
+    fields = ", ".join([f"row {whole.schema['row'].dataType.simpleString()}", *[f"{c} long" for c in COUNTS], *[f"{c} double" for c in TRAITS]])
+    judged = whole.mapInArrow(_statistics, fields)
+    return judged.filter(~base_failed() & as_column(rules).isNull()).select("row.*")
+
+
+def base_failed() -> Column:
+    """The fixed limits: too few words, or more than half of them in repeated windows."""
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
