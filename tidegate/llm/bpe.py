@@ -197,7 +197,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, keys: tupl
     def run(batches):
         codec, ids, decoded = _codec(shared.value)
         split = regex.compile(own_pattern(pattern)).findall
-        for part, texts in text_slices(batches, "text"):
+        for part, texts in text_slices(batches, "__text"):
             pieces = [split(t) if t else [] for t in texts]
             if len(ids) > HELD:
                 ids.clear(), decoded.clear()
@@ -211,7 +211,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, keys: tupl
                 + [pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(packed, pa.binary()), pa.array(bodies, pa.binary())],
                 names=[*part.schema.names[:-1], "n_tokens", "ids", "decoded"])
     fields = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["n_tokens long, ids binary, decoded binary"])
-    return docs.select(*keys, F.col(text).alias("text")).mapInArrow(run, fields)
+    return docs.select(*keys, F.col(text).alias("__text")).mapInArrow(run, fields)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], *, keys: tuple[str, ...] = ("doc_id",), ids: str = "ids") -> DataFrame:
@@ -221,7 +221,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], *, keys: tuple[str, ...]
 
     def run(batches):
         codec = _codec(shared.value)[0]
-        for part, values in text_slices(batches, "ids", 1 << 20):
+        for part, values in text_slices(batches, "__ids", 1 << 20):
             arrays = [np.frombuffer(v or b"", "<u4") for v in values]
             size = np.array([len(a) for a in arrays], np.int64)
             table = pa.table({"w": np.repeat(np.arange(len(arrays)), size).astype(np.int32), "p": np.arange(size.sum()).astype(np.int64),
@@ -231,4 +231,4 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], *, keys: tuple[str, ...]
                                              + [pa.array([got.get(i, b"") for i in range(len(arrays))], pa.binary())],
                                              names=[*part.schema.names[:-1], "decoded"])
     fields = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["decoded binary"])
-    return encoded.select(*keys, F.col(ids).alias("ids")).mapInArrow(run, fields)
+    return encoded.select(*keys, F.col(ids).alias("__ids")).mapInArrow(run, fields)
