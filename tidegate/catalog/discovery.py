@@ -129,15 +129,15 @@ def i8(spark, sf):
     f"""SELECT '{c}' AS "column", round(quantile_cont({c}, {q}), 4) AS cut FROM m""" for c in ("loan_amount", "c_acctbal") for q in (0.33, 0.5, 0.67)))
 def i9(spark, sf):
     names = ["loan_amount", "c_acctbal"]
-    cuts = D.exact_quantiles(modelling(spark, sf), names, D.SELECTOR_QUANTILES)
-    return spark.createDataFrame([(c, round(q, 4)) for c in names for q in cuts[c]], "column string, cut double")
+    below = [x for x in D.selectors_for(modelling(spark, sf), continuous=names) if x.op == "<="]
+    return spark.createDataFrame([(x.column, x.value) for x in below], "column string, cut double")
 
 
 @query("i10_subgroup_search")
 def i10(spark, sf):
     df = share(modelling(spark, sf).filter("label_mature_d45 = 1"))
     selectors = D.build_selectors(df, ["weekday"], ["loan_amount", "c_acctbal", "score"], ["label_repaid_current_snapshot"])
-    found = D.subgroup_search(df, selectors, outcome=E.NEVER_PAID, alternative="label_gross_dpd45 = 1", is_train="SPLIT_PCT < 80", beam=20)
+    found = D.subgroup_search(df, selectors, outcome=E.NEVER_PAID, alternative="label_gross_dpd45 = 1", is_train="SPLIT_PCT < 80")
     return spark.createDataFrame([(" AND ".join(g.conditions), g.n_train, g.train_rate, g.n_test, g.test_rate, g.lift, g.p_value)
                                   for g in found], "conditions string, n_train long, train_rate double, n_test long, test_rate double, lift double, p_value double")
 
@@ -165,14 +165,14 @@ def i13(spark, sf):
 @query("i14_isolation_forest")
 def i14(spark, sf):
     train, test = train_test(spark, sf)
-    return M.fit_isolation_forest(train, FEATURES, "o_orderkey", trees=60)(test.select("o_orderkey", *FEATURES)).select(
+    return M.fit_isolation_forest(train, FEATURES, "o_orderkey", trees=300)(test.select("o_orderkey", *FEATURES)).select(
         "o_orderkey", "y_pred")
 
 
 @query("i15_gaussian_mixture")
 def i15(spark, sf):
     train, test = train_test(spark, sf)
-    return M.fit_mixture(train, FEATURES, "o_orderkey", components=4)(test).select("o_orderkey", "y_pred")
+    return M.fit_mixture(train, FEATURES, "o_orderkey", components=8)(test).select("o_orderkey", "y_pred")
 
 
 @query("i16_depth_table_with_lift", MODEL + _depth_sql("is_fraud = 1", "label_mature_d45 = 1", (0.01, 0.05, 0.1), source="m"))

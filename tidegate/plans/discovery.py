@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import statistics
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -43,32 +44,34 @@ class SurrogateRule:
         return " AND ".join(self.conditions) or "true"
 
 
+def _leaf_boxes(tree, features: Sequence[str]) -> list[tuple[str, ...]]:
+    """The threshold conditions of each leaf of a fitted tree, from a queue of open nodes."""
+    boxes, queue = [], [(tree._call_java("rootNode"), ())]
+    while queue:
+        node, box = queue.pop(0)
+        if node.numDescendants() == 0:
+            boxes.append(box)
+            continue
+        column, cut = features[node.split().featureIndex()], node.split().threshold()
+        queue += [(child, (*box, f"{column} {side} {cut!r}D")) for side, child in (("<=", node.leftChild()), (">", node.rightChild()))]
+    return boxes
+
+
 def surrogate_rules(df: DataFrame, features: Sequence[str], score: str, *, max_depth: int = 3, min_leaf: int = 50) -> list[SurrogateRule]:
     """Threshold rules that mimic a score: leaves of a shallow regression tree, highest mean first."""
     medians = exact_quantiles(df, features, [0.5])
     filled = share(df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(medians[c][0] or 0.0)).alias(c) for c in features],
                              F.col(score).cast("double").alias("__y")))
+    gather = VectorAssembler(inputCols=list(features), outputCol="__x")
     tree = DecisionTreeRegressor(featuresCol="__x", labelCol="__y", maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                                 maxBins=64, seed=0).fit(
-        VectorAssembler(inputCols=list(features), outputCol="__x").transform(filled))
-    leaves: list[list[str]] = []
-
-    def walk(node, conditions: list[str]) -> None:
-        if node.numDescendants() == 0:
-            leaves.append(conditions)
-            return
-        split = node.split()
-        name, cut = features[split.featureIndex()], split.threshold()
-        walk(node.leftChild(), [*conditions, f"{name} <= {cut!r}D"])
-        walk(node.rightChild(), [*conditions, f"{name} > {cut!r}D"])
-
-    walk(tree._call_java("rootNode"), [])
-    aggs = [e for i, c in enumerate(leaves) for e in (
-        F.expr(f"count_if({' AND '.join(c) or 'true'})").alias(f"n{i}"),
-        F.expr(f"avg(IF({' AND '.join(c) or 'true'}, __y, NULL))").alias(f"m{i}"))]
-    row = filled.agg(*aggs).first()
-    rules = [SurrogateRule(tuple(c), row[f"n{i}"], row[f"m{i}"]) for i, c in enumerate(leaves)]
-    return sorted(rules, key=lambda r: -(r.mean_score if r.mean_score is not None else -math.inf))
+                                 maxBins=64, seed=0).fit(gather.transform(filled))
+    boxes = _leaf_boxes(tree, features)
+    # Leaves do not overlap: a row has one leaf number, and one grouped pass gives all supports and means.
+    number = F.expr("CASE " + " ".join(f"WHEN {' AND '.join(box) or 'true'} THEN {i}" for i, box in enumerate(boxes)) + " END")
+    held = filled.groupBy(number.alias("leaf")).agg(F.count("*").alias("n"), F.avg("__y").alias("mean")).collect()
+    filled.unpersist()
+    rules = [SurrogateRule(boxes[r.leaf], r.n, r["mean"]) for r in held if r.leaf is not None]
+    return sorted(rules, key=lambda r: (-r.mean_score, r.conditions))
 
 
 def rule_enrichment(df: DataFrame, rules: Mapping[str, str], band: str = "heuristic_fraud_band") -> DataFrame:
@@ -89,21 +92,43 @@ def rule_enrichment(df: DataFrame, rules: Mapping[str, str], band: str = "heuris
 
 # ---- subgroup search ------------------------------------------------------------------
 
+# The cut points of selectors.
 SELECTOR_QUANTILES = (0.33, 0.5, 0.67)
+SELECTOR_COUNTS = (2, 3)
+
 
+@dataclass(frozen=True, order=True)
+class Selector:
+    """One comparison of a column with a number; rows with a null fail it."""
 
-def build_selectors(df: DataFrame, counts: Sequence[str] = (), continuous: Sequence[str] = (),
-                    binary: Sequence[str] = ()) -> list[tuple[str, str]]:
-    """(name, SQL condition): counts >= 2 and >= 3, both sides of three quantiles, binary = 1."""
-    out = [(f"{c} >= {t}", f"coalesce({c} >= {t}, false)") for c in counts for t in (2, 3)]
+    column: str
+    op: str
+    value: float
+
+    @property
+    def name(self) -> str:
+        return f"{self.column} {'==' if self.op == '=' else self.op} {self.value:.4g}"
+
+    @property
+    def sql(self) -> str:
+        number = f"{self.value!r}D" if isinstance(self.value, float) else str(self.value)
+        return f"coalesce({self.column} {self.op} {number}, false)"
+
+
+def selectors_for(df: DataFrame, counts: Sequence[str] = (), continuous: Sequence[str] = (), binary: Sequence[str] = ()) -> list[Selector]:
+    """Selectors of three kinds of columns: counts from the fixed sizes up, both sides of the quantiles, and ones."""
     cuts = exact_quantiles(df, list(continuous), SELECTOR_QUANTILES) if continuous else {}
-    for c in continuous:
-        for q in sorted({round(v, 4) for v in cuts[c] if v is not None}):
-            out += [(f"{c} <= {q:.4g}", f"coalesce({c} <= {q!r}D, false)"), (f"{c} > {q:.4g}", f"coalesce({c} > {q!r}D, false)")]
-    return out + [(f"{c} == 1", f"coalesce({c} = 1, false)") for c in binary]
+    sides = [Selector(c, op, q) for c in continuous for q in sorted({round(v, 4) for v in cuts[c] if v is not None}) for op in ("<=", ">")]
+    return [Selector(c, ">=", n) for c in counts for n in SELECTOR_COUNTS] + sides + [Selector(c, "=", 1) for c in binary]
 
 
-_COUNTS = ("n_tr", "pos_tr", "n_te", "pos_te", "alt_te")
+def build_selectors(df: DataFrame, *columns: Sequence[str], **kinds: Sequence[str]) -> list[tuple[str, str]]:
+    """:func:`selectors_for` as (name, SQL condition) pairs, the form the search takes."""
+    return [(x.name, x.sql) for x in selectors_for(df, *columns, **kinds)]
+
+
+# ``mark`` adds up a hash per pattern of test rows, so that equal sums name equal sets of test rows.
+_COUNTS = ("n_tr", "pos_tr", "n_te", "pos_te", "alt_te", "mark")
 
 
 @dataclass(frozen=True)
@@ -128,7 +153,8 @@ def selector_patterns(df: DataFrame, selectors: Sequence[tuple[str, str]], outco
     return df.selectExpr(*words, f"({is_train}) AS tr", f"({outcome}) AS y", f"({alternative}) AS alt").groupBy(*names).agg(
         F.expr("count_if(tr)").alias("n_tr"), F.expr("count_if(tr AND y)").alias("pos_tr"),
         F.expr("count_if(NOT tr)").alias("n_te"), F.expr("count_if(NOT tr AND y)").alias("pos_te"),
-        F.expr("count_if(NOT tr AND alt)").alias("alt_te"))
+        F.expr("count_if(NOT tr AND alt)").alias("alt_te")).withColumn(
+        "mark", F.when(F.col("n_te") > 0, F.shiftrightunsigned(F.xxhash64(*names), 24)).otherwise(F.lit(0)))
 
 
 def _count_candidates(patterns: DataFrame, candidates: Sequence[frozenset[int]]) -> np.ndarray:
@@ -163,8 +189,7 @@ def subgroup_search(df: DataFrame, selectors: Sequence[tuple[str, str]], *, outc
                     min_test: int = 30) -> list[Subgroup]:
     """Beam search for conjunctions with a high training rate, validated on the test rows.
 
-    Data passes: one to build the pattern table, one small pass per depth. Rules
-    with the same test footprint collapse to the shortest.
+    Data passes: one to build the pattern table, one small pass per depth.
     """
     names = [n for n, _ in selectors]
     patterns = share(selector_patterns(df, selectors, outcome, alternative, is_train))
@@ -184,24 +209,34 @@ def subgroup_search(df: DataFrame, selectors: Sequence[tuple[str, str]], *, outc
         candidates = sorted({c | {i} for c, _ in kept[:beam] for i in range(len(names)) if i not in c} - seen,
                             key=lambda c: sorted(names[i] for i in c))
     base = totals.pos_te / totals.n_te if totals.n_te else 0.0
-    rules = []
-    for c, (n_tr, pos_tr, n_te, pos_te, alt_te) in found.items():
-        if n_te >= max(min_test, 1):
-            rate = pos_te / n_te
-            rules.append(Subgroup(tuple(sorted(names[i] for i in c)), int(n_tr), float(pos_tr / n_tr), int(n_te), float(rate),
-                                  float(alt_te / n_te), float(rate / base) if base else math.nan,
-                                  binomial_tail(int(pos_te), int(n_te), base)))
-    shortest: dict[tuple[int, float], Subgroup] = {}
-    for r in sorted(rules, key=lambda r: (len(r.conditions), r.conditions)):
-        shortest.setdefault((r.n_test, round(r.test_rate, 6)), r)
-    return sorted(shortest.values(), key=lambda r: (-r.test_rate, r.conditions))
-
-
-def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X >= k) of a binomial by the continuity-corrected normal approximation."""
-    if n == 0 or not 0 < p < 1:
+    # Conjunctions that pick the same test rows are one subgroup, named by the shortest.
+    by_rows: dict[tuple[int, int], tuple[tuple[str, ...], np.ndarray]] = {}
+    for candidate, row in found.items():
+        label = tuple(sorted(names[i] for i in candidate))
+        n_test, mark = int(row[2]), int(row[5])
+        if n_test < max(min_test, 1):
+            continue
+        held = by_rows.get((n_test, mark))
+        if held is None or (len(label), label) < (len(held[0]), held[0]):
+            by_rows[n_test, mark] = (label, row)
+    groups = []
+    for label, (n_tr, pos_tr, n_te, pos_te, alt_te, _) in by_rows.values():
+        rate = float(pos_te / n_te)
+        groups.append(Subgroup(label, int(n_tr), float(pos_tr / n_tr), int(n_te), rate, float(alt_te / n_te),
+                               rate / base if base else math.nan, upper_tail(int(pos_te), int(n_te), base)))
+    return sorted(groups, key=lambda g: (-g.test_rate, g.conditions))
+
+
+def upper_tail(k: int, n: int, p: float) -> float:
+    """Chance of ``k`` hits or more in ``n`` draws of rate ``p``.
+
+    Fixed values: the normal curve stands in for the binomial, with half a hit of
+    continuity correction; without draws or with a sure rate the chance is 1.
+    """
+    if not n or not 0 < p < 1:
         return 1.0
-    return 0.5 * math.erfc((k - 0.5 - n * p) / math.sqrt(n * p * (1 - p)) / math.sqrt(2))
+    spread = statistics.NormalDist(n * p, math.sqrt(n * p * (1 - p)))
+    return spread.cdf(2 * n * p - (k - 0.5))  # the mirrored lower tail, which keeps small chances exact
 
 
 # ---- cohort report ----------------------------------------------------------------------
