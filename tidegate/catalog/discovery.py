@@ -159,7 +159,7 @@ def i11(spark, sf):
 @query("i13_boosted_lens")
 def i13(spark, sf):
     train, test = train_test(spark, sf)
-    return M.fit_boosted(train, FEATURES, "label_gross_dpd45", iterations=5, depth=3)(test).select("o_orderkey", "y_pred")
+    return M.fit_boosted(train, FEATURES, "label_gross_dpd45")(test).select("o_orderkey", "y_pred")
 
 
 @query("i14_isolation_forest")

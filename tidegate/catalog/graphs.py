@@ -14,15 +14,16 @@ CAP = 20
 BIG = (Rule("big_loan", "review", "draft", "2026-01-01", "A large order.", ({"column": "loan_amount", "op": ">", "value": 440000},)),)
 
 
-def advances(spark, sf):
-    """Order lines as advances; devices and banks are kept for 3% of their values."""
-    b = S._spark_bucket
-    dev = "CAST(l_suppkey AS STRING) || '-' || date_format(l_shipdate, 'yyyyMMdd')"
-    bank = "CAST(l_partkey AS STRING) || '-' || date_format(l_shipdate, 'yyyyMM')"
+# Fine keys share an entity between a few users, so that components stay small; coarse keys make hubs.
+KEYS = {"fine": ("l_partkey {0} '-' {0} {1}", "l_partkey {0} '-' {0} l_suppkey {0} '-' {0} {2}"),
+        "coarse": ("l_suppkey {0} '-' {0} {1}", "l_partkey {0} '-' {0} {2}")}
+
+
+def advances(spark, sf, keys="fine"):
+    """Every order line as an advance with a device and a bank account."""
+    dev, bank = (k.format("||", "date_format(l_shipdate, 'yyyyMMdd')", "date_format(l_shipdate, 'yyyyMM')") for k in KEYS[keys])
     lines = S.table(spark, sf, "lineitem").selectExpr(
-        "l_orderkey", "l_linenumber", f"{dev} AS dev", f"{bank} AS bank").selectExpr(
-        "l_orderkey", f"CASE WHEN {b(chr(39) + 'dev:' + chr(39) + ' || dev', 100)} < 3 THEN IF(l_linenumber = 7, ' None', dev) END AS device_id",
-        f"CASE WHEN {b(chr(39) + 'bank:' + chr(39) + ' || bank', 100)} < 3 THEN bank END AS bank_account_key")
+        "l_orderkey", f"IF(l_linenumber = 7, ' None', {dev}) AS device_id", f"{bank} AS bank_account_key")
     return lines.join(S.table(spark, sf, "orders"), F.expr("l_orderkey = o_orderkey")).selectExpr(
         "o_orderkey AS advance_id", "o_custkey AS user_id", "o_orderdate AS feature_as_of_ts", "o_totalprice AS loan_amount",
         "device_id", "bank_account_key", "IF(o_custkey % 13 = 0, 1, 0) AS is_fraud", "IF(o_orderkey % 5 = 0, 1, 0) AS label_gross_dpd45",
@@ -30,34 +31,31 @@ def advances(spark, sf):
         "IF(o_orderkey % 5 = 0, o_orderdate + INTERVAL 10 DAYS, NULL) AS expected_dpd45_date")
 
 
-ADV = f"""
-lines AS (SELECT l_orderkey, l_linenumber, l_suppkey::VARCHAR || '-' || strftime(l_shipdate, '%Y%m%d') AS dev,
-                 l_partkey::VARCHAR || '-' || strftime(l_shipdate, '%Y%m') AS bank FROM lineitem),
+def _sql(keys):
+    dev, bank = (k.format("||", "strftime(l_shipdate, '%Y%m%d')", "strftime(l_shipdate, '%Y%m')") for k in KEYS[keys])
+    return f"""WITH RECURSIVE
 adv AS (SELECT o_orderkey AS advance_id, o_custkey AS user_id, o_orderdate AS feature_as_of_ts, o_totalprice AS loan_amount,
-  CASE WHEN {S.bucket_sql("'dev:' || dev")} < 3 THEN CASE WHEN l_linenumber = 7 THEN ' None' ELSE dev END END AS device_id,
-  CASE WHEN {S.bucket_sql("'bank:' || bank")} < 3 THEN bank END AS bank_account_key,
+  CASE WHEN l_linenumber = 7 THEN ' None' ELSE {dev} END AS device_id, {bank} AS bank_account_key,
   CASE WHEN o_custkey % 13 = 0 THEN 1 ELSE 0 END AS is_fraud, CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS label_gross_dpd45,
   CASE WHEN o_orderkey % 10 <> 0 THEN 1 ELSE 0 END AS label_mature_d45
-  FROM lines JOIN orders ON l_orderkey = o_orderkey),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 cells AS (SELECT advance_id, user_id, 'device' AS entity_type, device_id AS entity_value, feature_as_of_ts AS ts FROM adv WHERE device_id IS NOT NULL
           UNION ALL SELECT advance_id, user_id, 'bank', bank_account_key, feature_as_of_ts FROM adv WHERE bank_account_key IS NOT NULL),
 edges AS (SELECT DISTINCT * FROM cells WHERE lower(trim(entity_value)) NOT IN ('', 'none', 'nan', 'null', 'nat', '0', '0-0', 'none-none')),
 flags AS (SELECT user_id, max(is_fraud) AS is_fraud, max(loan_amount > 440000) AS scenario_any FROM adv GROUP BY 1),
 deg AS (SELECT entity_type, entity_value, count(DISTINCT user_id) AS n FROM edges GROUP BY 1, 2),
 capped AS (SELECT e.* FROM edges e JOIN deg USING (entity_type, entity_value) WHERE n <= {CAP})"""
-BASE = "WITH RECURSIVE" + ADV
 
 
-def edges(spark, sf):
-    return share(G.build_edges(advances(spark, sf)))
+BASE, COARSE = _sql("fine"), _sql("coarse")
 
 
-def flags(spark, sf):
-    return share(G.user_attributes(advances(spark, sf), ("is_fraud",), BIG))
+def edges(spark, sf, keys="fine"):
+    return share(G.build_edges(advances(spark, sf, keys)))
 
 
-def capped(spark, sf):
-    return share(G.view(edges(spark, sf), degree_cap=CAP))
+def flags(spark, sf):
+    return share(G.user_attributes(advances(spark, sf), ("is_fraud",), BIG))
 
 
 def users(spark, sf):
@@ -129,10 +127,13 @@ def h8(spark, sf):
 def _comp_sql(src):
     return f""",
 pairs AS (SELECT DISTINCT 'user:' || user_id::VARCHAR AS u, entity_type || ':' || entity_value AS e, entity_type FROM {src}),
-verts AS (SELECT u AS v, 'user' AS kind FROM pairs UNION SELECT e, entity_type FROM pairs UNION SELECT 'user:' || user_id::VARCHAR, 'user' FROM adv),
-sym AS (SELECT u AS a, e AS b FROM pairs UNION ALL SELECT e, u FROM pairs),
-walk(v, c) AS (SELECT v, v FROM verts UNION SELECT s.b, w.c FROM walk w JOIN sym s ON w.v = s.a),
-comp AS (SELECT v, kind, min(c) AS comp_id FROM walk JOIN verts USING (v) GROUP BY 1, 2),
+met AS (SELECT DISTINCT a.u AS a, b.u AS b FROM pairs a JOIN pairs b ON a.e = b.e WHERE a.u <> b.u),
+walk(u, c) AS (SELECT DISTINCT 'user:' || user_id::VARCHAR AS u, 'user:' || user_id::VARCHAR AS c FROM adv
+               UNION SELECT m.b, w.c FROM walk w JOIN met m ON w.u = m.a),
+root AS (SELECT u, min(c) AS r FROM walk GROUP BY 1),
+member AS (SELECT u AS v, 'user' AS kind, r FROM root UNION ALL SELECT DISTINCT e, entity_type, r FROM pairs JOIN root USING (u)),
+named AS (SELECT r, min(v) AS comp_id FROM member GROUP BY 1),
+comp AS (SELECT v, kind, comp_id FROM member JOIN named USING (r)),
 fl AS (SELECT 'user:' || user_id::VARCHAR AS v, is_fraud, scenario_any::INT AS scen FROM flags),
 cc AS (SELECT comp_id, count(*) FILTER (WHERE kind = 'user') AS n_users, count(*) FILTER (WHERE kind <> 'user') AS n_entities,
   coalesce(string_agg(DISTINCT kind, ',' ORDER BY kind) FILTER (WHERE kind <> 'user'), '') AS entity_types,
@@ -140,9 +141,9 @@ cc AS (SELECT comp_id, count(*) FILTER (WHERE kind = 'user') AS n_users, count(*
   FROM comp LEFT JOIN fl USING (v) GROUP BY 1)"""
 
 
-@query("h9_component_census", BASE + _comp_sql("capped") + "SELECT * FROM cc")
+@query("h9_component_census", BASE + _comp_sql("edges") + "SELECT * FROM cc")
 def h9(spark, sf):
-    return C.census(C.vertex_components(capped(spark, sf), users(spark, sf)), flags(spark, sf), "is_fraud")
+    return C.census(C.vertex_components(edges(spark, sf), users(spark, sf)), flags(spark, sf), "is_fraud")
 
 
 @query("h10_ego_ring", BASE + """,
@@ -173,19 +174,19 @@ stats AS (SELECT entity_type, entity_value, count(DISTINCT user_id) AS n_users,
   round(count(DISTINCT user_id) / greatest(date_diff('day', min(ts), max(ts)), 1)::DOUBLE, 3) AS users_per_day FROM edges GROUP BY 1, 2)"""
 
 
-@query("h12_hub_report", BASE + _HUBS + """
+@query("h12_hub_report", COARSE + _HUBS + """
 SELECT s.*, round(avg(f.is_fraud), 3) AS fraud_user_rate FROM (SELECT * FROM stats ORDER BY n_users DESC, entity_value, entity_type LIMIT 20) s
 JOIN (SELECT DISTINCT user_id, entity_type, entity_value FROM edges) p USING (entity_type, entity_value) JOIN flags f USING (user_id)
 GROUP BY ALL""")
 def h12(spark, sf):
-    return T.hub_report(edges(spark, sf), advances(spark, sf))
+    return T.hub_report(edges(spark, sf, "coarse"), advances(spark, sf, "coarse"))
 
 
-@query("h13_residual_ring_members", BASE + _comp_sql("capped") + """
+@query("h13_residual_ring_members", BASE + _comp_sql("edges") + """
 SELECT substr(v, 6) AS user_id, comp_id, n_users AS ring_users, n_types AS ring_types, n_flagged AS ring_flagged, entity_types
 FROM comp JOIN cc USING (comp_id) LEFT JOIN fl USING (v) WHERE kind = 'user' AND n_users >= 3 AND n_types >= 2 AND coalesce(is_fraud, 0) = 0""")
 def h13(spark, sf):
-    members, f = share(C.vertex_components(capped(spark, sf), users(spark, sf))), flags(spark, sf)
+    members, f = share(C.vertex_components(edges(spark, sf), users(spark, sf))), flags(spark, sf)
     return Q.residual_ring_members(members, C.census(members, f, "is_fraud"), f, "is_fraud")
 
 
@@ -197,27 +198,24 @@ def h14(spark, sf):
     return Q.bad_neighbours(edges(spark, sf), flags(spark, sf), max_hops=2)
 
 
-@query("h15_emerging_farms", BASE + _HUBS + """,
-hubs AS (SELECT * FROM (SELECT * FROM stats ORDER BY n_users DESC, entity_value, entity_type LIMIT 1000) WHERE n_users >= 2),
+@query("h15_emerging_farms", COARSE + _HUBS + """,
 cov AS (SELECT entity_type, entity_value, avg(is_fraud) AS flagged_coverage FROM (SELECT DISTINCT user_id, entity_type, entity_value FROM edges)
         JOIN flags USING (user_id) GROUP BY 1, 2)
-SELECT hubs.*, flagged_coverage, users_per_day * (1 - flagged_coverage) AS score FROM hubs JOIN cov USING (entity_type, entity_value)
-ORDER BY score DESC, entity_value, entity_type LIMIT 50""")
+SELECT stats.*, flagged_coverage, users_per_day * (1 - flagged_coverage) AS score FROM stats JOIN cov USING (entity_type, entity_value)
+WHERE n_users >= 5 ORDER BY score DESC, entity_value, entity_type LIMIT 50""")
 def h15(spark, sf):
-    return Q.emerging_farms(edges(spark, sf), flags(spark, sf), "is_fraud", min_users=2)
+    return Q.emerging_farms(edges(spark, sf, "coarse"), flags(spark, sf), "is_fraud")
 
 
-@query("h16_multi_witness_pairs", BASE + _PROJ + """
-SELECT * FROM proj WHERE n_shared >= 1 AND n_types >= 1 AND user_a NOT IN (SELECT user_id FROM flags WHERE is_fraud = 1)
+@query("h16_multi_witness_pairs", COARSE + _PROJ + """
+SELECT * FROM proj WHERE n_types >= 2 AND user_a NOT IN (SELECT user_id FROM flags WHERE is_fraud = 1)
 AND user_b NOT IN (SELECT user_id FROM flags WHERE is_fraud = 1)""")
 def h16(spark, sf):
-    return Q.multi_witness_pairs(edges(spark, sf), flags(spark, sf), "is_fraud", min_types=1)
+    return Q.multi_witness_pairs(edges(spark, sf, "coarse"), flags(spark, sf), "is_fraud", degree_cap=CAP)
 
 
 @query("h17_fresh_rings", BASE + """,
-recent AS (SELECT * FROM edges WHERE ts >= (SELECT max(ts) FROM edges) - INTERVAL 200 DAY),
-rdeg AS (SELECT entity_type, entity_value, count(DISTINCT user_id) AS n FROM recent GROUP BY 1, 2),
-rcap AS (SELECT r.* FROM recent r JOIN rdeg USING (entity_type, entity_value) WHERE n <= 20)""" + _comp_sql("rcap") + """
+recent AS (SELECT * FROM edges WHERE ts >= (SELECT max(ts) FROM edges) - INTERVAL 200 DAY)""" + _comp_sql("recent") + """
 SELECT cc.*, (SELECT max(ts) FROM edges) - INTERVAL 200 DAY AS window_start, (SELECT max(ts) FROM edges) AS window_end FROM cc WHERE n_users >= 2""")
 def h17(spark, sf):
     return Q.fresh_rings(edges(spark, sf), users(spark, sf), flags(spark, sf), days=200)

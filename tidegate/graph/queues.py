@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import clock
 from tidegate.graph.components import census, vertex_components
-from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, RING_CAP, TS, view
+from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, TS, view
 from tidegate.graph.traverse import entity_stats, near_flagged, project_users
 from tidegate.operators.quantiles import exact_quantiles
 from tidegate.plans.rules import Rule, any_flag
@@ -18,7 +18,7 @@ from tidegate.session import share
 
 def residual_ring_members(membership: DataFrame, rings: DataFrame, flags: DataFrame, flag: str,
                           min_users: int = 3, min_types: int = 2) -> DataFrame:
-    """Unflagged members of multi-type rings, strongest association first."""
+    """Users without the flag in components of several users and entity types, most flagged components first."""
     kept = rings.filter(f"n_users >= {min_users} AND n_types >= {min_types}")
     known = flags.filter(f"CAST({flag} AS INT) = 1").selectExpr("concat('user:', CAST(user_id AS STRING)) AS vertex")
     members = membership.filter("kind = 'user'").join(known, "vertex", "left_anti")
@@ -30,7 +30,7 @@ def residual_ring_members(membership: DataFrame, rings: DataFrame, flags: DataFr
 
 def bad_neighbours(edges: DataFrame, flags: DataFrame, names: Sequence[str] = ("scenario_any", "is_fraud"),
                    max_hops: int = 2) -> DataFrame:
-    """Users near a flagged user under any flag, flagged by none; one hop column per flag."""
+    """Users that carry none of the flags within ``max_hops`` of one that does; hops per flag."""
     per_flag = [
         near_flagged(edges, flags.filter(f"CAST({n} AS INT) = 1").select("user_id"), max_hops)
         .selectExpr("user_id", f"hops AS hops_to_{n}") for n in names]
@@ -43,25 +43,21 @@ def bad_neighbours(edges: DataFrame, flags: DataFrame, names: Sequence[str] = ("
 
 def emerging_farms(edges: DataFrame, flags: DataFrame, flag: str, *, min_users: int = 5, top_n: int = 50,
                    layers: Sequence[str] = DEFAULT_LAYERS) -> DataFrame:
-    """Entities gaining users fast that flags have not caught up with.
+    """The ``top_n`` entities by daily intake of users times the share of their users without the flag.
 
-    score = users per day x (1 - flagged share), over the largest
-    ``max(20 * top_n, 500)`` entities of the layers.
+    Every entity of at least ``min_users`` users is scored; only the report is cut.
     """
-    hubs = entity_stats(edges, layers).orderBy(F.desc("n_users"), "entity_value", "entity_type").limit(
-        max(top_n * 20, 500)).filter(f"n_users >= {min_users}")
-    marks = flags.selectExpr("user_id", f"CAST({flag} AS INT) AS flagged")
-    users = edges.join(F.broadcast(hubs.select(*ENTITY)), list(ENTITY), "left_semi").select(*ENTITY, "user_id").distinct()
-    coverage = users.join(marks, "user_id", "left").groupBy(*ENTITY).agg(
+    hubs = entity_stats(edges, layers).filter(f"n_users >= {min_users}")
+    marks = flags.selectExpr("user_id", f"coalesce(CAST({flag} AS INT), 0) AS flagged")
+    flagged = edges.select(*ENTITY, "user_id").distinct().join(marks, "user_id", "left").groupBy(*ENTITY).agg(
         F.expr("avg(coalesce(flagged, 0))").alias("flagged_coverage"))
-    return hubs.join(coverage, list(ENTITY)).withColumn(
-        "score", F.expr("users_per_day * (1 - flagged_coverage)")).orderBy(
-        F.desc("score"), "entity_value", "entity_type").limit(top_n)
+    scored = hubs.join(flagged, list(ENTITY)).withColumn("score", F.expr("users_per_day * (1 - flagged_coverage)"))
+    return scored.orderBy(F.desc("score"), "entity_value", "entity_type").limit(top_n)
 
 
-def multi_witness_pairs(edges: DataFrame, flags: DataFrame, flag: str, *, min_types: int = 2,
-                        degree_cap: int | None = RING_CAP, layers: Sequence[str] = DEFAULT_LAYERS) -> DataFrame:
-    """Pairs linked through several independent channels, neither user flagged."""
+def multi_witness_pairs(edges: DataFrame, flags: DataFrame, flag: str, *, degree_cap: int | None, min_types: int = 2,
+                        layers: Sequence[str] = DEFAULT_LAYERS) -> DataFrame:
+    """User pairs without the flag that share entities of at least ``min_types`` types."""
     known = flags.filter(f"CAST({flag} AS INT) = 1").select("user_id")
     pairs = project_users(edges, layers=layers, degree_cap=degree_cap).filter(f"n_types >= {min_types}")
     for side in ("user_a", "user_b"):
@@ -70,7 +66,7 @@ def multi_witness_pairs(edges: DataFrame, flags: DataFrame, flag: str, *, min_ty
 
 
 def fresh_rings(edges: DataFrame, users: DataFrame, flags: DataFrame, flag: str = "is_fraud", *, days: int = 7,
-                min_users: int = 2, layers: Sequence[str] = DEFAULT_LAYERS, degree_cap: int | None = RING_CAP) -> DataFrame:
+                min_users: int = 2, layers: Sequence[str] = DEFAULT_LAYERS, degree_cap: int | None = None) -> DataFrame:
     """Rings formed by the edges of the last ``days`` before the newest edge."""
     bounds = edges.agg(F.max("ts").alias("hi")).selectExpr(
         f"CAST(hi - INTERVAL {days} DAYS AS STRING) AS lo", "CAST(hi AS STRING) AS hi").first()
@@ -98,11 +94,12 @@ def pooled_rates(truth: DataFrame, members: DataFrame | None = None, groups: Map
     if members is not None:
         rows = rows.join(members.select("user_id").distinct(), "user_id", "left_semi")
     groups = groups or {"pool": "true", "early": "__m <= mid", "late": "__m > mid", "residual": "NOT scen"}
-    parts = [rows.filter(w).agg(
-        F.count("*").alias("n_users"), F.expr("avg(is_fraud)").alias("fraud_rate"),
-        F.expr("avg(dpd45)").alias("dpd45_rate"), F.expr("avg(CAST(scen AS INT))").alias("flagged_rate"),
-    ).withColumn("scope", F.lit(n)) for n, w in groups.items()]
-    return reduce(DataFrame.unionByName, parts)
+    # One aggregate for all scopes, then one line per scope.
+    rates = {"fraud_rate": "is_fraud", "dpd45_rate": "dpd45", "flagged_rate": "CAST(scen AS INT)"}
+    cells = [F.expr(f"count_if({w})").alias(f"n{i}") for i, w in enumerate(groups.values())]
+    cells += [F.expr(f"avg(IF({w}, {e}, NULL))").alias(f"{n}{i}") for i, w in enumerate(groups.values()) for n, e in rates.items()]
+    lines = ", ".join(f"'{name}', n{i}, " + ", ".join(f"{n}{i}" for n in rates) for i, name in enumerate(groups))
+    return rows.agg(*cells).selectExpr(f"stack({len(groups)}, {lines}) AS (scope, n_users, {', '.join(rates)})")
 
 
 def rings_spanned(members: DataFrame, users: DataFrame) -> DataFrame:

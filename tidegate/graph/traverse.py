@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, ENTITY_COLUMNS, RING_CAP, TS, check_layers, user_pairs, view
+from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, ENTITY_COLUMNS, TS, check_layers, user_pairs, view
 from tidegate.session import cut_lineage
 
 
@@ -55,11 +55,11 @@ def ring(edges: DataFrame, user_id: str, hops: int = 2) -> DataFrame:
     return edges.join(entities, list(ENTITY), "left_semi")
 
 
-def project_users(edges: DataFrame, *, layers: Sequence[str] = DEFAULT_LAYERS, degree_cap: int | None = RING_CAP,
+def project_users(edges: DataFrame, *, degree_cap: int | None, layers: Sequence[str] = DEFAULT_LAYERS,
                   as_of: str | None = None) -> DataFrame:
     """User pairs sharing entities: how many, and of how many types (user_a < user_b).
 
-    The cap bounds the pairs an entity emits (190 at the default 20); lifting it
+    The cap bounds the pairs an entity emits (190 at 20); lifting it
     makes the result itself quadratic in the largest entity.
     """
     pairs = view(edges, layers=layers, degree_cap=degree_cap, as_of=as_of).select("user_id", *ENTITY).distinct()

@@ -17,7 +17,6 @@ from tidegate.operators.schema import logical_type
 from tidegate.session import share
 
 QUANTILES = (0.0, 0.001, 0.01, 0.5, 0.99, 0.999, 1.0)
-MAX_TARGET_CLASSES = 20
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -134,10 +133,10 @@ def missing_targets(df: DataFrame, target: str) -> DataFrame:
     return df.filter(F.col(target).isNull())
 
 
-def missing_by_target(df: DataFrame, target: str, min_spread: float = 0.25) -> DataFrame:
+def missing_by_target(df: DataFrame, target: str, min_spread: float = 0.25, max_classes: int | None = None) -> DataFrame:
     """Columns whose null share differs between target classes by ``min_spread`` or more.
 
-    Empty when the target has more than 20 classes (checked on the data).
+    With ``max_classes``, empty for a target of more classes.
     """
     columns = [c for c in df.columns if c != target]
     rates = df.groupBy(target).agg(*[F.expr(f"avg(IF(`{c}` IS NULL, 1D, 0D))").alias(f"r{i}")
@@ -147,7 +146,7 @@ def missing_by_target(df: DataFrame, target: str, min_spread: float = 0.25) -> D
     return tall.groupBy("column").agg(
         F.min("rate").alias("min_null_rate"), F.max("rate").alias("max_null_rate"), F.count("*").alias("k"),
         F.count(target).alias("classes"),
-    ).filter(f"k > 1 AND classes <= {MAX_TARGET_CLASSES} AND max_null_rate - min_null_rate >= {min_spread}").select(
+    ).filter(f"k > 1 AND classes <= {max_classes if max_classes is not None else 'classes'} AND max_null_rate - min_null_rate >= {min_spread}").select(
         "column", "min_null_rate", "max_null_rate")
 
 

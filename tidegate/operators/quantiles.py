@@ -5,47 +5,37 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tidegate.operators.ranking import score_curve, score_groups
-
-# Spark's exact percentile keeps one counter per distinct value in one buffer;
-# columns with more distinct values than this go through the score curve.
-BUFFERED_VALUES = 500_000
+from tidegate.session import cut_lineage
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles per column.
+    """Linear-interpolated quantiles per column, all columns in one tall pass.
 
-    The distinct-value count of each column is checked first; only a handful of
-    values per column reaches the driver.
+    Distinct (column, value) pairs are counted before anything moves, split into
+    ranges, and numbered with one offset per column and range; a handful of values
+    per column reaches the driver.
     """
     columns = list(columns)
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(f"u{i}") for i, c in enumerate(columns)]).first()
-    small = [c for i, c in enumerate(columns) if sizes[i] <= BUFFERED_VALUES]
-    out: dict[str, list[float | None]] = {}
-    if small:
-        array = ", ".join(f"{p!r}D" for p in points)
-        row = df.agg(*[F.expr(f"percentile(CAST(`{c}` AS DOUBLE), array({array}))").alias(f"q{i}")
-                       for i, c in enumerate(small)]).first()
-        out.update({c: list(row[i]) if row[i] is not None else [None] * len(points) for i, c in enumerate(small)})
-    for c in columns:
-        if c not in out:
-            out[c] = _from_curve(df, c, points)
-    return out
-
-
-def _from_curve(df: DataFrame, column: str, points: Sequence[float]) -> list[float | None]:
-    curve = score_curve(score_groups(df, column, "false"))
-    total = curve.agg(F.max("total_n")).first()[0]
-    if not total:
-        return [None] * len(points)
-    spots = [p * (total - 1) for p in points]
-    ranks = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
-    wanted = df.sparkSession.createDataFrame([(r,) for r in ranks], "r long")
-    found = {x.r: x.score for x in curve.join(
-        F.broadcast(wanted), F.expr("r >= total_n - cum_n AND r < total_n - cum_n + n")).select("r", "score").collect()}
-    return [found[math.floor(s)] + (s - math.floor(s)) * (found[math.ceil(s)] - found[math.floor(s)]) for s in spots]
+    if not columns:
+        return {}
+    cells = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(columns))
+    counts = df.selectExpr(f"stack({len(columns)}, {cells}) AS (c, v)").filter("v IS NOT NULL").groupBy("c", "v").agg(F.count("*").alias("n"))
+    # Stored, so that totals and numbers refer to the same split.
+    laid = cut_lineage(counts.repartitionByRange("c", "v").withColumn("part", F.spark_partition_id()))
+    sizes = laid.groupBy("c", "part").agg(F.sum("n").alias("size"))
+    earlier = Window.partitionBy("c").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0))).select("c", "part", "start", "size")
+    totals = {r.c: r.total for r in sizes.groupBy("c").agg(F.sum("size").alias("total")).collect()}
+    spots = {c: [p * (totals[c] - 1) for p in points] for c in totals}
+    wanted = df.sparkSession.createDataFrame(
+        [(c, r) for c, places in spots.items() for r in sorted({f(s) for s in places for f in (math.floor, math.ceil)})], "c int, r long")
+    inside = Window.partitionBy("c", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = laid.join(F.broadcast(starts.drop("size")), ["c", "part"]).withColumn("upto", F.col("start") + F.sum("n").over(inside))
+    found = {(x.c, x.r): x.v for x in ranked.join(F.broadcast(wanted), "c").filter("r >= upto - n AND r < upto").select("c", "r", "v").collect()}
+    between = lambda c, s: found[c, math.floor(s)] + (s - math.floor(s)) * (found[c, math.ceil(s)] - found[c, math.floor(s)])
+    return {name: [between(i, s) for s in spots[i]] if i in spots else [None] * len(points) for i, name in enumerate(columns)}
 
 
 def most_common(df: DataFrame, column: str):

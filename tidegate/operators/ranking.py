@@ -10,14 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tidegate.session import share
+from tidegate.session import cut_lineage, share
 
-# Up to this many distinct scores one task folds the whole curve.
-SINGLE_TASK_SCORES = 200_000
 SCORE_RANGES = 512
-KEY_BINS = 1024
 
 
 def score_groups(df: DataFrame, score: str, positive: str, by: Sequence[str] = ()) -> DataFrame:
@@ -29,19 +26,17 @@ def score_groups(df: DataFrame, score: str, positive: str, by: Sequence[str] = (
 def score_curve(groups: DataFrame) -> DataFrame:
     """Add counts at or above each score (``cum_n``, ``cum_pos``) and totals.
 
-    Small curves fold in one task - their size is counted, not assumed. Larger
-    ones are cut into score ranges at approximate quantiles; range totals (one
-    row per range) give the offsets, so any split is exact.
+    Scores are cut into ranges at approximate quantiles; range totals (one row per
+    range) give the offsets, so any split is exact.
     """
     groups = share(groups)
-    lines = groups.count()
-    if lines <= SINGLE_TASK_SCORES:
+    cuts = sorted(set(groups.approxQuantile(
+        "score", [i / SCORE_RANGES for i in range(1, SCORE_RANGES)], 1.0 / (4 * SCORE_RANGES))))
+    inner = [c for c in cuts if c not in (float("-inf"), float("inf"))]
+    if inner:
+        ranged = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol="score", outputCol="part").transform(groups)
+    else:  # no finite score at all
         ranged = groups.withColumn("part", F.lit(0.0))
-    else:
-        cuts = sorted(set(groups.approxQuantile(
-            "score", [i / SCORE_RANGES for i in range(1, SCORE_RANGES)], 1.0 / (4 * SCORE_RANGES))))
-        splits = [float("-inf"), *[c for c in cuts if c not in (float("-inf"), float("inf"))], float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol="score", outputCol="part").transform(groups)
     # One row per range: at most SCORE_RANGES rows, a fixed bound for the broadcast.
     offsets = ranged.groupBy("part").agg(F.sum("n").alias("pn"), F.sum("pos").alias("pp")).selectExpr(
         "part",
@@ -91,7 +86,7 @@ def top_cuts(curve: DataFrame, df: DataFrame, score: str, key: str, counts: Sequ
             out.append(f"({above} OR {same})")
             continue
         cut = nth_smallest(df.filter(same), key, need)
-        out.append(f"({above} OR ({same} AND {key} <= {cut}))")
+        out.append(f"({above} OR ({same} AND {key} <= {_literal(cut, dict(df.dtypes)[key])}))")
     return out
 
 
@@ -99,24 +94,26 @@ def _double(value: float) -> str:
     return f"CAST('{value!r}' AS DOUBLE)"
 
 
-def nth_smallest(df: DataFrame, key: str, n: int) -> int:
-    """Exact n-th smallest value of a unique integer key.
+def _literal(value, kind: str) -> str:
+    """A SQL literal of a key of any type that can be ordered."""
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {kind})"
 
-    Repeated histograms of at most KEY_BINS counts narrow the interval; the rows
-    themselves never leave the executors.
+
+def nth_smallest(df: DataFrame, key: str, n: int):
+    """Exact n-th smallest value of a unique key of any type that can be ordered.
+
+    Keys are split into ranges; the counts of the ranges tell which one holds the
+    n-th, and only that range is numbered.
     """
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    low, high = int(low), int(high)
-    while low < high:
-        width = (high - low) // KEY_BINS + 1
-        bins = {int(r.b): r.c for r in df.filter(F.col(key).between(low, high)).groupBy(
-            F.expr(f"({key} - {low}L) div {width}L").alias("b")).agg(F.count("*").alias("c")).collect()}
-        for b in sorted(bins):
-            if n <= bins[b]:
-                low, high = low + b * width, min(high, low + (b + 1) * width - 1)
-                break
-            n -= bins[b]
-    return low
+    # Stored, so that the counts and the numbering refer to the same split.
+    laid = cut_lineage(df.select(F.col(key).alias("k")).repartitionByRange("k").withColumn("part", F.spark_partition_id()))
+    for part, size in sorted(tuple(r) for r in laid.groupBy("part").count().collect()):
+        if n <= size:
+            place = F.row_number().over(Window.partitionBy("part").orderBy("k"))
+            return laid.filter(F.col("part") == part).withColumn("at", place).filter(F.col("at") == n).first()["k"]
+        n -= size
+    raise ValueError("fewer keys than asked for")
 
 
 def rank_percentiles(curve: DataFrame) -> DataFrame:

@@ -9,14 +9,14 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.clustering import GaussianMixture
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.operators import schema
 from tidegate.operators.quantiles import exact_quantiles, most_common
-from tidegate.session import share
+from tidegate.session import cut_lineage, share
 
 MISSING = "__missing__"
 
@@ -94,33 +94,59 @@ def batch_score(df: DataFrame, score: Score, types: Mapping[str, str], features:
     return score(schema.cast_columns(df, types))
 
 
-def fit_mixture(train: DataFrame, features: Sequence[str], key: str, *, components: int = 8, max_rows: int = 250_000) -> Score:
-    """Gaussian mixture on standardised features; y_pred is the negative log-likelihood.
+def _log_parts(points: np.ndarray, weights: np.ndarray, means: np.ndarray, variances: np.ndarray) -> np.ndarray:
+    """Log of weight times density, per point and component; components have diagonal covariance."""
+    gap = points[:, None, :] - means[None]
+    shape = -0.5 * ((gap * gap / variances[None]).sum(axis=2) + np.log(2 * math.pi * variances).sum(axis=1)[None])
+    return shape + np.log(np.maximum(weights, 1e-300))[None]
 
-    Fits on about ``max_rows`` rows chosen by key hash. Components have full
-    covariance here, where diagonal ones are also common.
+
+def fit_mixture(train: DataFrame, features: Sequence[str], key: str, *, components: int = 8, iterations: int = 40,
+                floor: float = 1e-6) -> Score:
+    """Gaussian mixture of diagonal components on standardised features; y_pred is the negative log-likelihood.
+
+    Starts from k-means and repeats expectation and maximisation over all rows: a
+    pass returns one line of sums per task, added up by Spark. ``key`` names rows only.
     """
     train = _doubles(train, features)
-    total = train.count()
-    if total > max_rows:
-        train = train.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(1_000_000 * max_rows / total))
     prepare = Pipeline(stages=[*_assembled(features), StandardScaler(inputCol="__raw", outputCol="__x", withMean=True)]).fit(train)
-    mix = GaussianMixture(featuresCol="__x", k=components, seed=0, maxIter=50).fit(prepare.transform(train))
-    weights = np.array(mix.weights)
-    means = np.array([g.mean.toArray() for g in mix.gaussians])
-    covs = np.array([g.cov.toArray() for g in mix.gaussians])
-    covs += 1e-9 * np.eye(covs.shape[1])
-    inverse, logdet = np.linalg.inv(covs), np.linalg.slogdet(covs)[1]
+    points = cut_lineage(prepare.transform(train).select("__x", vector_to_array("__x").alias("x")))
     width = len(features)
+    means = np.array(KMeans(featuresCol="__x", k=components, seed=0, maxIter=10).fit(points).clusterCenters())
+    weights, variances = np.full(len(means), 1 / len(means)), np.ones_like(means)
+    last = -math.inf
+    for _ in range(iterations):
+        state = (weights, means, variances)
+
+        def sums(frames: Iterator[pd.DataFrame], state=state) -> Iterator[pd.DataFrame]:
+            total = np.zeros((len(state[0]), 2 * width + 2))
+            for frame in frames:
+                if len(frame):
+                    x = np.vstack(frame["x"].to_numpy())
+                    parts = _log_parts(x, *state)
+                    top = parts.max(axis=1, keepdims=True)
+                    likely = top[:, 0] + np.log(np.exp(parts - top).sum(axis=1))
+                    share_of = np.exp(parts - likely[:, None])
+                    total[:, 0] += share_of.sum(axis=0)
+                    total[:, 1:width + 1] += share_of.T @ x
+                    total[:, width + 1:-1] += share_of.T @ (x * x)
+                    total[0, -1] += likely.sum()
+            yield pd.DataFrame({"cell": np.arange(total.size), "v": total.ravel()})
+        got = points.select("x").mapInPandas(sums, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).toPandas()
+        table = np.zeros(len(means) * (2 * width + 2))
+        table[got["cell"]] = got["v"]
+        table = table.reshape(len(means), -1)
+        n = np.maximum(table[:, 0], 1e-10)
+        weights, means = n / n.sum(), table[:, 1:width + 1] / n[:, None]
+        variances = np.maximum(table[:, width + 1:-1] / n[:, None] - means ** 2, 0) + floor
+        if table[0, -1] - last < 1e-3 * n.sum():
+            break
+        last = table[0, -1]
+    fitted = (weights, means, variances)
 
     @F.pandas_udf("double")
     def surprise(x: pd.Series) -> pd.Series:
-        points = np.vstack(x.to_numpy())
-        parts = np.empty((len(points), len(weights)))
-        for j in range(len(weights)):
-            d = points - means[j]
-            parts[:, j] = math.log(max(weights[j], 1e-300)) - 0.5 * (
-                np.einsum("ij,jk,ik->i", d, inverse[j], d) + logdet[j] + width * math.log(2 * math.pi))
+        parts = _log_parts(np.vstack(x.to_numpy()), *fitted)
         top = parts.max(axis=1)
         return pd.Series(-(top + np.log(np.exp(parts - top[:, None]).sum(axis=1))))
 
