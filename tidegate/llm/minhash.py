@@ -9,8 +9,10 @@ Classes, not documents, are banded, compared and linked; copies cost one
 aggregate and one join. Buckets compare every member with a pivot first. Large
 buckets that still hold unlinked parts then try their best linked members as
 pivots, which finds the original of a group of near copies. At last every pair
-of members in different parts is drawn, so no pair that shares a bucket is left
-undecided, yet a large linked group costs pairs in proportion to its members.
+of members in different parts is drawn that exact bounds leave possible: sizes,
+the shingles that a member shares with no other part, and distances to common
+pivots. So no pair that shares a bucket is left undecided, yet a large linked
+group, and loose variants around it, cost pairs in proportion to their number.
 
 Recall. With 40 bands of 5 coordinates a pair of similarity 0.75 misses every
 band with probability 2e-5. Candidates are skipped when their 192-bit sketches agree in
@@ -185,7 +187,9 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         large = side.filter(F.col("size") >= LARGE_BUCKET)
         last = turn == PIVOT_TURNS or large.isEmpty()
         if last:  # every pair of members in different parts
-            fresh = _across(side.join(mine, "id"), used, measured, fits, agree, percent)
+            rivals = large.select("id", "part").distinct()
+            own = side.join(mine, "id").join(_private(rivals, bodies, words), "id", "left")
+            fresh = _across(own, used, measured, fits, agree, percent)
         else:  # large buckets try their best linked member next: the original of a group of near copies
             degree = measured.filter("near").selectExpr("explode(array(a, b)) AS id").groupBy("id").agg(F.count("*").alias("k"))
             rank = F.struct(F.coalesce("k", F.lit(0)).alias("k"), (-F.col("id")).alias("low"))
@@ -208,8 +212,32 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         .selectExpr("doc_id", "n_shingles", "component_id", "coalesce(doc_id = component_id, true) AS kept")
 
 
+def _shingle_rows(words: int):
+    """(id, part, shingle) of packed texts."""
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            sets = [shingle_set(unpack.decompress(b), words) for b in batch.column(2).to_pylist()]
+            size = np.array([len(x) for x in sets], np.int64)
+            ids, parts = (np.repeat(batch.column(k).to_numpy(), size) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.int64()),
+                                              pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))],
+                                             names=["id", "part", "shingle"])
+    return run
+
+
+def _private(members: DataFrame, bodies: DataFrame, words: int) -> DataFrame:
+    """(id, private): shingles of each member that no member of another part has, and so no link across parts can share."""
+    rows = members.join(bodies, "id").select("id", "part", "body").mapInArrow(_shingle_rows(words), "id long, part long, shingle long")
+    # Most shingles are in one text only; min and max merge before the shuffle.
+    lone = rows.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p = q").select("shingle")
+    return cut_lineage(rows.join(lone, "shingle", "left_semi").groupBy("id").agg(F.count("*").alias("private")))
+
+
 def _across(side: DataFrame, used: DataFrame, measured: DataFrame, fits: str, agree: str, percent: int) -> DataFrame:
-    """Pairs of bucket members in different parts that sizes, sketches and pivots leave possible.
+    """Pairs of bucket members in different parts that sizes, sketches, private shingles and pivots leave possible.
+
+    Two members of a large bucket share no shingle that either has to its part.
 
     One minus similarity is a metric, so two members whose known distances to the
     same pivot differ by more than the distance of a link cannot be linked.
@@ -219,10 +247,13 @@ def _across(side: DataFrame, used: DataFrame, measured: DataFrame, fits: str, ag
         .selectExpr("bucket", "id", "pivot", "least(id, pivot) AS a", "greatest(id, pivot) AS b") \
         .join(measured.select("a", "b", "dist"), ["a", "b"]) \
         .groupBy("bucket", "id").agg(F.map_from_entries(F.collect_list(F.struct("pivot", "dist"))).alias("far"))  # a few pivots
-    side = cut_lineage(side.join(known, ["bucket", "id"], "left"))
-    other = side.selectExpr("bucket", "id AS id2", "n AS m", "s1 AS t1", "s2 AS t2", "s3 AS t3", "part AS part2", "far AS far2")
+    usable = F.when(F.col("size") >= LARGE_BUCKET, F.col("n") - F.coalesce("private", F.lit(0))).otherwise(F.col("n"))
+    side = side.join(known, ["bucket", "id"], "left").withColumn("usable", usable)
+    side = cut_lineage(side.filter(f"100 * usable >= {percent} * n"))  # else too little is left to share with anyone
+    other = side.selectExpr("bucket", "id AS id2", "n AS m", "usable AS usable2", "s1 AS t1", "s2 AS t2", "s3 AS t3", "part AS part2", "far AS far2")
+    room = f"100 * least(usable, usable2) >= {percent} * (n + m - least(usable, usable2))"
     reach = f"far IS NULL OR far2 IS NULL OR NOT exists(map_keys(far), k -> coalesce(abs(far[k] - far2[k]) > {apart}, false))"
-    return side.join(other, "bucket").filter(f"id < id2 AND part <> part2 AND {fits} AND {agree} AND ({reach})") \
+    return side.join(other, "bucket").filter(f"id < id2 AND part <> part2 AND {fits} AND {room} AND {agree} AND ({reach})") \
         .selectExpr("id AS a", "id2 AS b").distinct()
 
 
