@@ -1,9 +1,11 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
 Every tree splits its nodes at the mean of one random projection per level; a
-vector within the overlap of the split goes to both sides. Nodes are split, level
-by level and in all trees at once, until they are small; vectors are compared
-within leaves, in double precision, and linked when their cosine is high enough.
+vector within the overlap of the split goes to both sides. The upper levels are
+fitted on a sample of at most ``SAMPLE_ROWS`` vectors and applied to all; nodes
+that still hold many rows are split by statistics of all their rows. Vectors are
+compared within leaves, in double precision, and linked when their cosine is high
+enough.
 
 Labels are the roots of the trees, so only vectors of one label meet. Equal
 vectors of a label form a class that is placed and compared once and counts with
@@ -31,12 +33,14 @@ import math
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidegate.llm.common import components
+from tidegate.llm.common import bounded_sample, components
 from tidegate.session import cut_lineage
 
 TREES, LEVELS, LEAF, BLOCK = 5, 30, 400, 1_500
+SAMPLE_ROWS = 40_000
 THRESHOLD = 0.98
 
 
@@ -50,18 +54,66 @@ def _units(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _place(label, dims: int, tree: int, path: str) -> int:
+    """The number of a node: the same for every task."""
+    return xxhash.xxh3_64_intdigest(f"{label}|{dims}|{tree}|{path}".encode()) - (1 << 63)
+
+
+def _grow(sample: pd.DataFrame, trees: int, levels: int, leaf: float, overlap: float, seed: int) -> dict[int, float]:
+    """Node -> split value of the trees fitted to a sample; nodes that are not in it are leaves."""
+    cuts: dict[int, float] = {}
+    for (label, dims), rows in sample.groupby(["label", sample["vec"].map(len)]):
+        units = _units(rows["vec"])
+        for tree in range(trees):
+            values = units @ _directions(trees, levels, dims, seed)[tree].T
+            stack = [("", np.arange(len(units)))]
+            while stack:
+                path, at = stack.pop()
+                if len(at) <= leaf or len(path) >= levels:
+                    continue
+                x = values[at, len(path)]
+                cut = float(x.mean())
+                sides = at[x < cut + overlap], at[x >= cut - overlap]
+                if max(map(len, sides)) > 0.97 * len(at):
+                    continue  # dense along this direction: left to the splits of all rows
+                cuts[_place(label, dims, tree, path)] = cut
+                stack += [(path + str(side), own) for side, own in enumerate(sides)]
+    return cuts
+
+
+def _route(cuts, trees: int, levels: int, overlap: float, seed: int):
+    """(rep, tree, level, node) of every vector: the leaves it falls into, in every tree."""
+    def run(frames):
+        for pdf in frames:
+            out = []
+            for (label, dims), rows in pdf.groupby(["label", pdf["vec"].map(len)]):
+                units, reps = _units(rows["vec"]), rows["rep"].to_numpy()
+                for tree in range(trees):
+                    values = units @ _directions(trees, levels, dims, seed)[tree].T
+                    stack = [("", np.arange(len(units)))]
+                    while stack:
+                        path, at = stack.pop()
+                        if not len(at):
+                            continue
+                        node = _place(label, dims, tree, path)
+                        cut = cuts.value.get(node)
+                        if cut is None:
+                            out.append(pd.DataFrame({"rep": reps[at], "tree": tree, "level": len(path), "node": node}))
+                        else:
+                            x = values[at, len(path)]
+                            stack += [(path + "0", at[x < cut + overlap]), (path + "1", at[x >= cut - overlap])]
+            yield pd.concat(out) if out else pd.DataFrame({"rep": [], "tree": [], "level": [], "node": []})
+    return run
+
+
 def _project(trees: int, levels: int, seed: int):
-    """Adds, per vector, the projections of every tree and level."""
+    """Adds to (rep, tree, level, node, before, vec) the projection ``x`` of the row's tree and level."""
     def run(frames):
         for pdf in frames:
-            if not len(pdf):
-                continue
-            out = np.empty(len(pdf), object)
-            for dims, at in pdf.groupby(pdf["vec"].map(len)).indices.items():
-                p = _units(pdf["vec"].iloc[at]) @ _directions(trees, levels, dims, seed).reshape(-1, dims).T
-                for i, row in zip(at, p.astype(np.float32)):
-                    out[i] = row
-            yield pdf[["rep", "label"]].assign(p=out)
+            x = np.zeros(len(pdf))
+            for (dims, tree, level), at in pdf.groupby([pdf["vec"].map(len), "tree", "level"]).indices.items():
+                x[at] = _units(pdf["vec"].iloc[at]) @ _directions(trees, levels, dims, seed)[tree, level]
+            yield pdf[["rep", "tree", "level", "node", "before"]].assign(x=x)
     return run
 
 
@@ -110,34 +162,41 @@ def _compare(threshold: float):
     return run
 
 
-def _leaves(projected: DataFrame, trees: int, levels: int, leaf: int, overlap: float) -> DataFrame:
-    """(rep, leaf): the leaves of every vector; ``projected(rep, label, dims, p)``."""
-    nodes = projected.select("rep", "p", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
-                             F.xxhash64("label", "dims").alias("root")) \
-        .withColumn("node", F.xxhash64("root", "tree")).drop("root").withColumn("before", F.lit(1 << 60).cast("long"))
+def _leaves(reps: DataFrame, trees: int, levels: int, leaf: int, overlap: float, seed: int, sample_rows: int) -> DataFrame:
+    """(rep, leaf): the leaves of every vector of ``reps(rep, label, vec)``.
+
+    The upper levels are fitted on a bounded sample and every vector is sent down
+    them in one pass. Nodes that still hold many rows are split further from
+    statistics of all their rows, level by level.
+    """
+    total = reps.count()
+    sample = bounded_sample(reps, "rep", sample_rows).select("rep", "label", "vec").toPandas().sort_values("rep")
+    size = max(16.0, leaf * min(1.0, len(sample) / max(1, total)))
+    cuts = reps.sparkSession.sparkContext.broadcast(_grow(sample, trees, levels, size, overlap, seed))
+    nodes = cut_lineage(reps.select("rep", "label", "vec").mapInPandas(
+        _route(cuts, trees, levels, overlap, seed), "rep long, tree int, level int, node long").withColumn("before", F.lit(1 << 60).cast("long")))
     done = None
-    for level in range(levels):
-        at = F.element_at("p", F.col("tree") * levels + level + 1).cast("double")
-        nodes = cut_lineage(nodes.withColumn("x", at))
-        stats = nodes.groupBy("node").agg(F.count("*").alias("k"), F.avg("x").alias("mean"), F.max("before").alias("was"))
-        small = F.col("k") <= leaf
-        # A node whose parent was hardly larger is dense along several directions: it stays a leaf.
-        placed = cut_lineage(nodes.join(stats.withColumn("ended", small | (F.col("k") > 0.97 * F.col("was"))), "node"))
-        ended = placed.filter("ended").select("rep", F.col("node").alias("leaf"), F.col("tree"))
-        done = ended if done is None else done.unionByName(ended)
-        open_ = placed.filter("NOT ended")
+    while True:
+        stats = nodes.groupBy("node").agg(F.count("*").alias("k"))
+        sized = nodes.join(stats, "node")
+        # Hardly smaller than its parent: dense along several directions, left to pairs of blocks.
+        ended = (F.col("k") <= 4 * leaf) | (F.col("k") > 0.97 * F.col("before")) | (F.col("level") >= levels)
+        closed = sized.filter(ended).select("rep", F.col("node").alias("leaf"))
+        done = closed if done is None else done.unionByName(closed)
+        open_ = cut_lineage(sized.filter(~ended).drop("before").withColumnRenamed("k", "before"))
         if open_.isEmpty():
             return cut_lineage(done)
+        x = cut_lineage(open_.join(reps.select("rep", "vec"), "rep").mapInPandas(
+            _project(trees, levels, seed), "rep long, tree int, level int, node long, before long, x double"))
+        means = x.groupBy("node").agg(F.avg("x").alias("mean"))
         sides = F.array_compact(F.array(F.when(F.col("x") < F.col("mean") + overlap, F.lit(0)), F.when(F.col("x") >= F.col("mean") - overlap, F.lit(1))))
-        # The size before two splits ago lets one unlucky direction pass.
-        nodes = open_.select("rep", "p", "tree", "node", F.col("k").alias("before"), F.explode(sides).alias("side")) \
-            .withColumn("node", F.xxhash64("node", "side")).drop("side")
-    return cut_lineage(done.unionByName(nodes.select("rep", F.col("node").alias("leaf"), "tree")))
+        nodes = cut_lineage(x.join(means, "node").select("rep", "tree", (F.col("level") + 1).alias("level"), "node", "before", F.explode(sides).alias("side"))
+                            .withColumn("node", F.xxhash64("node", "side")).drop("side"))
 
 
 def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", label: str = "label",
                     threshold: float = THRESHOLD, trees: int = TREES, levels: int = LEVELS, leaf: int = LEAF, block: int = BLOCK,
-                    overlap: float | None = None, seed: int = 11) -> DataFrame:
+                    overlap: float | None = None, sample_rows: int = SAMPLE_ROWS, seed: int = 11) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
     base = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"), F.col(label).alias("label"))
     finite = "size(vec) > 0 AND forall(vec, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(vec, x -> x <> 0)"
@@ -149,12 +208,9 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
                        .select("rep", "size", "label", "vec", "name").dropDuplicates(["name"]))
     # A class number stands for (label, vector) even where ids repeat.
     reps = reps.withColumn("cls", F.xxhash64("name"))
-    projected = reps.select(F.col("cls").alias("rep"), "label", "vec").mapInPandas(
-        _project(trees, levels, seed), f"rep long, label {dict(reps.dtypes)['label']}, p array<float>")
-    projected = projected.join(reps.select(F.col("cls").alias("rep"), F.size("vec").alias("dims")), "rep")
     dims = reps.agg(F.max(F.size("vec"))).first()[0] or 1
     margin = overlap if overlap is not None else math.sqrt(2 - 2 * threshold) / math.sqrt(dims)
-    homes = _leaves(projected, trees, levels, leaf, margin)
+    homes = _leaves(reps.select(F.col("cls").alias("rep"), "label", "vec"), trees, levels, leaf, margin, seed, sample_rows)
     mine = homes.groupBy("rep").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))  # some leaves per tree
     load = homes.groupBy("leaf").agg(F.count("*").alias("k")).filter("k > 1").withColumn("parts", F.ceil(F.col("k") / block).cast("int"))
     cut = homes.join(load, "leaf").select("leaf", "rep", "parts", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("b"))
