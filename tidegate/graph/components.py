@@ -1,4 +1,4 @@
-"""Connected components by alternating large-star and small-star rounds."""
+"""Connected components by hooking to the smallest neighbour and contraction."""
 
 from __future__ import annotations
 
@@ -8,40 +8,48 @@ from tidegate.graph.store import user_pairs
 from tidegate.session import cut_lineage, share
 
 
-def _large_star(links: DataFrame) -> DataFrame:
-    """Larger neighbours of every vertex move to the smallest vertex it knows."""
-    both = links.unionByName(links.selectExpr("dst AS src", "src AS dst"))
-    lowest = both.groupBy("src").agg(F.min("dst").alias("m")).selectExpr("src", "least(src, m) AS low")
-    return both.filter("dst > src").join(lowest, "src").selectExpr("dst AS src", "low AS dst")
+def contract(links: DataFrame) -> DataFrame:
+    """(vertex, component) of ``links(a, b)`` over long ids; component is the smallest reachable vertex.
 
-
-def _small_star(links: DataFrame) -> DataFrame:
-    """Smaller neighbours of every vertex, and the vertex, move to the smallest of them."""
-    down = links.selectExpr("greatest(src, dst) AS src", "least(src, dst) AS dst").filter("src <> dst")
-    lowest = down.groupBy("src").agg(F.min("dst").alias("low"))
-    hung = down.join(lowest, "src").selectExpr("dst AS src", "low AS dst")
-    return hung.unionByName(lowest.selectExpr("src", "low AS dst")).filter("src <> dst").distinct()
+    Each round every vertex points at its smallest neighbour, pointers are halved
+    twice, and the links are rewritten between the roots, so the graph shrinks by
+    a constant factor at least; hubs only meet a minimum, which merges before the
+    shuffle. Rounds are checkpointed. Vertices without links are absent.
+    """
+    edges = cut_lineage(links.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").filter("a < b").distinct())
+    names = None  # vertex -> its current root
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
+        root = both.groupBy("a").agg(F.min("b").alias("low")).selectExpr("a AS v", "least(a, low) AS r")
+        for _ in range(2):
+            up = root.selectExpr("v AS r", "r AS top")
+            root = root.join(up, "r").selectExpr("v", "top AS r")
+        root = cut_lineage(root)
+        low, high = root.selectExpr("v AS a", "r AS ra"), root.selectExpr("v AS b", "r AS rb")
+        edges = cut_lineage(edges.join(low, "a").join(high, "b").selectExpr("least(ra, rb) AS a", "greatest(ra, rb) AS b")
+                            .filter("a < b").distinct())
+        if names is None:
+            names = root
+        else:  # vertices met before move on to their root's root
+            names = cut_lineage(names.join(root.selectExpr("v AS r", "r AS top"), "r", "left")
+                                .selectExpr("v", "coalesce(top, r) AS r"))
+    if names is None:
+        return edges.selectExpr("a AS vertex", "b AS component")
+    return names.selectExpr("v AS vertex", "r AS component")
 
 
 def label_components(links: DataFrame) -> DataFrame:
     """(vertex, comp) for every vertex of ``links(src, dst)``; comp is the smallest vertex name.
 
-    Each round is checkpointed, so a lost executor never replays earlier rounds,
-    and the loop stops when a round changes nothing. Vertices with a huge
-    neighbourhood only meet a per-vertex minimum, which merges map-side.
+    Names become 64-bit hashes once, so rounds shuffle numbers only; names come
+    back at the end, with one minimum per component.
     """
-    links = cut_lineage(links.select("src", "dst").filter("src <> dst").distinct())
-    vertices = links
-    mark = None
-    while True:
-        links = cut_lineage(_small_star(_large_star(links)))
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(28,0)"))).first()
-        if now == mark:
-            break
-        mark = now
-    names = vertices.selectExpr("explode(array(src, dst)) AS vertex").distinct()
-    return names.join(links.selectExpr("src AS vertex", "dst AS comp"), "vertex", "left").selectExpr(
-        "vertex", "coalesce(comp, vertex) AS comp")
+    links = cut_lineage(links.select("src", "dst").distinct())
+    names = links.selectExpr("explode(array(src, dst)) AS vertex").distinct().withColumn("id", F.xxhash64("vertex"))
+    roots = contract(links.selectExpr("xxhash64(src) AS a", "xxhash64(dst) AS b")).selectExpr("vertex AS id", "component")
+    placed = cut_lineage(names.join(roots, "id", "left").selectExpr("vertex", "coalesce(component, id) AS root"))
+    least = placed.groupBy("root").agg(F.min("vertex").alias("comp"))
+    return placed.join(least, "root").select("vertex", "comp")
 
 
 def vertex_components(edges: DataFrame, users: DataFrame) -> DataFrame:
