@@ -10,7 +10,7 @@ from tidegate.catalog.registry import query
 from tidegate.functions import clock
 from tidegate.operators import spans as J
 from tidegate.plans import discovery as D, evaluation as E, models as M, runs as R
-from tidegate.plans.rules import Rule
+from tidegate.plans.rules import Rule, residual
 from tidegate.session import scratch_folder, share
 from tidegate.streaming.jobs import alerts, pair_spans_stream, velocity_stream
 from tidegate.streaming.ordered import as_event_time
@@ -156,10 +156,16 @@ def i11(spark, sf):
                                  "rule string, n_test long, test_rate double, train_rate double, lift double")
 
 
+LARGE_ORDERS = (Rule("large_order", "review", "draft", "2026-01-01", "A very large order.",
+                       ({"column": "loan_amount", "op": ">", "value": 440000},)),)
+
+
 @query("i13_boosted_lens")
 def i13(spark, sf):
     train, test = train_test(spark, sf)
-    return M.fit_boosted(train, FEATURES, "label_gross_dpd45")(test).select("o_orderkey", "y_pred")
+    # The lens learns from mature rows that no rule has caught.
+    gated = residual(train, LARGE_ORDERS).filter(E.MATURE)
+    return M.fit_boosted(gated, FEATURES, "label_gross_dpd45")(test).select("o_orderkey", "y_pred")
 
 
 @query("i14_isolation_forest")

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.functions.predicates import Predicate, default_splits
 from tidegate.operators import keys as K, profile, schema
@@ -22,20 +22,25 @@ def schema_hash(df: DataFrame) -> str:
     return hashlib.sha256(json.dumps(df.dtypes).encode()).hexdigest()[:16]
 
 
+def _content_sums(df: DataFrame, where: Column | None = None, suffix: str = "") -> list[Column]:
+    """Aggregates: row count and two independent order-free sums of 64-bit row hashes, over the rows where ``where`` holds."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    # A null hashes like nothing, so null positions are hashed as well.
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+    inside = F.lit(True) if where is None else where
+    sums = {"sum_hash": F.xxhash64(nulls, *cols), "sum_hash_2": F.xxhash64(F.lit("second"), nulls, *cols)}
+    return [F.count_if(inside).alias(f"n_rows{suffix}"), *[
+        F.coalesce(F.sum(F.when(inside, h.cast("decimal(28,0)"))).cast("string"), F.lit("0")).alias(f"{name}{suffix}")
+        for name, h in sums.items()]]
+
+
 def content_parts(df: DataFrame) -> DataFrame:
-    """Row count and two independent order-free sums of 64-bit row hashes, in one aggregate.
+    """Row count and content sums in one aggregate.
 
     Duplicates add up, order does not matter, and partial sums merge before the
     shuffle, so no sort of row hashes is needed.
     """
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    # A null hashes like nothing, so null positions are hashed as well.
-    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
-    h1, h2 = F.xxhash64(nulls, *cols), F.xxhash64(F.lit("second"), nulls, *cols)
-    return df.agg(
-        F.count("*").alias("n_rows"),
-        F.coalesce(F.sum(h1.cast("decimal(28,0)")).cast("string"), F.lit("0")).alias("sum_hash"),
-        F.coalesce(F.sum(h2.cast("decimal(28,0)")).cast("string"), F.lit("0")).alias("sum_hash_2"))
+    return df.agg(*_content_sums(df))
 
 
 def content_hash(df: DataFrame) -> str:
@@ -146,13 +151,12 @@ def verify_dataset(df: DataFrame, record: Mapping[str, Any]) -> None:
 
 
 def slice_contract(df: DataFrame, splits: Mapping[str, Predicate]) -> DataFrame:
-    """Per split: its predicate, row count and content sums."""
-    parts = [content_parts(p.filter(df)).withColumns({
-        "split": F.lit(n), "predicate": F.lit(json.dumps(p.to_record()))}) for n, p in splits.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("split", "predicate", "n_rows", "sum_hash", "sum_hash_2")
+    """Per split: its predicate, row count and content sums; one scan for all splits."""
+    sums = [c for i, p in enumerate(splits.values()) for c in _content_sums(df, p.flag(df), str(i))]
+    lines = F.array(*[F.struct(F.lit(n).alias("split"), F.lit(json.dumps(p.to_record())).alias("predicate"), F.col(f"n_rows{i}").alias("n_rows"),
+                               F.col(f"sum_hash{i}").alias("sum_hash"), F.col(f"sum_hash_2{i}").alias("sum_hash_2"))
+                      for i, (n, p) in enumerate(splits.items())])
+    return df.agg(*sums).select(F.explode(lines).alias("line")).select("line.*")
 
 
 def verify_slices(df: DataFrame, contract: Sequence[Mapping[str, Any]]) -> None:

@@ -246,25 +246,33 @@ def fit_isolation_forest(train: DataFrame, features: Sequence[str], key: str, *,
 
 # ---- neutralising and attribution ------------------------------------------------------
 
-def neutralise(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace columns with their training median (numbers) or commonest value (the rest)."""
-    present = [c for c in columns if c in df.columns]
+def neutral_values(train: DataFrame, columns: Sequence[str]) -> dict[str, object]:
+    """Training median (numbers, all in one pass) or commonest value (the rest) of the columns that exist."""
+    present = [c for c in dict.fromkeys(columns) if c in train.columns]
     numeric = [c for c in present if schema.logical_type(train.schema[c].dataType) == schema.NUM]
-    fills = {c: v[0] for c, v in exact_quantiles(train, numeric, [0.5]).items()} if numeric else {}
-    fills.update({c: most_common(train, c) for c in present if c not in numeric})
+    medians = exact_quantiles(train, numeric, [0.5])
+    return {c: medians[c][0] if c in medians else most_common(train, c) for c in present}
+
+
+def neutralise(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace columns with their neutral values."""
+    fills = {c: v for c, v in neutral_values(train, columns).items() if c in df.columns}
     return df.withColumns({c: F.lit(v) for c, v in fills.items()}) if fills else df
 
 
 def attribution(df: DataFrame, train: DataFrame, score: Score, families: Mapping[str, Sequence[str]], key: str) -> DataFrame:
     """Score drop per family when it is neutralised, and the family that drops it most (or none).
 
-    The neutral copies ride along as columns of the same row where the model
-    allows it; each family is one more narrow scoring pass joined on the key.
+    Each row is stacked once as it is and once per family with that family's columns
+    neutral; one scoring pass and one aggregate by key give all drops.
     """
-    out = score(df).select(key, F.col("y_pred").alias("score"))
-    for name, columns in families.items():
-        neutral = score(neutralise(df, train, columns)).select(key, F.col("y_pred").alias("__n"))
-        out = out.join(neutral, key).withColumn(f"drop_{name}", F.expr("score - __n")).drop("__n")
+    fills = {c: v for c, v in neutral_values(train, [c for own in families.values() for c in own]).items() if c in df.columns}
+    stacked = df.withColumn("__family", F.explode(F.array(F.lit(""), *map(F.lit, families))))
+    touched = {c: [n for n, own in families.items() if c in own] for c in fills}
+    swapped = stacked.withColumns({c: F.when(F.col("__family").isin(touched[c]), F.lit(v)).otherwise(F.col(c)) for c, v in fills.items()})
+    of = lambda n: F.max(F.when(F.col("__family") == n, F.col("y_pred")))
+    whole = of("")
+    out = score(swapped).groupBy(key).agg(whole.alias("score"), *[(whole - of(n)).alias(f"drop_{n}") for n in families])
     drops = [f"drop_{n}" for n in families]
     best = F.greatest(*drops) if len(drops) > 1 else F.col(drops[0])
     label = F.when(best <= 0, "none")
