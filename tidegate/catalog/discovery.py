@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.catalog import standins as S
-from tidegate.catalog.evaluation import _depth_sql
+from tidegate.catalog.evaluation import RANKED, _depth_sql
 from tidegate.catalog.registry import query
 from tidegate.functions import clock
 from tidegate.operators import spans as J
@@ -205,13 +205,13 @@ def i17(spark, sf):
     return D.cohort_report(modelling(spark, sf), "score", "o_orderkey", [0.05], {"big": "loan_amount > 300000"}, ["loan_amount"])
 
 
-@query("f19_batch_evaluation")
+@query("f19_batch_evaluation", MODEL + f", ranked AS (SELECT {_F} AS s, is_fraud FROM m WHERE split >= 80)," + RANKED)
 def f19(spark, sf):
     train, test = train_test(spark, sf)
     spec = E.EvalSpec((E.Metric("auc", lambda d: E.auc(d, "y_pred", "is_fraud = 1")),
                        E.Metric("average_precision", lambda d: E.average_precision(d, "y_pred", "is_fraud = 1"))), primary="auc")
     found = E.evaluate(test, formula, spec, scratch_folder(spark, "evaluation"), ["o_orderkey"], "holdout")
-    return spark.createDataFrame([(n, float(next(iter(r[0].values())))) for n, r in found.items()], "metric string, value double")
+    return spark.createDataFrame([(n, round(float(next(iter(r[0].values()))), 9)) for n, r in found.items()], "metric string, value double")
 
 
 # ---- event order --------------------------------------------------------------------

@@ -58,7 +58,17 @@ def f4(spark, sf):
     return E.threshold_sweep(S.scored_orders(spark, sf), "score", FRAUD, (0.1, 0.5, 0.9, 2.0))
 
 
-@query("f6_multi_metric_evaluation")
+RANKED = """
+g AS (SELECT s AS score, count(*) AS n, count(*) FILTER (WHERE is_fraud = 1) AS pos FROM ranked GROUP BY 1),
+c AS (SELECT *, coalesce(sum(n - pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+  sum(n) OVER (ORDER BY score DESC) AS cn, sum(pos) OVER (ORDER BY score DESC) AS cp, sum(pos) OVER () AS total FROM g)
+SELECT 'auc' AS metric, round(sum(pos * (below + (n - pos) / 2.0)::DOUBLE) / (sum(pos) * sum(n - pos))::DOUBLE, 9) AS value FROM c
+UNION ALL SELECT 'average_precision', round(sum(pos::DOUBLE / total * cp / cn), 9) FROM c"""
+
+
+@query("f6_multi_metric_evaluation", SCORED + ", ranked AS (SELECT score AS s, is_fraud FROM scored)," + RANKED + """
+UNION ALL SELECT 'log_loss', round(-avg(CASE WHEN is_fraud = 1 THEN ln(p) ELSE ln(1 - p) END), 9)
+FROM (SELECT is_fraud, greatest(2.220446049250313e-16, least(1 - 2.220446049250313e-16, score)) AS p FROM scored)""")
 def f6(spark, sf):
     scored = S.scored_orders(spark, sf).cache()
     spec = E.EvalSpec((
@@ -66,7 +76,7 @@ def f6(spark, sf):
         E.Metric("average_precision", lambda d: E.average_precision(d, "score", FRAUD), ("score", "is_fraud")),
         E.Metric("log_loss", lambda d: E.log_loss(d, "score", FRAUD), ("score", "is_fraud")),
     ), primary="auc")
-    rows = [(n, float(next(iter(r[0].values())))) for n, r in spec.evaluate(scored).items()]
+    rows = [(n, round(float(next(iter(r[0].values()))), 9)) for n, r in spec.evaluate(scored).items()]
     return spark.createDataFrame(rows, "metric string, value double")
 
 
