@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -60,13 +61,17 @@ def velocity_stream(events: DataFrame, key: str, ts: str, seq: str, *, bands: Ma
 
     def step(memory, event):
         now, seq_no, *rest = event
-        times, before, last, at_last = memory or ([], 0, None, 0)
+        # Times ascend, so a band is the distance of two places; [times, first place in use, before, last time, its events].
+        times, first, before, last, at_last = memory or ([], 0, 0, None, 0)
         if last is not None and now > last:
             before, at_last = before + at_last, 0
-        times = [t for t in times if t >= now - widest]
-        counts = [sum(1 for t in times if now - size <= t < now) for size in bands.values()]
-        memory = (times + [now], before, now, at_last + 1)
-        return memory, [(int(seq_no), *rest, *counts, before)]
+        first = bisect_left(times, now - widest, first)
+        if first > len(times) // 2:  # drop passed times now and then, so that each is moved a bounded number of times
+            times, first = times[first:], 0
+        here = bisect_left(times, now, first)
+        counts = [here - bisect_left(times, now - size, first) for size in bands.values()]
+        times.append(now)
+        return (times, first, before, now, at_last + 1), [(int(seq_no), *rest, *counts, before)]
 
     extra = "".join(f"{c} {t}, " for c, t in zip(columns, column_types))
     return in_order(events, key, ts, seq, list(columns), step,

@@ -1,7 +1,8 @@
 """Per-key processing in event-time order on an unordered stream.
 
 Events wait in keyed state until the watermark has passed them, then are handed
-on in (time, sequence) order. Rows later than the watermark are dropped, so a
+on in (time, sequence) order. The last events of an exhausted source leave once a
+closing event far ahead moves the watermark past them. Rows later than the watermark are dropped, so a
 stream without late rows gives exactly what a batch over the same input gives.
 """
 
@@ -54,7 +55,11 @@ def in_order(
             rows += [(*k, *r) for r in made]
             ready += 1
         waiting = waiting[ready:]
-        state.update((pickle.dumps((waiting, memory)),))
+        if not waiting and not memory:  # nothing to remember: the key leaves the state store
+            if state.exists:
+                state.remove()
+        else:
+            state.update((pickle.dumps((waiting, memory)),))
         if waiting:  # wake up once the watermark passes the oldest waiting event
             state.setTimeoutTimestamp(max(waiting[0][0] // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if rows:
