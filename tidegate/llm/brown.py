@@ -51,7 +51,7 @@ def _bin(word: bytes) -> int:
 
 def _count(batches):
     """(word, bin, n) of a slice of training texts."""
-    for _, texts in text_slices(batches, "text", 16 << 20):
+    for _, texts in text_slices(batches, "text", 6 << 20):
         seen: dict[bytes, int] = {}
         for text in texts:
             for w in (text or b"").lower().split():
@@ -207,7 +207,7 @@ def score(docs: DataFrame, *, key: str = "doc_id", text: str = "text", folds: in
 
     def neighbours_of(batches):
         look = shared.value
-        for _, texts in text_slices(batches, "text", 16 << 20):
+        for _, texts in text_slices(batches, "text", 6 << 20):
             item = look.read(texts)[0]
             code, n = np.unique(_before(item, look.end) * look.size + item, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["code", "n"])
