@@ -46,6 +46,17 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 4 <<
             yield batch.slice(start), values.slice(start).to_pylist()
 
 
+def settle(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df`` on reliable storage, read in one part per ``rows`` rows at most.
+
+    Small intermediate frames then cost a few tasks and shuffle files instead of
+    one per shuffle partition; larger ones keep as many parts as they need.
+    """
+    held = cut_lineage(df)
+    parts = -(-held.count() // rows) or 1
+    return held.coalesce(parts)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(vertex, component) of ``links(a, b)`` over long ids; component is the smallest reachable vertex.
 
@@ -54,7 +65,7 @@ def components(links: DataFrame) -> DataFrame:
     a constant factor at least; hubs only meet a minimum, which merges before the
     shuffle. Rounds are checkpointed. Vertices without links are absent.
     """
-    edges = cut_lineage(links.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").filter("a < b").distinct())
+    edges = settle(links.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").filter("a < b").distinct())
     names = None  # vertex -> its current root
     while not edges.isEmpty():
         both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
@@ -62,14 +73,14 @@ def components(links: DataFrame) -> DataFrame:
         for _ in range(2):
             up = root.selectExpr("v AS r", "r AS top")
             root = root.join(up, "r").selectExpr("v", "top AS r")
-        root = cut_lineage(root)
+        root = settle(root)
         low, high = root.selectExpr("v AS a", "r AS ra"), root.selectExpr("v AS b", "r AS rb")
-        edges = cut_lineage(edges.join(low, "a").join(high, "b").selectExpr("least(ra, rb) AS a", "greatest(ra, rb) AS b")
+        edges = settle(edges.join(low, "a").join(high, "b").selectExpr("least(ra, rb) AS a", "greatest(ra, rb) AS b")
                             .filter("a < b").distinct())
         if names is None:
             names = root
         else:  # vertices met before move on to their root's root
-            names = cut_lineage(names.join(root.selectExpr("v AS r", "r AS top"), "r", "left")
+            names = settle(names.join(root.selectExpr("v AS r", "r AS top"), "r", "left")
                                 .selectExpr("v", "coalesce(top, r) AS r"))
     if names is None:
         return edges.selectExpr("a AS vertex", "b AS component")

@@ -33,7 +33,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidegate.llm.common import components, text_slices
+from tidegate.llm.common import components, settle, text_slices
 from tidegate.session import cut_lineage
 
 BANDS, ROWS = 40, 5
@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         return members.select("id", "pivot").distinct().join(mine, "id").join(theirs, "pivot").filter(fits).filter(agree) \
             .selectExpr("least(id, pivot) AS a", "greatest(id, pivot) AS b").distinct()
 
-    measured = _measured(cut_lineage(with_pivots(shared.filter("id <> pivot"))), bodies, words, percent)
+    measured = _measured(settle(with_pivots(shared.filter("id <> pivot"))), bodies, words, percent)
     used = shared.select("bucket", "pivot").distinct()
     for turn in range(PIVOT_TURNS + 1):
         parts = components(measured.filter("near"))
@@ -183,7 +183,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             .selectExpr("bucket", "id", "coalesce(component, id) AS part")
         split = side.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("size")) \
             .filter("p < q AND size > 2").select("bucket", "size")
-        side = cut_lineage(side.join(split, "bucket"))
+        side = settle(side.join(split, "bucket"))
         large = side.filter(F.col("size") >= LARGE_BUCKET)
         last = turn == PIVOT_TURNS or large.isEmpty()
         if last:  # every pair of members in different parts
@@ -193,12 +193,12 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         else:  # large buckets try their best linked member next: the original of a group of near copies
             degree = measured.filter("near").selectExpr("explode(array(a, b)) AS id").groupBy("id").agg(F.count("*").alias("k"))
             rank = F.struct(F.coalesce("k", F.lit(0)).alias("k"), (-F.col("id")).alias("low"))
-            best = cut_lineage(
+            best = settle(
                 large.join(used.withColumnRenamed("pivot", "id"), ["bucket", "id"], "left_anti").join(degree, "id", "left")
                 .groupBy("bucket").agg(F.max_by("id", rank).alias("pivot")))
             used = used.unionByName(best)
             fresh = with_pivots(large.join(best, "bucket").filter("id <> pivot"))
-        fresh = cut_lineage(fresh.join(measured, ["a", "b"], "left_anti"))
+        fresh = settle(fresh.join(measured, ["a", "b"], "left_anti"))
         if not fresh.isEmpty():
             measured = measured.unionByName(_measured(fresh, bodies, words, percent))
             parts = components(measured.filter("near")) if last else parts
@@ -249,7 +249,7 @@ def _across(side: DataFrame, used: DataFrame, measured: DataFrame, fits: str, ag
         .groupBy("bucket", "id").agg(F.map_from_entries(F.collect_list(F.struct("pivot", "dist"))).alias("far"))  # a few pivots
     usable = F.when(F.col("size") >= LARGE_BUCKET, F.col("n") - F.coalesce("private", F.lit(0))).otherwise(F.col("n"))
     side = side.join(known, ["bucket", "id"], "left").withColumn("usable", usable)
-    side = cut_lineage(side.filter(f"100 * usable >= {percent} * n"))  # else too little is left to share with anyone
+    side = settle(side.filter(f"100 * usable >= {percent} * n"))  # else too little is left to share with anyone
     other = side.selectExpr("bucket", "id AS id2", "n AS m", "usable AS usable2", "s1 AS t1", "s2 AS t2", "s3 AS t3", "part AS part2", "far AS far2")
     room = f"100 * least(usable, usable2) >= {percent} * (n + m - least(usable, usable2))"
     reach = f"far IS NULL OR far2 IS NULL OR NOT exists(map_keys(far), k -> coalesce(abs(far[k] - far2[k]) > {apart}, false))"
@@ -265,7 +265,7 @@ def _measured(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) ->
     holds more than 64 texts or so.
     """
     ends = pairs.selectExpr("explode(array(a, b)) AS v").groupBy("v").agg(F.count("*").alias("k"))
-    aimed = cut_lineage(
+    aimed = settle(
         pairs.join(ends.selectExpr("v AS a", "k AS ka"), "a").join(ends.selectExpr("v AS b", "k AS kb"), "b")
         .selectExpr("IF(ka >= kb, a, b) AS a", "IF(ka >= kb, b, a) AS b"))
     many = aimed.groupBy("a").agg(F.count("*").alias("k")).withColumn("salts", F.ceil(F.col("k") / 64).cast("int"))
@@ -275,7 +275,7 @@ def _measured(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) ->
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("a") != F.col("b"), "b")
     out = ordered.select("a", "b", "body").mapInArrow(_measure(words, percent), "a long, b long, near boolean, dist double")
-    return cut_lineage(out.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "near", "dist"))
+    return settle(out.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "near", "dist"))
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
