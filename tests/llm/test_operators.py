@@ -337,6 +337,25 @@ def test_alignment_makes_groups_optional_and_repeated():
     assert wrappers.collapse(["x", "y", "x", "y"]) == [[[["x", False, False], ["y", False, False]], False, True]]
 
 
+def test_wrapper_slots_tell_the_template_from_the_article(spark):
+    for tokens in (["n", "h", "p", "p", "f"], list("xyxyxz"), list("abbabbc"), ["a"] * 5, []):
+        items, places = wrappers.numbered(tokens)
+        assert items == wrappers.collapse(tokens) and sum(map(len, places)) == len(tokens)
+        for item, own in zip(items, places):
+            flat = list(wrappers.tokens_of([item]))
+            assert [flat[k] for k in own] == tokens[:len(own)]
+            tokens = tokens[len(own):]
+    wrapper = [["d", True, False], ["p", False, True], ["d", False, False]]
+    assert wrappers.parse([["d", False, False]], wrapper) == [2] and wrappers.parse([["p", False, False], ["d", False, False]], wrapper) == [1, 2]
+    # The same path before and after the text: only the first is the template's. Classes of body say nothing.
+    page = '<body class="has-sidebar"><div>All rights of the site</div><p>Own %d</p><div>Last %d</div></body>'
+    inside = "<article><h1>Title</h1><div>Written by the staff</div><p>Own %d</p></article>"
+    rows = [(i, "http://plain/", page % (i, i)) for i in range(15)] + [(20 + i, "http://inside/", inside % i) for i in range(15)]
+    rows += [(40 + i, "http://copies/", "<p>same</p>") for i in range(15)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Own {i}\nLast {i}" for i in range(15)} | {20 + i: f"Title\nOwn {i}" for i in range(15)} | {40 + i: "same" for i in range(15)}
+
+
 def test_empty_tables(spark, nothing, ranks):
     import public_tokenizers
     labels = spark.createDataFrame([], "doc_id long, quality int")
