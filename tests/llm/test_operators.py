@@ -356,6 +356,17 @@ def test_wrapper_slots_tell_the_template_from_the_article(spark):
     assert got == {i: f"Own {i}\nLast {i}" for i in range(15)} | {20 + i: f"Title\nOwn {i}" for i in range(15)} | {40 + i: "same" for i in range(15)}
 
 
+def test_wrapper_decides_per_page_and_from_sums_over_the_host(spark):
+    # One page with main empties no other page of its host, and one page of links removes no slot.
+    rows = [(i, None, f"<div><p>Plain {i}</p></div>") for i in range(5)] + [(5, "no host", "<main><p>Main</p></main><p>rest</p>")]
+    rows += [(10 + i, "http://h/", f"<div><p>Words of page {i} <a>x</a></p></div>") for i in range(5)] + [(15, "http://h/", "<div><p><a>A short link</a></p></div>")]
+    rows += [(30 + i, "http://c/", f"<nav>{i}</nav><article><p>copied</p></article>") for i in range(12)]
+    rows += [(20 + i, "http://l/", f"<div><p>Text {i}</p><dl><dt><a>To page {i}</a></dl></div>") for i in range(3)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Plain {i}" for i in range(5)} | {5: "Main"} | {10 + i: f"Words of page {i} x" for i in range(5)} | {15: "A short link"} \
+        | {20 + i: f"Text {i}" for i in range(3)} | {30 + i: "copied" for i in range(12)}
+
+
 def test_empty_tables(spark, nothing, ranks):
     import public_tokenizers
     labels = spark.createDataFrame([], "doc_id long, quality int")
