@@ -204,6 +204,24 @@ def test_network_scores_whole_texts():
     assert 0 <= score("") <= 1
 
 
+def test_network_is_fitted_on_whole_texts(spark):
+    rng = np.random.default_rng(3)
+    calm = lambda n: " ".join(rng.choice(["the", "calm", "sea", "and", "quiet", "land"], n))
+    def text(bad):  # the only difference lies in bytes 700 to 1,400 of about 12,000
+        start = calm(400)[:700]
+        return start + (" BUY!! NOW!! CHEAP!!" * 35 if bad else calm(400)[:700]) + calm(2400)[:10_600]
+    docs = spark.createDataFrame([(i, text(i % 2)) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in cnn.score(docs, cnn.fit(docs, labels, steps=80)).collect()}
+    assert all((got[i] > 0.5) == (i % 2 == 0) for i in got)
+    # A sum over parts is the gradient of the whole.
+    net, texts, y = cnn.Network(1), [b"", b"abc", b"x" * 40_000, b"some text " * 300], np.array([1.0, 0.0, 1.0, 0.0])
+    net.out += np.float32(0.1)
+    whole, parts = cnn.gradient(net, texts, y), [cnn.gradient(net, texts[i:i + 1], y[i:i + 1]) for i in range(4)]
+    for k in cnn.NAMES:
+        assert np.allclose(whole[k], sum(p[k] for p in parts), atol=1e-5)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op3_quality_classifier(spark, sf).filter("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()

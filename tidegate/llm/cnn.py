@@ -9,8 +9,9 @@ Inference multiplies embeddings and filters once into two tables over byte pairs
 so a position costs two gathers of one short row. Texts are scored chunk by
 chunk; memory is bounded by a chunk, whatever the length of the text.
 
-Training uses at most ``FIT_ROWS`` labelled rows outside the held-out fold, and at
-most ``FIT_CHUNKS`` evenly spaced chunks of each; scores cover every byte of every row.
+Training uses about ``FIT_ROWS`` labelled rows at most, outside the held-out fold, and
+every byte of them. A step is one Spark aggregate: tasks run over the whole texts of
+its batch and return one gradient of fixed size each; no text reaches the driver.
 
 Defined cases. A null text is an empty one; an empty text is scored as one chunk
 of padding. Null labels are ignored. With labels of one class only, the score is
@@ -24,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.llm.common import bounded_sample, fold, text_slices
+from tidegate.session import cut_lineage
 
 FIT_ROWS = 2_000
-FIT_CHUNKS = 8
+BATCH, STEPS = 256, 150
+PARTS = 8  # of the sample; a batch costs as many tasks
 FOLDS = 5
 CHUNK, WIDTH = 512, 4
 FILTERS, DIMS = 16, 8
@@ -88,85 +91,129 @@ def _score(text: bytes, net: Network, pair: list[np.ndarray]) -> float:
     return float(1 / (1 + np.exp(-np.clip(pooled @ net.out + net.base, -30, 30))))
 
 
-def train(texts: list[bytes], labels: np.ndarray, *, epochs: int = 10, rate: float = 0.03, seed: int = 7) -> Network:
-    """Adam on the log loss; gradients pass through the maxima to their windows."""
+NAMES = ("embed", "filters", "bias", "out", "base")
+
+
+def gradient(net: Network, texts: list[bytes], labels: np.ndarray) -> dict[str, np.ndarray]:
+    """Sum over the texts of the gradient of the log loss; it passes through the maxima to their windows."""
+    one = net.responses()
+    raws, sizes, seen = [], [], []
+    held: list[np.ndarray] = []
+
+    def flush():
+        rows = np.concatenate(held)
+        held.clear()
+        raw, at = _maxima(rows, one)
+        raws.append(raw)
+        seen.append(np.stack([np.take_along_axis(rows, at + w, 1) for w in range(WIDTH)]).astype(np.int16))
+    for text in texts:
+        own = chunks(text)
+        sizes.append(len(own))
+        for start in range(0, len(own), 64):
+            held.append(own[start:start + 64])
+            if sum(map(len, held)) >= 64:
+                flush()
+    if held:
+        flush()
+    raw, windows = np.concatenate(raws), np.concatenate(seen, axis=1)
+    count = np.array(sizes)
+    doc = np.repeat(np.arange(len(count)), count)
+    edge = np.concatenate([[0], np.cumsum(count)[:-1]])
+    act = np.maximum(raw + net.bias, 0)
+    mean = np.add.reduceat(act, edge) / count[:, None]
+    top = np.maximum.reduceat(act, edge)
+    pooled = np.concatenate([mean, top], axis=1)
+    p = 1 / (1 + np.exp(-(pooled @ net.out + net.base)))
+    err = p - labels
+    down = err[:, None] * net.out
+    d_act = down[doc, :FILTERS] / count[doc, None] + down[doc, FILTERS:] * (act == top[doc])
+    d_act *= act > 0
+    grads = {"out": pooled.T @ err, "base": err.sum(), "bias": d_act.sum(axis=0),
+             "filters": np.zeros(net.filters.shape), "embed": np.zeros(net.embed.shape)}
+    for w in range(WIDTH):  # the byte at place w of each filter's best window
+        by_byte = np.bincount((windows[w].astype(np.int64) * FILTERS + np.arange(FILTERS)).ravel(), d_act.ravel(), 257 * FILTERS).reshape(257, FILTERS)
+        grads["filters"][w] = net.embed.T @ by_byte
+        grads["embed"] += by_byte @ net.filters[w].T
+    return grads
+
+
+def _descend(batches, rate_of_ones: float, n: int, *, rate: float, seed: int) -> Network:
+    """Adam over ``batches``, functions from a network to (rows, gradient sum)."""
     net = Network(seed)
-    if labels.min() == labels.max():  # also one class only
-        p = (labels.sum() + 1) / (len(labels) + 2)
+    if rate_of_ones in (0.0, 1.0):  # one class only
+        p = (rate_of_ones * n + 1) / (n + 2)
         net.base = np.float32(np.log(p / (1 - p)))
         return net
-    rng = np.random.default_rng(seed)
-    held = []
-    for text in texts:
-        rows = chunks(text)
-        held.append(rows[np.unique(np.linspace(0, len(rows) - 1, min(len(rows), FIT_CHUNKS)).astype(int))])
-    names = ("embed", "filters", "bias", "out", "base")
-    first = {k: np.zeros_like(getattr(net, k)) for k in names}
-    second = {k: np.zeros_like(getattr(net, k)) for k in names}
-    net.base = np.float32(np.log(labels.mean() / (1 - labels.mean())))
-    net.out = rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32)
+    first = {k: np.zeros_like(getattr(net, k)) for k in NAMES}
+    second = {k: np.zeros_like(getattr(net, k)) for k in NAMES}
+    net.base = np.float32(np.log(rate_of_ones / (1 - rate_of_ones)))
+    net.out = np.random.default_rng(seed).normal(0, 0.1, 2 * FILTERS).astype(np.float32)
     step = 0
-    for _ in range(epochs):
-        order = rng.permutation(len(held))
-        for start in range(0, len(order), 32):
-            batch = order[start:start + 32]
-            rows = np.concatenate([held[i] for i in batch])
-            sizes = np.array([len(held[i]) for i in batch])
-            doc = np.repeat(np.arange(len(batch)), sizes)
-            edge = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            raw, at = _maxima(rows, net.responses())
-            act = np.maximum(raw + net.bias, 0)
-            mean = np.add.reduceat(act, edge) / sizes[:, None]
-            top = np.maximum.reduceat(act, edge)
-            pooled = np.concatenate([mean, top], axis=1)
-            p = 1 / (1 + np.exp(-(pooled @ net.out + net.base)))
-            err = ((p - labels[batch]) / len(batch)).astype(np.float32)
-            down = err[:, None] * net.out
-            d_act = down[doc, :FILTERS] / sizes[doc, None] + down[doc, FILTERS:] * (act == top[doc])
-            d_act *= act > 0
-            grads = {"out": pooled.T @ err + 1e-4 * net.out, "base": err.sum(), "bias": d_act.sum(axis=0),
-                     "filters": np.zeros_like(net.filters), "embed": np.zeros_like(net.embed)}
-            for w in range(WIDTH):
-                seen = np.take_along_axis(rows, at + w, 1)  # the byte at place w of each filter's best window
-                by_byte = np.bincount((seen * FILTERS + np.arange(FILTERS)).ravel(), d_act.ravel(), 257 * FILTERS).reshape(257, FILTERS)
-                grads["filters"][w] = net.embed.T @ by_byte
-                grads["embed"] += (by_byte @ net.filters[w].T).astype(np.float32)
-            step += 1
-            for k in names:
-                first[k] = 0.9 * first[k] + 0.1 * grads[k]
-                second[k] = 0.999 * second[k] + 0.001 * grads[k] ** 2
-                move = rate / 3 * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-7)
-                setattr(net, k, (getattr(net, k) - move).astype(np.float32))
+    for batch in batches:
+        rows, total = batch(net)
+        if not rows:
+            continue
+        step += 1
+        for k in NAMES:
+            grad = total[k] / rows + (1e-4 * net.out if k == "out" else 0)
+            first[k] = 0.9 * first[k] + 0.1 * grad
+            second[k] = 0.999 * second[k] + 0.001 * grad ** 2
+            move = rate / 3 * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-7)
+            setattr(net, k, (getattr(net, k) - move).astype(np.float32))
     return net
 
 
+def train(texts: list[bytes], labels: np.ndarray, *, epochs: int = 10, rate: float = 0.03, seed: int = 7) -> Network:
+    """A network fitted to texts at hand, in batches of 32."""
+    rng = np.random.default_rng(seed)
+
+    def batches():
+        for _ in range(epochs):
+            order = rng.permutation(len(texts))
+            for start in range(0, len(order), 32):
+                at = order[start:start + 32]
+                yield lambda net, at=at: (len(at), gradient(net, [texts[i] for i in at], labels[at]))
+    return _descend(batches(), float(labels.mean()), len(labels), rate=rate, seed=seed)
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality",
-        rows: int = FIT_ROWS) -> Network:
-    """Train on a bounded sample of the labelled rows outside the held-out fold."""
+        rows: int = FIT_ROWS, steps: int = STEPS, rate: float = 0.06, seed: int = 7) -> Network:
+    """Train on the whole texts of a bounded sample of the labelled rows outside the held-out fold."""
     known = labels.select(F.col(key), F.col(label).cast("double").alias("__label")) \
         .filter(F.col("__label").isNotNull() & F.col(key).isNotNull() & (fold(F.col(key), FOLDS) != 0))
     sample = bounded_sample(known, key, rows)
-    # A training text contributes its evenly spaced chunks, so what reaches the driver is bounded in bytes too.
-    got = docs.select(F.col(key), F.col(text).cast("binary").alias("text")).join(F.broadcast(sample), key) \
-        .mapInArrow(_thin, "k string, label double, text binary").toPandas().sort_values(["k", "text"], kind="stable")
-    if not len(got):
-        return train([b""], np.array([1.0]))
-    return train(got["text"].tolist(), got["label"].to_numpy(np.float64))
-
-
-def _thin(batches):
-    """Keep FIT_CHUNKS evenly spaced stretches of long training texts."""
-    for part, texts in text_slices(batches, "text"):
-        short = []
-        for t in texts:
-            t = t or b""
-            n = len(t)
-            if n > FIT_CHUNKS * STEP:
-                t = b"".join(t[p:p + STEP] for p in np.linspace(0, n - STEP, FIT_CHUNKS).astype(int))
-            short.append(t)
-        names = part.schema.names
-        yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.string()), part.column(names.index("__label")),
-                                          pa.array(short, pa.binary())], names=["k", "label", "text"])
+    texts = docs.select(F.col(key), F.col(text).cast("binary").alias("text")).join(F.broadcast(sample), key) \
+        .select(F.xxhash64(F.col(key), "text").alias("k"), F.col("__label").alias("label"), "text")
+    held = cut_lineage(texts.repartition(PARTS, "k").sortWithinPartitions("k", "label"))
+    n, ones = held.agg(F.count("*"), F.coalesce(F.avg("label"), F.lit(1.0))).first()
+    groups = -(-n // BATCH)
+
+    def batches():
+        for step in range(steps if n else 0):
+            part = held.filter(F.pmod("k", F.lit(groups)) == step % groups) if groups > 1 else held
+            yield lambda net, part=part: _total(part, net)
+    return _descend(batches(), float(ones), max(n, 1), rate=rate, seed=seed)
+
+
+def _total(rows: DataFrame, net: Network) -> tuple[int, dict[str, np.ndarray]]:
+    """Rows and sum of their gradients: one vector from every task."""
+    def run(batches):
+        n, total = 0, np.zeros(sum(np.size(getattr(net, k)) for k in NAMES))
+        for part, texts in text_slices(batches, "text", 1 << 20):
+            own = gradient(net, [t or b"" for t in texts], part.column(0).to_numpy())
+            total += np.concatenate([np.ravel(own[k]) for k in NAMES])
+            n += len(texts)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total], pa.list_(pa.float64()))], names=["n", "total"])
+    got = rows.select("label", "text").mapInArrow(run, "n long, total array<double>").collect()
+    out, at = {}, 0
+    total = np.sum([r["total"] for r in got], axis=0) if got else np.zeros(0)
+    for k in NAMES if got else ():
+        shape = np.shape(getattr(net, k))
+        size = int(np.prod(shape))
+        out[k] = total[at:at + size].reshape(shape)
+        at += size
+    return sum(r["n"] for r in got), out
 
 
 def score(docs: DataFrame, net: Network, *, key: str = "doc_id", text: str = "text") -> DataFrame:
