@@ -162,6 +162,22 @@ def test_personal_data_query_and_context(spark, corpus):
     assert "[PHONE]" in {r.doc_id: r.text for r in pii.redact(docs).collect()}[9]
 
 
+def test_personal_data_candidates_are_whole(spark):
+    def offered(text):
+        return {text[a:b] for a, _, b in pii.loose_spans(text, sorted((a, b) for a, _, b in pii.base_spans(text)))}
+    assert {"555-010-7777", "555-010-8888"} <= offered("hotline: 555-010-7777 555-010-8888")
+    assert {"555-010-7777", "555-010-7777 2026"} <= offered("hotline: 555-010-7777 2026")
+    assert "555-010-7777" in offered("555-010-7777 10.0.0.1 end") and offered("10.0.0.1 555-010-7777") == {"555-010-7777"}
+    long = "a" * 200 + "@" + "b" * 200
+    assert offered(f"to {long} now") == {long}
+    around = pii._Around("x" * 100 + " 1234567 " + " " * 90 + "y" * 100 + " z")
+    assert around.read(101, 108) == [pii._hash("<", "x" * 100), pii._hash(">", "y" * 100)]
+    seeds = [f"reach hotline: +1 (555) 010-{1000 + i} today" for i in range(9)] + ["hotline: 555-010-7777 2026 x", "hotline: 555-010-6666 10.0.0.1 x"]
+    found = {r.doc_id: [seeds[r.doc_id][s.start:s.end] for s in r.spans]
+             for r in pii.find(spark.createDataFrame(list(enumerate(seeds)), "doc_id long, text string")).collect()}
+    assert found[9] == ["555-010-7777"] and found[10] == ["555-010-6666", "10.0.0.1"]
+
+
 def test_quality_rules(spark, corpus):
     for text in (None, "", "a b c a b c d", "a a a a a", "x\nx\n\n\ny é#\nx"):
         words = re.findall(r"[^\x20\x09-\x0D]+", text or "")

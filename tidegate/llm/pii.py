@@ -13,11 +13,12 @@ A pattern's denominator counts its word over the whole corpus, so a common word
 such as an article never becomes a pattern, however often it precedes an address.
 
 Scanning is linear in the text: addresses are grown from each ``@``, and the
-number formats start only where a run starts. Nothing is shared between texts
+number formats start only where a run starts. Of a stretch of numbers every run of
+whole tokens that could be an identifier is offered, beside formats too. Nothing is shared between texts
 except word counts and graph rows, which are aggregated before they are joined.
 
-Defined cases. A null text is empty and has no spans. Spans of different kinds may
-overlap; all are reported. A null id is kept as it is. Repeated rows get the same
+Defined cases. A null text is empty and has no spans. Spans may overlap,
+also those of one kind; all are reported. A null id is kept as it is. Repeated rows get the same
 spans, and count once as instances, since instances are distinct strings.
 """
 
@@ -47,9 +48,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
-# An identifier-like stretch: digits with separators, or a word holding a sign or several digits.
-_LOOSE = re.compile(r"[(]?[0-9][0-9().\-/ ]*[0-9]|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,64}")
+# Identifier-like stretches: addresses, and digits with separators.
+_ADDRESS = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+")
+_LOOSE = re.compile(r"[(]?[0-9][0-9().\-/ ]*")
+_TOKEN = re.compile(r"[(]?[0-9](?:[^ ]*[0-9])?")
 _GAP = re.compile(r"[ \t\n\x0b\f\r]")
+_WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
 
 
 def _luhn(digits: str) -> bool:
@@ -111,16 +115,77 @@ def _hash(side: str, word: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{side}{word.lower()}".encode()) - (1 << 63)
 
 
-def _around(text: str, start: int, end: int) -> list[int]:
-    """Patterns of a span: its left and right neighbour words."""
-    out = []
-    left = text[max(0, start - 64):start].rstrip(" \t\n\x0b\f\r")
-    if left:
-        out.append(_hash("<", _GAP.split(left)[-1]))
-    right = _GAP.split(text[end:end + 64].lstrip(" \t\n\x0b\f\r"), maxsplit=1)[0]
-    if right and _GAP.match(text, end):
-        out.append(_hash(">", right))
-    return out
+def _numbers(text: str, start: int, end: int):
+    """Runs of whole tokens, split at spaces, within a stretch of digits and separators; tokens have a digit, so runs are short."""
+    tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, start, end)]
+    digits = [sum(c.isdigit() for c in text[s:e]) for s, e in tokens]
+    for i, (s, _) in enumerate(tokens):
+        total = 0
+        for (_, e), n in zip(tokens[i:i + 19], digits[i:i + 19]):
+            total += n
+            if total > 19:
+                break
+            if total >= 4:
+                yield s, e
+
+
+def loose_spans(text: str, taken: list[tuple[int, int]]):
+    """(start, kind, end) of identifier-like stretches outside the sorted spans ``taken``."""
+    found = list(taken)
+    edge = 0
+    for m in _ADDRESS.finditer(text) if "@" in text else ():
+        while edge < len(taken) and taken[edge][1] <= m.start():
+            edge += 1
+        if edge == len(taken) or taken[edge][0] >= m.end():
+            yield m.start(), 0, m.end()
+            found.append(m.span())
+    found.sort()
+    edge = 0
+    for m in _LOOSE.finditer(text):
+        at = m.start()
+        while edge < len(found) and found[edge][1] <= at:
+            edge += 1
+        k, pieces = edge, []
+        while k < len(found) and found[k][0] < m.end():  # what stands beside a format is still offered
+            pieces.append((at, found[k][0]))
+            at = max(at, found[k][1])
+            k += 1
+        for a, b in (*pieces, (at, m.end())):
+            for s, e in _numbers(text, a, b) if a < b else ():
+                kind = _guess(text[s:e])
+                if kind is not None:
+                    yield s, kind, e
+
+
+class _Around:
+    """Patterns of the spans of a text, asked in order of their starts: left and right neighbour words, read once."""
+
+    def __init__(self, text: str):
+        self.text, self.at, self.before = text, 0, None
+        self.word, self.empty = xxhash.xxh3_64(b"<"), True
+
+    def read(self, start: int, end: int) -> list[int]:
+        if start > self.at:
+            first, *others = _GAP.split(self.text[self.at:start])
+            self._grow(first)
+            for piece in others:
+                if not self.empty:
+                    self.before = self.word.intdigest() - (1 << 63)
+                    self.word, self.empty = xxhash.xxh3_64(b"<"), True
+                self._grow(piece)
+            self.at = start
+        left = self.before if self.empty else self.word.intdigest() - (1 << 63)
+        out = [] if left is None else [left]
+        if _GAP.match(self.text, end):
+            right = _WORD.search(self.text, end)
+            if right:
+                out.append(_hash(">", right[0]))
+        return out
+
+    def _grow(self, piece: str):
+        if piece:
+            self.word.update(piece.lower().encode())
+            self.empty = False
 
 
 def _scan(batches):
@@ -134,18 +199,11 @@ def _scan(batches):
             own = []
             if found or _DIGITS.search(text) or "@" in text:
                 seeds = [(s, k, e, True) for s, k, e in found]
-                edge, taken = 0, sorted((s, e) for s, _, e in found)
-                for m in _LOOSE.finditer(text):
-                    while edge < len(taken) and taken[edge][1] <= m.start():
-                        edge += 1
-                    if edge < len(taken) and taken[edge][0] < m.end():
-                        continue  # a format has it
-                    kind = _guess(m[0])
-                    if kind is not None:
-                        seeds.append((m.start(), kind, m.end(), False))
-                for s, k, e, seed in seeds:
+                seeds += [(*c, False) for c in loose_spans(text, sorted((s, e) for s, _, e in found))]
+                around = _Around(text)
+                for s, k, e, seed in sorted(seeds):
                     name = _hash("=", text[s:e])
-                    own += [{"kind": k, "start": s, "end": e, "instance": name, "pattern": p, "seed": seed} for p in _around(text, s, e)]
+                    own += [{"kind": k, "start": s, "end": e, "instance": name, "pattern": p, "seed": seed} for p in around.read(s, e)]
             marks.append(own)
         yield pa.RecordBatch.from_arrays(
             [part.column(i) for i in range(part.num_columns - 1)]
