@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, brown, cnn, embeddings, minhash, mixing, pii, rules, urls, wrappers
+from tidegate.llm import (bpe, brown, chat, cnn, embeddings, minhash, mixing, phrases, pii, rules, urls,
+                          variants, wrappers)
 from tidegate.llm.common import fold, table
 
 
@@ -97,5 +98,116 @@ def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_source_mixing, op3_quality_classifier, op4_personal_data, op5_url_filter, op6_quality_rules, op7_brown_lm_scores, op8_byte_level_bpe, op9_minhash_near_dedup, op10_html_wrappers)}
-SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL}
+# The conversation the contract adds.
+ADDED = "INLINE(ARRAY(STRUCT(-7L, 0L, 'user', '</s>[INST] ok [/INST]'), STRUCT(-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')))"
+
+
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.range(1).selectExpr(ADDED).toDF("conv_id", "turn", "role", "text")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.digests(chat.format_chats(turns))
+
+
+OP11_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+-- The rendered length: two marks of 3 and 4 characters, a tag and its end, role names only in the tag of other roles.
+sized AS (
+  SELECT *, 7 + 5 + 2 * CASE role WHEN 'system' THEN 3 WHEN 'user' THEN 4 WHEN 'assistant' THEN 3 ELSE 4 END
+         + CASE WHEN role IN ('system', 'user', 'assistant') THEN 0
+                ELSE length(regexp_replace(role, '(<)(\\*)(/?s>)|(\[)(\\*)(/?(?:SYS|INST|OUT|ROLE)\])', '\1\4\\\2\5\3\6', 'g')) END
+         + length(regexp_replace(text, '(<)(\\*)(/?s>)|(\[)(\\*)(/?(?:SYS|INST|OUT|ROLE)\])', '\1\4\\\2\5\3\6', 'g')) AS chars
+  FROM turns),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text) AS listing,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '') AS learned,
+         CAST(sum(chars) AS BIGINT) AS formatted_chars
+  FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(listing) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars
+FROM joined
+"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE
+steps AS (  -- the table of the checksum: eight halvings of each byte
+  SELECT i AS byte, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY byte) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                  '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+long_runs AS (SELECT d, run, count(*) AS k FROM runs WHERE length(run) >= 6 GROUP BY d, run),
+hashed AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(d || ':' || run)),
+                         lambda i: ('0x' || substr(hex(encode(d || ':' || run)), 2 * i + 1, 2))::BIGINT)),
+                         lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS h
+  FROM long_runs, crc),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         CAST(sum(k) AS BIGINT) AS n FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(k) >= 5),
+-- Near words share what is left when one letter is deleted, from either at the same place or from one of them.
+cuts AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+holes AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM cuts),
+near AS (
+  SELECT x.word, y.word AS other, y.n FROM holes x JOIN holes y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, w.word, w.n FROM holes x JOIN words w ON w.word = x.a || x.b
+  UNION SELECT w.word, x.word, x.n FROM holes x JOIN words w ON w.word = x.a || x.b),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS form, max(n) AS form_n FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.form_n >= 5 * w.n THEN b.form END AS form,
+         CASE WHEN b.form_n >= 5 * w.n THEN b.form_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)),
+climb AS (
+  SELECT word, word AS root, 0 AS k FROM forms
+  UNION ALL SELECT c.word, f.form, k + 1 FROM climb c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+tops AS (SELECT word, arg_max(root, k) AS root FROM climb GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN tops USING (word)
+"""
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS g
+  FROM lists, (VALUES (1), (2), (3)) ks(k) WHERE len(w) >= k),
+counts AS MATERIALIZED (SELECT lang, k, g, lang || chr(9) || g AS key, count(*) AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+-- Each candidate once per cut, with both parts.
+cand AS MATERIALIZED (
+  SELECT lang, g, f AS a, k, 1 AS cut, split_part(g, ' ', 1) AS x, array_to_string(string_split(g, ' ')[2:], ' ') AS y FROM counts WHERE k >= 2 AND f >= 10
+  UNION ALL SELECT lang, g, f, k, 2, array_to_string(string_split(g, ' ')[:2], ' '), split_part(g, ' ', 3) FROM counts WHERE k = 3 AND f >= 10),
+covers AS (
+  SELECT lang, g, max(a) AS covering FROM (
+    SELECT lang, y AS g, a FROM cand WHERE k = 3 AND cut = 1 UNION ALL SELECT lang, x, a FROM cand WHERE k = 3 AND cut = 2)
+  GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.g, c.a, c.cut, x.f AS l, y.f AS r, CAST(1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cand c JOIN counts x ON x.key = c.lang || chr(9) || c.x JOIN counts y ON y.key = c.lang || chr(9) || c.y),
+lowest AS (
+  SELECT * FROM cuts LEFT JOIN covers USING (lang, g) WHERE covering IS NULL OR 100 * covering < 50 * a
+  QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM (SELECT *, g AS phrase FROM lowest))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_source_mixing, op3_quality_classifier, op4_personal_data, op5_url_filter, op6_quality_rules, op7_brown_lm_scores, op8_byte_level_bpe, op9_minhash_near_dedup, op10_html_wrappers,
+                                  op11_chat_formatting, op12_spelling_variants, op13_phrase_collocations)}
+SQL: dict[str, str] = {"op2_source_mixing": OP2_SQL, "op11_chat_formatting": OP11_SQL, "op12_spelling_variants": OP12_SQL,
+                       "op13_phrase_collocations": OP13_SQL}
