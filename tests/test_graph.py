@@ -71,7 +71,7 @@ def test_hops_ring_and_census(world):
 @pytest.mark.parametrize("unit_rows", [500_000, 2])
 def test_replay_toy_numbers(world, unit_rows):
     out = {r.advance_id: (r.comp_users, r.comp_types, r.nb_comp, r.nb_d1) for r in replay.leakfree_features(
-        world.advances, world.edges, unit_rows=unit_rows).collect()}
+        world.advances, world.edges, degree_cap=20, unit_rows=unit_rows).collect()}
     assert out["a02"] == (2, 1, 0, 0) and out["a04"] == (3, 2, 1, 0)
     capped = {r.advance_id: (r.comp_users, r.comp_types) for r in replay.leakfree_features(
         world.advances, world.edges, degree_cap=4, unit_rows=unit_rows).collect()}
@@ -82,7 +82,7 @@ def test_own_default_is_excluded(spark):
     rows = [row("x1", "uA", "2026-01-01T10:00", "dZ", fraud=1), row("x2", "uA", "2026-01-20T10:00", "dZ"),
             row("x3", "uB", "2026-01-20T11:00", "dZ")]
     df = spark.createDataFrame(rows, SCHEMA)
-    out = {r.advance_id: (r.nb_comp, r.nb_d1) for r in replay.leakfree_features(df, S.build_edges(df)).collect()}
+    out = {r.advance_id: (r.nb_comp, r.nb_d1) for r in replay.leakfree_features(df, S.build_edges(df), degree_cap=None).collect()}
     assert out["x2"] == (0, 0) and out["x3"] == (1, 1)
 
 
@@ -135,3 +135,67 @@ def test_replay_matches_brute_force(spark, unit_rows):
     got = {r.advance_id: (r.comp_users, r.comp_types, r.nb_comp, r.nb_d1) for r in replay.leakfree_features(
         df, S.build_edges(df), degree_cap=None, unit_rows=unit_rows).collect()}
     assert got == brute_replay(rows)
+
+
+def test_components_by_rounds_and_by_one_task(spark, monkeypatch):
+    rng = random.Random(5)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(190)] + [(1000 + i, 1001 + i) for i in range(60)]
+    root = {v: v for link in links for v in link if link[0] != link[1]}
+
+    def top(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+    for a, b in links:
+        if a != b:
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+    want = {v: top(v) for v in root}
+    frame = spark.createDataFrame(links, "a long, b long")
+    for rest in (200_000, 5, 0):
+        monkeypatch.setattr(C, "REST", rest)
+        assert {r.vertex: r.component for r in C.contract(frame).collect()} == want
+    assert C.contract(frame.filter("false")).count() == 0
+
+
+def test_projection_of_hubs_in_blocks(spark):
+    """A hub dealt to blocks gives every pair once, equal to the plain join; the cap only leaves hubs out."""
+    rng = random.Random(2)
+    rows = [("device", "hub", u) for u in range(60)] + [("bank", f"b{rng.randrange(12)}", rng.randrange(60)) for _ in range(90)]
+    edges = spark.createDataFrame(sorted({(*r, datetime(2026, 1, 1)) for r in rows}), "entity_type string, entity_value string, user_id long, ts timestamp_ntz")
+    users = {}
+    for t, e, u in set(rows):
+        users.setdefault((t, e), set()).add(u)
+    want = {}
+    for (t, _), us in users.items():
+        for a in us:
+            for b in us:
+                if a < b:
+                    n, kinds = want.get((a, b), (0, set()))
+                    want[a, b] = (n + 1, kinds | {t})
+    want = {k: (n, len(kinds)) for k, (n, kinds) in want.items()}
+    for size in (7, 1, 1000):
+        got = T.project_users(edges, degree_cap=None, layers=("device", "bank"), block_users=size).collect()
+        assert len(got) == len(want) and {(r.user_a, r.user_b): (r.n_shared, r.n_types) for r in got} == want
+    capped = T.project_users(edges, degree_cap=20, layers=("device", "bank"), block_users=3)
+    assert {(r.user_a, r.user_b) for r in capped.collect()} == {
+        (a, b) for us in users.values() if len(us) <= 20 for a in us for b in us if a < b}
+
+
+def test_direct_seeds_of_advances_with_many_entities(spark):
+    """Users met through several entities, by one advance or by several, count once."""
+    rng = random.Random(11)
+    t0 = datetime(2026, 1, 1)
+    kinds = ("device_id", "bank_account_key", "phone_key", "address_key", "persistent_account_id")
+    rows = []
+    for i in range(150):
+        at, bad = t0 + timedelta(hours=rng.randrange(400)), rng.random() < 0.4
+        rows.append((f"a{i:03d}", f"u{rng.randrange(30)}", at, *[rng.choice([None, "hub", *[f"x{j}" for j in range(6)]]) for _ in kinds],
+                     int(bad), at + timedelta(hours=rng.randrange(1, 90)) if bad else None))
+    df = spark.createDataFrame(rows, "advance_id string, user_id string, feature_as_of_ts timestamp_ntz, "
+                               + ", ".join(f"{k} string" for k in kinds) + ", label_gross_dpd45 int, expected_dpd45_date timestamp_ntz")
+    names = ("device", "bank", "phone", "address", "persistent")
+    ents = {r[0]: {(t, v) for t, v in zip(names, r[3:8]) if v} for r in rows}
+    want = {r[0]: len({s[1] for s in rows if s[8] and s[9] < r[2] and s[1] != r[1] and ents[s[0]] & ents[r[0]]}) for r in rows}
+    got = replay.leakfree_features(df, S.build_edges(df), degree_cap=None)
+    assert {r.advance_id: r.nb_d1 for r in got.collect()} == want

@@ -477,10 +477,10 @@ def d24(spark, sf):
         "advance_id", "bank_account_key", "users_on_bank_account_lifetime_asof", "heuristic_fraud_score")
 
 
-@query("d25_fan_out_screen", S.ctes(*S.BASE, ATTRIBUTES_SQL) + """
-SELECT phone_norm, count(DISTINCT user_id) AS n_users FROM attributes WHERE phone_norm IS NOT NULL
-GROUP BY 1 ORDER BY n_users DESC, phone_norm LIMIT 100""")
+@query("d25_fan_out_screen", S.ctes(*S.BASE, ATTRIBUTES_SQL, S.METADATA_SQL) + """,
+shared AS (SELECT user_id, 'email' AS kind, email_norm AS value FROM attributes UNION ALL SELECT user_id, 'phone', phone_norm FROM attributes
+           UNION ALL SELECT user_id, 'address', address_key FROM attributes UNION ALL SELECT user_id, 'device', device_id::VARCHAR FROM metadata),
+counted AS (SELECT kind, value, count(DISTINCT user_id) AS n_users FROM shared WHERE value IS NOT NULL GROUP BY 1, 2)
+SELECT kind, value, n_users FROM counted QUALIFY row_number() OVER (PARTITION BY kind ORDER BY n_users DESC, value) <= 100""")
 def d25(spark, sf):
-    attributes = P.identity_attributes(identities(spark, sf)).filter("phone_norm is not null")
-    return attributes.groupBy("phone_norm").agg(F.count_distinct("user_id").alias("n_users")).orderBy(
-        F.desc("n_users"), "phone_norm").limit(100)
+    return P.fan_out_screen(P.identity_attributes(identities(spark, sf)), S.metadata_rows(spark, sf))

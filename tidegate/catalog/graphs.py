@@ -169,6 +169,14 @@ def h11(spark, sf):
     return T.project_users(edges(spark, sf), degree_cap=CAP)
 
 
+_PROJ_ALL = _PROJ.replace("FROM capped", "FROM edges")
+
+
+@query("h11_user_projection_uncapped", COARSE + _PROJ_ALL + "SELECT * FROM proj")
+def h11_all(spark, sf):
+    return T.project_users(edges(spark, sf, "coarse"), degree_cap=None)
+
+
 _HUBS = """,
 stats AS (SELECT entity_type, entity_value, count(DISTINCT user_id) AS n_users, count(*) AS n_edges, date_diff('day', min(ts), max(ts)) AS span_days,
   round(count(DISTINCT user_id) / greatest(date_diff('day', min(ts), max(ts)), 1)::DOUBLE, 3) AS users_per_day FROM edges GROUP BY 1, 2)"""
@@ -214,6 +222,13 @@ def h16(spark, sf):
     return Q.multi_witness_pairs(edges(spark, sf, "coarse"), flags(spark, sf), "is_fraud", degree_cap=CAP)
 
 
+@query("h16_multi_witness_pairs_uncapped", COARSE + _PROJ_ALL + """
+SELECT * FROM proj WHERE n_types >= 2 AND user_a NOT IN (SELECT user_id FROM flags WHERE is_fraud = 1)
+AND user_b NOT IN (SELECT user_id FROM flags WHERE is_fraud = 1)""")
+def h16_all(spark, sf):
+    return Q.multi_witness_pairs(edges(spark, sf, "coarse"), flags(spark, sf), "is_fraud", degree_cap=None)
+
+
 @query("h17_fresh_rings", BASE + """,
 recent AS (SELECT * FROM edges WHERE ts >= (SELECT max(ts) FROM edges) - INTERVAL 200 DAY)""" + _comp_sql("recent") + """
 SELECT cc.*, (SELECT max(ts) FROM edges) - INTERVAL 200 DAY AS window_start, (SELECT max(ts) FROM edges) AS window_end FROM cc WHERE n_users >= 2""")

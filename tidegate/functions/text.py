@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DoubleType
 
 # Placeholder identities that must never link two users.
 EMAIL_PLACEHOLDERS = ("test@%", "noreply@%", "no-reply@%", "%@example.com", "%@test.com")
@@ -48,50 +45,41 @@ def node_key(normalised: Column) -> Column:
     return F.sha2(normalised, 256)
 
 
-def _jaro_winkler(a: str, b: str) -> float:
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    reach = max(len(a), len(b)) // 2 - 1
-    reach = max(reach, 0)
-    taken = [False] * len(b)
-    hits_a = []
-    for i, ch in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not taken[j] and b[j] == ch:
-                taken[j] = True
-                hits_a.append(ch)
-                break
-    m = len(hits_a)
-    if m == 0:
-        return 0.0
-    hits_b = [b[j] for j, used in enumerate(taken) if used]
-    half_swaps = sum(x != y for x, y in zip(hits_a, hits_b))
-    jaro = (m / len(a) + m / len(b) + (m - half_swaps // 2) / m) / 3
-    prefix = 0
-    for x, y in zip(a[:4], b[:4]):
-        if x != y:
-            break
-        prefix += 1
-    return jaro + prefix * 0.1 * (1 - jaro) if jaro > 0.7 else jaro
-
-
-@F.pandas_udf(DoubleType())
-def _similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-    # Names repeat heavily, so each distinct pair of a batch is scored once.
-    pairs = pd.DataFrame({"a": left, "b": right})
-    known: dict[tuple[str, str], float] = {}
-    out = np.full(len(pairs), np.nan)
-    for i, (a, b) in enumerate(zip(pairs["a"], pairs["b"])):
-        if a is None or b is None:
-            continue
-        if (a, b) not in known:
-            known[(a, b)] = 100.0 * _jaro_winkler(a, b)
-        out[i] = known[(a, b)]
-    return pd.Series(out).astype("Float64").where(~np.isnan(out), None)
+TAKEN = "\x00"  # stands for a letter that has been matched; names hold none
+
+
+def _common(a: Column, b: Column) -> Column:
+    """(a, b, rest, hits): a's letters found in b near their place, in order, and b with those letters taken."""
+    reach = F.greatest(F.floor(F.greatest(F.length(a), F.length(b)) / 2) - 1, F.lit(0)).cast("int")
+    state = lambda a, b, reach, rest, hits: F.struct(
+        a.alias("a"), b.alias("b"), reach.alias("reach"), rest.alias("rest"), hits.alias("hits"))
+
+    def step(s: Column, i: Column) -> Column:
+        first = F.greatest(i - s["reach"], F.lit(1))
+        letter = F.substring(s["a"], i, F.lit(1))
+        at = F.position(letter, F.substring(s["rest"], first, i + s["reach"] - first + 1))
+        return F.when(at == 0, s).otherwise(state(
+            s["a"], s["b"], s["reach"], F.overlay(s["rest"], F.lit(TAKEN), first + at - 1, F.lit(1)), F.concat(s["hits"], letter)))
+    return F.aggregate(F.sequence(F.lit(1), F.length(a)), state(a, b, reach, b, F.lit("")), step)
+
+
+def _jaro_winkler(s: Column) -> Column:
+    """The similarity, 0..1, from the letters that two names have in common."""
+    letter = lambda text, i: F.substring(text, i, F.lit(1))
+    m = F.length(s["hits"])
+    places = F.filter(F.sequence(F.lit(1), F.length(s["b"])), lambda j: letter(s["rest"], j) == TAKEN)
+    swapped = F.size(F.filter(F.arrays_zip(F.sequence(F.lit(1), m).alias("i"), places.alias("j")),
+                              lambda z: letter(s["hits"], z["i"]) != letter(s["b"], z["j"])))
+    jaro = (m / F.length(s["a"]) + m / F.length(s["b"]) + (m - F.floor(swapped / 2)) / m) / 3
+    same = [F.substring(s["a"], 1, k) == F.substring(s["b"], 1, k) for k in (1, 2, 3, 4)]
+    long_enough = [(F.length(s["a"]) >= k) & (F.length(s["b"]) >= k) for k in (1, 2, 3, 4)]
+    prefix = sum((F.when(x & y, 1).otherwise(0) for x, y in zip(same, long_enough)), F.lit(0))
+    return F.when(m == 0, 0.0).when(jaro > 0.7, jaro + prefix * 0.1 * (1 - jaro)).otherwise(jaro)
 
 
 def name_similarity(left: Column, right: Column) -> Column:
-    """Jaro-Winkler similarity of two names, 0..100, case and edge blanks ignored."""
-    return _similarity(F.upper(F.trim(left)), F.upper(F.trim(right)))
+    """Jaro-Winkler similarity of two names, 0..100, case and edge blanks ignored; no Python worker is involved."""
+    a, b = F.upper(F.trim(left)), F.upper(F.trim(right))
+    # The array binds what the formula reads many times to one value.
+    scored = F.element_at(F.transform(F.array(_common(a, b)), _jaro_winkler), 1)
+    return F.when(a == b, 100.0).when((a == "") | (b == ""), 0.0).when(a.isNotNull() & b.isNotNull(), 100.0 * scored)

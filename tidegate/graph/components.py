@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.graph.store import user_pairs
 from tidegate.session import cut_lineage, share
 
+REST = 200_000  # links (3 MB) that one task may finish
+
 
 def contract(links: DataFrame) -> DataFrame:
     """(vertex, component) of ``links(a, b)`` over long ids; component is the smallest reachable vertex.
@@ -14,30 +18,44 @@ def contract(links: DataFrame) -> DataFrame:
     Each round every vertex points at its smallest neighbour, pointers are halved
     twice, and the links are rewritten between the roots, so the graph shrinks by
     a constant factor at least; hubs only meet a minimum, which merges before the
-    shuffle. Rounds are checkpointed. Vertices without links are absent.
+    shuffle. A round checkpoints its links once; the pointers follow from them and
+    are composed at the end. At most ``REST`` links are finished as one group.
+    Vertices without links are absent.
     """
     edges = cut_lineage(links.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").filter("a < b").distinct())
-    names = None  # vertex -> its current root
-    while not edges.isEmpty():
+    rounds = []  # vertex -> its root among the vertices of the next round
+    while edges.limit(REST + 1).count() > REST:
         both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
         root = both.groupBy("a").agg(F.min("b").alias("low")).selectExpr("a AS v", "least(a, low) AS r")
         for _ in range(2):
             up = root.selectExpr("v AS r", "r AS top")
             root = root.join(up, "r").selectExpr("v", "top AS r")
-        root = cut_lineage(root)
+        rounds.append(root)
         low, high = root.selectExpr("v AS a", "r AS ra"), root.selectExpr("v AS b", "r AS rb")
         edges = cut_lineage(edges.join(low, "a").join(high, "b").selectExpr("least(ra, rb) AS a", "greatest(ra, rb) AS b")
                             .filter("a < b").distinct())
-        if names is None:
-            names = root
-        else:  # vertices met before move on to their root's root
-            names = cut_lineage(names.join(root.selectExpr("v AS r", "r AS top"), "r", "left")
-                                .selectExpr("v", "coalesce(top, r) AS r"))
-    if names is None:
-        return edges.selectExpr("a AS vertex", "b AS component")
+    names = cut_lineage(edges.groupBy(F.lit("all").alias("g")).applyInPandas(_finish, "v long, r long"))
+    for root in reversed(rounds):
+        names = root.join(names.selectExpr("v AS r", "r AS top"), "r", "left").selectExpr("v", "coalesce(top, r) AS r")
     return names.selectExpr("v AS vertex", "r AS component")
 
 
+def _finish(links: pd.DataFrame) -> pd.DataFrame:
+    """Components of a bounded graph: labels sink to their minimum along links and pointers."""
+    ids, ends = np.unique(links[["a", "b"]].to_numpy(), return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    low = np.arange(len(ids))
+    while True:
+        least = np.minimum(low[a], low[b])
+        lower = low.copy()
+        for end in (a, b, low[a], low[b]):
+            np.minimum.at(lower, end, least)
+        lower = lower[lower]
+        if (lower == low).all():
+            return pd.DataFrame({"v": ids, "r": ids[low]})
+        low = lower
+
+
 def label_components(links: DataFrame) -> DataFrame:
     """(vertex, comp) for every vertex of ``links(src, dst)``; comp is the smallest vertex name.
 

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import clock
 from tidegate.graph.components import label_components
-from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, ENTITY_COLUMNS, TS, view
+from tidegate.graph.store import DEFAULT_LAYERS, ENTITY_COLUMNS, TS, view
+from tidegate.operators.prefix import POS, Fold, fold_until
 from tidegate.session import cut_lineage
 
 # Rows (event x entity) a single task replays at once; larger units are halved.
@@ -56,14 +57,14 @@ def leakfree_features(
     edges: DataFrame,
     *,
     layers: Sequence[str] = DEFAULT_LAYERS,
-    degree_cap: int | None = 20,
+    degree_cap: int | None,
     seed_label: str = "label_gross_dpd45",
     seed_activation: str = "expected_dpd45_date",
     unit_rows: int = UNIT_ROWS,
 ) -> DataFrame:
     """Per advance: users and entity types of its component, other seeded users there and at distance one.
 
-    A null activation never seeds. Ties at one instant go by advance id.
+    A null activation never seeds. Ties at one instant go by advance id. No cap is needed; with one, hubs link nobody.
     """
     capped = view(edges, layers=layers, degree_cap=degree_cap)
     bit = "CASE entity_type " + " ".join(f"WHEN '{t}' THEN {1 << i}" for i, t in enumerate(ENTITY_COLUMNS)) + " END"
@@ -80,7 +81,7 @@ def leakfree_features(
         "o > first_o AS was_present", "coalesce(o > seed_o, false) AS was_seeded"))
     rows = marked.join(touched, "advance_id", "left").selectExpr(
         "'' AS unit", *[c for c in _COLUMNS if c != "unit"])
-    counted = _replay_units(_into_units(cut_lineage(rows)), unit_rows)
+    counted = _replay_units(cut_lineage(_into_units(cut_lineage(rows))), unit_rows)
     direct = _direct_seeds(marked, touched)
     reads = marked.filter("is_read").select("advance_id", "user_id", "ts", "was_present", "was_seeded")
     return reads.join(counted, "advance_id", "left").join(direct, "advance_id", "left").selectExpr(
@@ -90,22 +91,51 @@ def leakfree_features(
 
 
 def _direct_seeds(marked: DataFrame, touched: DataFrame) -> DataFrame:
-    """Other seeded users that share an entity directly; pairs per entity are bounded by the degree cap."""
-    seeds = marked.filter("NOT is_read").join(touched, "advance_id").groupBy("ent_v", "user_v").agg(
-        F.min("o").alias("seed_o")).withColumnRenamed("user_v", "seed_user")
-    reads = marked.filter("is_read").join(touched, "advance_id").select("advance_id", "o", "user_v", "ent_v")
-    met = reads.join(seeds, "ent_v").filter("seed_o < o AND seed_user <> user_v")
-    return met.groupBy("advance_id").agg(F.count_distinct("seed_user").alias("nb_d1"))
+    """Other seeded users that share an entity directly, without the pairs of an entity.
+
+    The users that touch one of an advance's few entities are counted by inclusion
+    and exclusion: for every set of its entities, those that touched all of the set
+    before the read, a running count. Of a set, only the seeded users of its rarest
+    entity are looked up in the others; a set is looked up once, however many
+    advances read it.
+    """
+    seeds = cut_lineage(marked.filter("NOT is_read").join(touched, "advance_id").groupBy("ent_v", "user_v").agg(F.min("o").alias("seed_o")))
+    reads = cut_lineage(marked.filter("is_read").join(touched.select("advance_id", "ent_v").distinct(), "advance_id")
+                        .join(seeds.select("ent_v").distinct(), "ent_v", "left_semi")  # others add nothing to any set
+                        .groupBy("advance_id", "o", "user_v").agg(F.sort_array(F.collect_set("ent_v")).alias("ents")))
+    masks = F.expr("sequence(1, shiftleft(1, size(ents)) - 1)")
+    chosen = F.expr("filter(ents, (e, i) -> (shiftright(mask, i) & 1) = 1)")
+    asked = cut_lineage(reads.select("advance_id", "o", "ents", F.explode(masks).alias("mask")).select("advance_id", "o", chosen.alias("ents"))
+                        .withColumn("grp", F.md5(F.array_join("ents", "\n"))))
+    groups = asked.filter("size(ents) > 1").select("grp", "ents").distinct()
+    sizes = seeds.groupBy("ent_v").agg(F.count("*").alias("n"))
+    rarest = groups.select("grp", "ents", F.explode("ents").alias("ent_v")).join(sizes, "ent_v") \
+        .groupBy("grp").agg(F.min(F.struct("n", "ent_v")).alias("rare"), F.first("ents").alias("ents"))
+    others = rarest.select("grp", "ents", F.col("rare.ent_v").alias("ent_v")).join(seeds, "ent_v") \
+        .select("grp", "user_v", "seed_o", F.size("ents").alias("k"), F.explode(F.array_except("ents", F.array("ent_v"))).alias("ent_v"))
+    both = others.join(seeds.withColumnRenamed("seed_o", "other_o"), ["ent_v", "user_v"]).groupBy("grp", "user_v").agg(
+        F.count("*").alias("met"), F.max("k").alias("k"), F.max(F.greatest("seed_o", "other_o")).alias("seed_o")).filter("met = k - 1")
+    changes = seeds.select(F.md5("ent_v").alias("grp"), F.col("seed_o").alias(POS), F.lit(1).cast("bigint").alias("seeded")).unionByName(
+        both.select("grp", F.col("seed_o").alias(POS), F.lit(1).cast("bigint").alias("seeded")))
+    counts = fold_until(changes, asked.select("grp", F.col("o").alias(POS)), ["grp"], [Fold("seeded")], bucket=f"shiftright({POS}, 20)")
+    total = asked.join(counts.withColumnRenamed(POS, "o"), ["grp", "o"]).groupBy("advance_id").agg(
+        F.sum(F.when(F.size("ents") % 2 == 1, F.col("seeded")).otherwise(-F.col("seeded"))).alias("users"))
+    itself = reads.select("advance_id", "o", "user_v", F.explode("ents").alias("ent_v")).join(seeds, ["ent_v", "user_v"]) \
+        .filter("seed_o < o").select("advance_id").distinct().withColumn("own", F.lit(1))
+    return total.join(itself, "advance_id", "left").selectExpr("advance_id", "users - coalesce(own, 0) AS nb_d1")
+
+
+def _links(rows: DataFrame) -> DataFrame:
+    return rows.filter("adds AND ent_v IS NOT NULL AND ent_v <> user_v").selectExpr(
+        "concat(unit, '|', user_v) AS src", "concat(unit, '|', ent_v) AS dst")
 
 
-def _into_units(rows: DataFrame) -> DataFrame:
+def _into_units(rows: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Split each unit into the components its own edges form."""
-    links = rows.filter("adds AND ent_v IS NOT NULL AND ent_v <> user_v").selectExpr(
-        "concat(unit, '|', user_v) AS src", "concat(unit, '|', ent_v) AS dst")
-    labels = label_components(links)
+    labels = label_components(_links(rows)) if labels is None else labels
     named = rows.withColumn("vertex", F.expr("concat(unit, '|', user_v)")).join(labels, "vertex", "left")
     # md5 keeps unit names short however often a unit is split.
-    return cut_lineage(named.selectExpr("md5(coalesce(comp, vertex)) AS unit", *[c for c in _COLUMNS if c != "unit"]))
+    return named.selectExpr("md5(coalesce(comp, vertex)) AS unit", *[c for c in _COLUMNS if c != "unit"])
 
 
 def _replay_units(rows: DataFrame, unit_rows: int) -> DataFrame:
@@ -133,9 +163,7 @@ def _replay_units(rows: DataFrame, unit_rows: int) -> DataFrame:
 def _halve(rows: DataFrame) -> DataFrame:
     rows = cut_lineage(rows)
     early = rows.filter("o <= cut")
-    links = early.filter("adds AND ent_v IS NOT NULL AND ent_v <> user_v").selectExpr(
-        "concat(unit, '|', user_v) AS src", "concat(unit, '|', ent_v) AS dst")
-    labels = cut_lineage(label_components(links))
+    labels = cut_lineage(label_components(_links(early)))  # they name the units of the earlier half as well
     # unit is 32 hex characters and '|', the vertex name follows.
     rep = labels.selectExpr("vertex", "substring(comp, 34) AS rep")
 
@@ -155,10 +183,9 @@ def _halve(rows: DataFrame) -> DataFrame:
     start = base.join(live, ["unit", "user_v"], "left_semi").selectExpr(
         "unit", f"CAST({_BASE} AS BIGINT) AS o", "false AS is_read", "CAST(NULL AS STRING) AS advance_id", "user_v",
         "CAST(NULL AS STRING) AS ent_v", "bit", "true AS adds", "du", "ds")
-    halves = early.selectExpr("concat('e', unit) AS unit", *_COLUMNS[1:]).unionByName(
-        late.selectExpr("concat('l', unit) AS unit", *_COLUMNS[1:])).unionByName(
-        start.selectExpr("concat('l', unit) AS unit", *_COLUMNS[1:]))
-    return _into_units(cut_lineage(halves))
+    later = cut_lineage(late.selectExpr(*_COLUMNS).unionByName(start.selectExpr(*_COLUMNS)))
+    return cut_lineage(_into_units(early.selectExpr(*_COLUMNS), labels).withColumn("unit", F.concat(F.lit("e"), F.substring("unit", 2, 31)))
+                       .unionByName(_into_units(later).withColumn("unit", F.concat(F.lit("l"), F.substring("unit", 2, 31)))))
 
 
 def _replay_pack(rows: pd.DataFrame) -> pd.DataFrame:

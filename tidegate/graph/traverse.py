@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, ENTITY_COLUMNS, TS, check_layers, user_pairs, view
 from tidegate.session import cut_lineage
 
+BLOCK_USERS = 1000  # users of an entity that meet under one key
+
 
 def reach(edges: DataFrame, seeds: DataFrame, max_hops: int) -> DataFrame:
     """Users within ``max_hops`` user-hops of the seeds: (user_id, hops, nearest).
@@ -56,17 +58,25 @@ def ring(edges: DataFrame, user_id: str, hops: int = 2) -> DataFrame:
 
 
 def project_users(edges: DataFrame, *, degree_cap: int | None, layers: Sequence[str] = DEFAULT_LAYERS,
-                  as_of: str | None = None) -> DataFrame:
+                  as_of: str | None = None, block_users: int = BLOCK_USERS) -> DataFrame:
     """User pairs sharing entities: how many, and of how many types (user_a < user_b).
 
-    The cap bounds the pairs an entity emits (190 at 20); lifting it
-    makes the result itself quadratic in the largest entity.
+    Without a cap the result holds every pair of a hub. The users of an entity
+    above ``block_users`` are dealt to blocks, and every two blocks meet under a
+    key of their own, so a key never emits more than ``block_users`` squared pairs
+    (about: blocks are dealt by hash) however large its entity is.
     """
     pairs = view(edges, layers=layers, degree_cap=degree_cap, as_of=as_of).select("user_id", *ENTITY).distinct()
-    left = pairs.withColumnRenamed("user_id", "user_a")
-    right = pairs.withColumnRenamed("user_id", "user_b")
-    shared = left.join(right, list(ENTITY)).filter("user_a < user_b")
-    per_type = shared.groupBy("user_a", "user_b", "entity_type").agg(F.count("*").alias("n"))
+    hubs = pairs.groupBy(*ENTITY).agg(F.count("*").alias("n")).filter(F.col("n") > block_users) \
+        .select(*ENTITY, F.ceil(F.col("n") / block_users).cast("int").alias("blocks"))
+    dealt = pairs.join(hubs, list(ENTITY), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
+        .withColumn("own", F.pmod(F.xxhash64("user_id"), F.col("blocks")).cast("int"))
+    # The left user's block is the first of the key, the right user's the second; a user stands once per other block.
+    first = dealt.select(*ENTITY, F.col("user_id").alias("u"), F.col("own").alias("i"),
+                         F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
+    second = dealt.select(*ENTITY, F.col("user_id").alias("v"), F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
+    met = first.join(second, [*ENTITY, "i", "j"]).filter("u <> v AND (i < j OR u < v)")
+    per_type = met.groupBy(F.least("u", "v").alias("user_a"), F.greatest("u", "v").alias("user_b"), "entity_type").agg(F.count("*").alias("n"))
     return per_type.groupBy("user_a", "user_b").agg(F.sum("n").alias("n_shared"), F.count("*").alias("n_types"))
 
 

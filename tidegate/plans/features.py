@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidegate.functions import clock, risk, text
 from tidegate.operators import bands
@@ -99,6 +99,24 @@ def shared_attributes(anchors: DataFrame, attributes: DataFrame) -> DataFrame:
         for k in kinds for b in SHORT])
 
 
+def fan_out_screen(attributes: DataFrame, metadata: DataFrame, top_n: int = 100) -> DataFrame:
+    """Per kind (email, phone, address, device) the ``top_n`` values that most users share: (kind, value, n_users).
+
+    All kinds are one tall table: users are counted once per value, and each
+    part of a kind ranks its own values before the few that remain meet.
+    """
+    cells = "stack(3, 'email', email_norm, 'phone', phone_norm, 'address', address_key) AS (kind, value)"
+    tall = attributes.selectExpr("user_id", cells).unionByName(
+        metadata.selectExpr("user_id", "'device' AS kind", "CAST(device_id AS STRING) AS value"))
+    # Distinct pairs first: a value that a third of all rows hold merges before its users meet.
+    users = tall.filter("value IS NOT NULL AND user_id IS NOT NULL").distinct().groupBy("kind", "value").agg(F.count("*").alias("n_users"))
+    order = (F.desc("n_users"), F.asc("value"))
+    dealt = users.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(64)))
+    for keys in (["kind", "part"], ["kind"]):
+        dealt = dealt.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("place") <= top_n)
+    return dealt.select("kind", "value", "n_users")
+
+
 @dataclass(frozen=True)
 class Inputs:
     """Source tables of the feature job.
