@@ -197,5 +197,6 @@ def test_direct_seeds_of_advances_with_many_entities(spark):
     names = ("device", "bank", "phone", "address", "persistent")
     ents = {r[0]: {(t, v) for t, v in zip(names, r[3:8]) if v} for r in rows}
     want = {r[0]: len({s[1] for s in rows if s[8] and s[9] < r[2] and s[1] != r[1] and ents[s[0]] & ents[r[0]]}) for r in rows}
-    got = replay.leakfree_features(df, S.build_edges(df), degree_cap=None)
-    assert {r.advance_id: r.nb_d1 for r in got.collect()} == want
+    for hub_seeds in (0, 8, 100):
+        got = replay.leakfree_features(df, S.build_edges(df), degree_cap=None, hub_seeds=hub_seeds)
+        assert {r.advance_id: r.nb_d1 for r in got.collect()} == want

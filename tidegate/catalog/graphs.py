@@ -133,7 +133,7 @@ walk(u, c) AS (SELECT DISTINCT 'user:' || user_id::VARCHAR AS u, 'user:' || user
 root AS (SELECT u, min(c) AS r FROM walk GROUP BY 1),
 member AS (SELECT u AS v, 'user' AS kind, r FROM root UNION ALL SELECT DISTINCT e, entity_type, r FROM pairs JOIN root USING (u)),
 named AS (SELECT r, min(v) AS comp_id FROM member GROUP BY 1),
-comp AS (SELECT v, kind, comp_id FROM member JOIN named USING (r)),
+comp AS MATERIALIZED (SELECT v, kind, comp_id FROM member JOIN named USING (r)),
 fl AS (SELECT 'user:' || user_id::VARCHAR AS v, is_fraud, scenario_any::INT AS scen FROM flags),
 cc AS (SELECT comp_id, count(*) FILTER (WHERE kind = 'user') AS n_users, count(*) FILTER (WHERE kind <> 'user') AS n_entities,
   coalesce(string_agg(DISTINCT kind, ',' ORDER BY kind) FILTER (WHERE kind <> 'user'), '') AS entity_types,
@@ -236,7 +236,35 @@ def h17(spark, sf):
     return Q.fresh_rings(edges(spark, sf), users(spark, sf), flags(spark, sf), days=200)
 
 
-@query("h18_leakfree_replay")
+# Each advance walks over the users that were linked before its own place in the order of events.
+_REPLAY = """,
+per AS (SELECT advance_id::VARCHAR AS advance_id, min(user_id)::VARCHAR AS user_id, min(feature_as_of_ts) AS ts, max(label_gross_dpd45) AS seed,
+  min(CASE WHEN advance_id % 5 = 0 THEN feature_as_of_ts + INTERVAL 10 DAY END) AS seed_ts FROM adv GROUP BY 1),
+ev AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY m, kind, advance_id) AS o FROM (
+  SELECT advance_id, user_id, ts, ts AS m, 0 AS kind FROM per UNION ALL
+  SELECT advance_id, user_id, ts, seed_ts, 1 FROM per WHERE seed = 1 AND seed_ts IS NOT NULL)),
+firsts AS (SELECT user_id, min(o) AS first_o, min(o) FILTER (WHERE kind = 1) AS seed_o FROM ev GROUP BY 1),
+touched AS (SELECT DISTINCT advance_id::VARCHAR AS advance_id, entity_type, entity_type || ':' || entity_value AS e FROM capped),
+link AS MATERIALIZED (SELECT ev.user_id AS u, e, entity_type, min(o) AS add_o FROM ev JOIN firsts USING (user_id) JOIN touched USING (advance_id)
+  WHERE kind = 0 OR o = first_o GROUP BY 1, 2, 3),
+rd AS MATERIALIZED (SELECT advance_id, user_id, ts, o FROM ev WHERE kind = 0),
+walk(a, o, u) AS (
+  SELECT * FROM (SELECT advance_id, o, user_id FROM rd
+    UNION SELECT rd.advance_id, rd.o, link.u FROM rd JOIN touched USING (advance_id) JOIN link USING (e) WHERE add_o < rd.o)
+  UNION SELECT w.a, w.o, y.u FROM walk w JOIN link x ON x.u = w.u AND x.add_o < w.o JOIN link y ON y.e = x.e AND y.add_o < w.o),
+met AS (SELECT w.a, count(*) FILTER (WHERE first_o < w.o OR w.u = rd.user_id) AS comp_users,
+    count(*) FILTER (WHERE seed_o < w.o AND w.u <> rd.user_id) AS nb_comp
+  FROM walk w JOIN rd ON rd.advance_id = w.a LEFT JOIN firsts f ON f.user_id = w.u GROUP BY 1),
+kinds AS (SELECT a, count(DISTINCT entity_type) AS comp_types FROM (
+  SELECT w.a, entity_type FROM walk w JOIN link ON link.u = w.u AND add_o < w.o UNION ALL SELECT advance_id, entity_type FROM touched) GROUP BY 1),
+sown AS (SELECT e, ev.user_id AS u, min(o) AS o FROM ev JOIN touched USING (advance_id) WHERE kind = 1 GROUP BY 1, 2),
+near AS (SELECT rd.advance_id AS a, count(DISTINCT sown.u) AS nb_d1 FROM rd JOIN touched USING (advance_id) JOIN sown ON sown.e = touched.e
+  WHERE sown.o < rd.o AND sown.u <> rd.user_id GROUP BY 1)
+SELECT rd.advance_id, rd.user_id, rd.ts, comp_users, coalesce(comp_types, 0)::INTEGER AS comp_types, nb_comp, coalesce(nb_d1, 0) AS nb_d1
+FROM rd JOIN met ON met.a = rd.advance_id LEFT JOIN kinds ON kinds.a = rd.advance_id LEFT JOIN near ON near.a = rd.advance_id"""
+
+
+@query("h18_leakfree_replay", BASE + _REPLAY)
 def h18(spark, sf):
     return replay.leakfree_features(advances(spark, sf), edges(spark, sf), degree_cap=CAP)
 

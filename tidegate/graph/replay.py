@@ -28,11 +28,12 @@ from tidegate.functions import clock
 from tidegate.graph.components import label_components
 from tidegate.graph.store import DEFAULT_LAYERS, ENTITY_COLUMNS, TS, view
 from tidegate.operators.prefix import POS, Fold, fold_until
-from tidegate.session import cut_lineage
+from tidegate.session import cut_lineage, stored
 
 # Rows (event x entity) a single task replays at once; larger units are halved.
 UNIT_ROWS = 500_000
 PACK_ROWS = 50_000
+HUB_SEEDS = 100  # seeded users of an entity up to which a read meets each of them
 _BASE = -1  # position of rows that carry the state a unit starts from
 _COLUMNS = ("unit", "o", "is_read", "advance_id", "user_v", "ent_v", "bit", "adds", "du", "ds")
 _RESULT = "advance_id string, comp_users long, comp_types int, nb_comp long"
@@ -61,6 +62,7 @@ def leakfree_features(
     seed_label: str = "label_gross_dpd45",
     seed_activation: str = "expected_dpd45_date",
     unit_rows: int = UNIT_ROWS,
+    hub_seeds: int = HUB_SEEDS,
 ) -> DataFrame:
     """Per advance: users and entity types of its component, other seeded users there and at distance one.
 
@@ -82,7 +84,7 @@ def leakfree_features(
     rows = marked.join(touched, "advance_id", "left").selectExpr(
         "'' AS unit", *[c for c in _COLUMNS if c != "unit"])
     counted = _replay_units(cut_lineage(_into_units(cut_lineage(rows))), unit_rows)
-    direct = _direct_seeds(marked, touched)
+    direct = _direct_seeds(marked, touched, hub_seeds)
     reads = marked.filter("is_read").select("advance_id", "user_id", "ts", "was_present", "was_seeded")
     return reads.join(counted, "advance_id", "left").join(direct, "advance_id", "left").selectExpr(
         "advance_id", "user_id", "ts",
@@ -90,39 +92,55 @@ def leakfree_features(
         "nb_comp - IF(was_seeded, 1L, 0L) AS nb_comp", "coalesce(nb_d1, 0L) AS nb_d1")
 
 
-def _direct_seeds(marked: DataFrame, touched: DataFrame) -> DataFrame:
-    """Other seeded users that share an entity directly, without the pairs of an entity.
+def _direct_seeds(marked: DataFrame, touched: DataFrame, hub_seeds: int) -> DataFrame:
+    """Other seeded users that share an entity directly.
 
-    The users that touch one of an advance's few entities are counted by inclusion
-    and exclusion: for every set of its entities, those that touched all of the set
-    before the read, a running count. Of a set, only the seeded users of its rarest
-    entity are looked up in the others; a set is looked up once, however many
-    advances read it.
+    An entity of at most ``hub_seeds`` seeded users is met user by user, so a read
+    makes a bounded number of pairs. Larger ones, the hubs, are only counted; see
+    ``_hub_seeds``. A user met both ways counts with the hubs.
     """
     seeds = cut_lineage(marked.filter("NOT is_read").join(touched, "advance_id").groupBy("ent_v", "user_v").agg(F.min("o").alias("seed_o")))
-    reads = cut_lineage(marked.filter("is_read").join(touched.select("advance_id", "ent_v").distinct(), "advance_id")
-                        .join(seeds.select("ent_v").distinct(), "ent_v", "left_semi")  # others add nothing to any set
-                        .groupBy("advance_id", "o", "user_v").agg(F.sort_array(F.collect_set("ent_v")).alias("ents")))
-    masks = F.expr("sequence(1, shiftleft(1, size(ents)) - 1)")
+    reads = marked.filter("is_read").join(touched.select("advance_id", "ent_v").distinct(), "advance_id").select("advance_id", "o", "user_v", "ent_v")
+    hubs = cut_lineage(seeds.groupBy("ent_v").agg(F.count("*").alias("n")).filter(F.col("n") > hub_seeds))
+    met = reads.join(seeds.join(hubs, "ent_v", "left_anti").withColumnRenamed("user_v", "seed_user"), "ent_v").filter(
+        "seed_o < o AND seed_user <> user_v").select("advance_id", "o", "seed_user").distinct()
+    if hubs.isEmpty():
+        return met.groupBy("advance_id").agg(F.count("*").alias("nb_d1"))
+    at_hubs = cut_lineage(reads.join(hubs.select("ent_v"), "ent_v", "left_semi"))
+    hub_users = seeds.join(hubs.select("ent_v"), "ent_v", "left_semi").withColumnRenamed("user_v", "seed_user")
+    twice = met.join(at_hubs.select("advance_id", "ent_v"), "advance_id").join(hub_users, ["ent_v", "seed_user"]).filter("seed_o < o") \
+        .select("advance_id", "seed_user").distinct()
+    few = met.join(twice, ["advance_id", "seed_user"], "left_anti").groupBy("advance_id").agg(F.count("*").alias("few"))
+    return few.join(_hub_seeds(at_hubs, hub_users, hubs), "advance_id", "full").selectExpr(
+        "advance_id", "coalesce(few, 0L) + coalesce(users, 0L) AS nb_d1")
+
+
+def _hub_seeds(reads: DataFrame, seeds: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(advance_id, users): other seeded users of the read hubs, without their pairs.
+
+    Users are counted by inclusion and exclusion over the few hubs of an advance:
+    for every set of them, a running count of the users that touched all of the
+    set. Of a set, only the users of its smallest hub are looked up in the others;
+    a set is looked up once, however many advances read it.
+    """
+    whole = reads.groupBy("advance_id", "o").agg(F.sort_array(F.collect_set("ent_v")).alias("ents"))
     chosen = F.expr("filter(ents, (e, i) -> (shiftright(mask, i) & 1) = 1)")
-    asked = cut_lineage(reads.select("advance_id", "o", "ents", F.explode(masks).alias("mask")).select("advance_id", "o", chosen.alias("ents"))
-                        .withColumn("grp", F.md5(F.array_join("ents", "\n"))))
-    groups = asked.filter("size(ents) > 1").select("grp", "ents").distinct()
-    sizes = seeds.groupBy("ent_v").agg(F.count("*").alias("n"))
-    rarest = groups.select("grp", "ents", F.explode("ents").alias("ent_v")).join(sizes, "ent_v") \
-        .groupBy("grp").agg(F.min(F.struct("n", "ent_v")).alias("rare"), F.first("ents").alias("ents"))
+    asked = cut_lineage(whole.withColumn("mask", F.explode(F.expr("sequence(1, shiftleft(1, size(ents)) - 1)")))
+                        .select("advance_id", "o", chosen.alias("ents")).withColumn("grp", F.md5(F.array_join("ents", "\n"))))
+    rarest = asked.filter("size(ents) > 1").select("grp", "ents").distinct().select("grp", "ents", F.explode("ents").alias("ent_v")) \
+        .join(sizes, "ent_v").groupBy("grp").agg(F.min(F.struct("n", "ent_v")).alias("rare"), F.first("ents").alias("ents"))
     others = rarest.select("grp", "ents", F.col("rare.ent_v").alias("ent_v")).join(seeds, "ent_v") \
-        .select("grp", "user_v", "seed_o", F.size("ents").alias("k"), F.explode(F.array_except("ents", F.array("ent_v"))).alias("ent_v"))
-    both = others.join(seeds.withColumnRenamed("seed_o", "other_o"), ["ent_v", "user_v"]).groupBy("grp", "user_v").agg(
+        .select("grp", "seed_user", "seed_o", F.size("ents").alias("k"), F.explode(F.array_except("ents", F.array("ent_v"))).alias("ent_v"))
+    both = others.join(seeds.withColumnRenamed("seed_o", "other_o"), ["ent_v", "seed_user"]).groupBy("grp", "seed_user").agg(
         F.count("*").alias("met"), F.max("k").alias("k"), F.max(F.greatest("seed_o", "other_o")).alias("seed_o")).filter("met = k - 1")
     changes = seeds.select(F.md5("ent_v").alias("grp"), F.col("seed_o").alias(POS), F.lit(1).cast("bigint").alias("seeded")).unionByName(
         both.select("grp", F.col("seed_o").alias(POS), F.lit(1).cast("bigint").alias("seeded")))
     counts = fold_until(changes, asked.select("grp", F.col("o").alias(POS)), ["grp"], [Fold("seeded")], bucket=f"shiftright({POS}, 20)")
     total = asked.join(counts.withColumnRenamed(POS, "o"), ["grp", "o"]).groupBy("advance_id").agg(
         F.sum(F.when(F.size("ents") % 2 == 1, F.col("seeded")).otherwise(-F.col("seeded"))).alias("users"))
-    itself = reads.select("advance_id", "o", "user_v", F.explode("ents").alias("ent_v")).join(seeds, ["ent_v", "user_v"]) \
+    itself = reads.join(seeds.withColumnRenamed("seed_user", "user_v"), ["ent_v", "user_v"]) \
         .filter("seed_o < o").select("advance_id").distinct().withColumn("own", F.lit(1))
-    return total.join(itself, "advance_id", "left").selectExpr("advance_id", "users - coalesce(own, 0) AS nb_d1")
+    return total.join(itself, "advance_id", "left").selectExpr("advance_id", "users - coalesce(own, 0) AS users")
 
 
 def _links(rows: DataFrame) -> DataFrame:
@@ -161,7 +179,7 @@ def _replay_units(rows: DataFrame, unit_rows: int) -> DataFrame:
 
 
 def _halve(rows: DataFrame) -> DataFrame:
-    rows = cut_lineage(rows)
+    rows = stored(rows, "replay")
     early = rows.filter("o <= cut")
     labels = cut_lineage(label_components(_links(early)))  # they name the units of the earlier half as well
     # unit is 32 hex characters and '|', the vertex name follows.
@@ -183,9 +201,9 @@ def _halve(rows: DataFrame) -> DataFrame:
     start = base.join(live, ["unit", "user_v"], "left_semi").selectExpr(
         "unit", f"CAST({_BASE} AS BIGINT) AS o", "false AS is_read", "CAST(NULL AS STRING) AS advance_id", "user_v",
         "CAST(NULL AS STRING) AS ent_v", "bit", "true AS adds", "du", "ds")
-    later = cut_lineage(late.selectExpr(*_COLUMNS).unionByName(start.selectExpr(*_COLUMNS)))
-    return cut_lineage(_into_units(early.selectExpr(*_COLUMNS), labels).withColumn("unit", F.concat(F.lit("e"), F.substring("unit", 2, 31)))
-                       .unionByName(_into_units(later).withColumn("unit", F.concat(F.lit("l"), F.substring("unit", 2, 31)))))
+    later = stored(late.selectExpr(*_COLUMNS).unionByName(start.selectExpr(*_COLUMNS)), "replay")
+    return stored(_into_units(early.selectExpr(*_COLUMNS), labels).withColumn("unit", F.concat(F.lit("e"), F.substring("unit", 2, 31)))
+                       .unionByName(_into_units(later).withColumn("unit", F.concat(F.lit("l"), F.substring("unit", 2, 31)))), "replay")
 
 
 def _replay_pack(rows: pd.DataFrame) -> pd.DataFrame:

@@ -65,3 +65,14 @@ def share(df: DataFrame) -> DataFrame:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder on the storage all executors share."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the shared folder: unlike a checkpoint it carries no constraints into later plans.
+
+    For loops whose rounds derive each column from the round before, where the
+    constraints the optimiser infers would grow with every round.
+    """
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
