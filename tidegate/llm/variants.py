@@ -24,7 +24,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.llm.common import settle
 from tidegate.session import cut_lineage
 
 # The letters, the rule that drops a letter from some occurrences, and the bounds of a word.
@@ -97,10 +96,10 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def group_variants(docs: DataFrame) -> DataFrame:
     """Per word: word, form, root, n, n_near, form_n."""
-    counted = settle(words(docs.select("doc_id", "text")))
+    counted = cut_lineage(words(docs.select("doc_id", "text")))
     best = (near(counted).join(counted, "word", "right")
             .withColumn("form", F.when(F.col("best.n") >= FORM_FACTOR * F.col("n"), F.col("best"))))
-    held = settle(best.select("word", F.col("form.word").alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
+    held = cut_lineage(best.select("word", F.col("form.word").alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
                               F.col("form.n").alias("form_n")))
     return (held.join(roots(held.filter("form IS NOT NULL")), "word", "left")
             .select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"))
