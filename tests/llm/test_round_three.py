@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat, phrases, variants
+from tidegate.llm import bpe, brown, chat, minhash, mixing, phrases, pii, variants
 from tidegate.llm.quotient import QuotientFilter
 
 WORDS = ["colour", "color", "colours", "colouur", "collour", "harbour", "harbor", "harbours", "élevée", "élevés", "élever", "naïveté"]
@@ -174,3 +174,45 @@ def test_collocations_over_small_buffers(docs, monkeypatch):
 def test_collocations_of_nothing(docs):
     assert phrases.collocations(docs.filter("false")).count() == 0
     assert phrases.collocations(docs.withColumn("text", F.lit(None).cast("string"))).count() == 0
+
+
+def test_keep_one_judges_texts_of_one_id_apart(spark):
+    rng = np.random.default_rng(8)
+    a, b = (" ".join(rng.choice([f"{c}{i}" for i in range(200)], 80)) for c in "ab")
+    rows = [(1, a, {"k": 1}, 0), (1, b, {"k": 2}, 1), (3, b, {"k": 3}, 2), (3, b, {"k": 3}, 3), (None, b, None, 4), (7, None, None, 5), (7, None, None, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra map<string, int>, __row int")
+    assert sorted(r["__row"] for r in minhash.keep_one(docs).collect()) == [0, 1, 4, 5, 6]
+
+
+def test_redact_beside_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.example now", "s", 1, 2), (1, "none", "t", 3, 4)],
+                                 "doc_id long, text string, spans string, __row int, base int")
+    assert sorted(map(tuple, pii.redact(docs).collect())) == [(1, "mail [EMAIL] now", "s", 1, 2), (1, "none", "t", 3, 4)]
+
+
+def test_repeat_keeps_rows_that_differ_elsewhere(spark):
+    rows = [(i % 4, "one two three", "s", {"k": i}, i) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string, int>, __copies int")
+    got = mixing.repeat(docs).collect()
+    assert {r["__copies"] for r in got} == set(range(12)) and len(got) == 12
+
+
+def test_cache_keeps_frequent_pieces(monkeypatch):
+    monkeypatch.setattr(bpe, "HELD", 10)
+    cache = bpe.Cache()
+    for turn in range(20):
+        held, fresh = cache.known({"often", *(f"p{turn}_{i}" for i in range(6))})
+        assert ("often" in fresh) == (turn == 0)
+        held.update({x: (b"", b"") for x in fresh})
+        assert len(cache.young) + len(cache.old) <= 40
+
+
+def test_class_matrix_counts_neighbours(spark):
+    rows = [(i, [(i + 1) % 6, i], [2.0, 1.0]) for i in range(6)] + [(6, None, None)]
+    frame = spark.createDataFrame(rows, "item int, rj array<int>, rn array<double>").repartition(5)
+    classes = np.array([0, 0, 1, 1, 2, 2, 63])
+    want = np.zeros((brown.CLASSES, brown.CLASSES))
+    for i, js, ns in rows[:6]:
+        for j, n in zip(js, ns):
+            want[classes[i], classes[j]] += n
+    assert (brown._matrix(frame, classes) == want).all()

@@ -15,8 +15,10 @@ vocabulary allows this are marked ``lone`` and contract leftmost only. These
 queries stop after ``STEPS`` steps and resume from the last state, so that the
 recursion's rows stay bounded.
 
-Memory. Pieces are held in a cache of at most ``HELD`` entries per worker, refilled
-when full; texts pass one slice at a time.
+Memory. A worker caches pieces in two generations of ``HELD`` entries or so: when the
+young one is full it becomes the old one, and pieces met again move to the new young
+one, so that frequent pieces stay. Pieces of more than ``SHORT`` bytes are cached for
+their slice only. Texts pass one slice of ``SLICE`` bytes at a time.
 
 Defined cases. A null text is an empty one: no tokens. Text that looks like a
 special token is ordinary text. Ids outside the vocabulary fail in ``decode``.
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm.common import text_slices
 
-SHORT, STEPS, HELD, BATCH = 48, 24, 600_000, 40_000
+SHORT, STEPS, HELD, BATCH, SLICE = 48, 24, 150_000, 20_000, 2 << 20
 # Fixed value: Unicode white space, which the pattern's \s stands for.
 _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -115,7 +117,7 @@ class Codec:
             if len(token) == 1:
                 self.bytes[token[0]] = r
         self.ranks = ranks
-        con = self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        con = self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
         con.register("pairs", pa.table({"a": pa.array(left, pa.int32()), "b": pa.array(right, pa.int32()), "r": pa.array(rank, pa.int32()),
                                         "lone": pa.array([r in lone for r in rank])}))
         con.register("words", pa.table({"t": pa.array(list(ranks.values()), pa.int32()), "body": pa.array([b.hex() for b in ranks])}))
@@ -165,18 +167,44 @@ class Codec:
         return {w: bytes.fromhex(b) for w, b in zip(got["w"].to_pylist(), got["body"].to_pylist())}
 
 
-_OPEN: dict[int, tuple[Codec, dict, dict]] = {}  # codecs and caches of this worker, by vocabulary
+class Cache:
+    """Pieces with their ids and decoded bytes, in two generations."""
 
+    def __init__(self):
+        self.young: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
 
-def _codec(ranks: dict[bytes, int]) -> tuple[Codec, dict, dict]:
+    def known(self, pieces: set[str]) -> tuple[dict, list[str]]:
+        """The cache to read ``pieces`` from, and those it still lacks."""
+        if len(self.young) > HELD:
+            self.old, self.young = self.young, {}
+        young, old, fresh = self.young, self.old, []
+        for x in pieces:
+            if x not in young:
+                if x in old:
+                    young[x] = old[x]
+                else:
+                    fresh.append(x)
+        return young, fresh
+
+    def forget(self, pieces: list[str]) -> None:
+        for x in pieces:
+            if len(x) > SHORT:
+                self.young.pop(x, None)
+
+
+_OPEN: dict[int, tuple[Codec, Cache]] = {}  # codecs and caches of this worker, by vocabulary
+
+
+def _codec(ranks: dict[bytes, int]) -> tuple[Codec, Cache]:
     name = hash(tuple(sorted(ranks.items())))
     if name not in _OPEN:
-        _OPEN[name] = (Codec(ranks), {}, {})
+        _OPEN[name] = (Codec(ranks), Cache())
     return _OPEN[name]
 
 
-def _learn(codec: Codec, fresh: list[str], ids: dict, decoded: dict) -> None:
-    """Encode and decode pieces and put them into the caches."""
+def _learn(codec: Codec, fresh: list[str], held: dict) -> None:
+    """Encode and decode pieces and put them into the cache."""
     for start in range(0, len(fresh), BATCH):
         part = fresh[start:start + BATCH]
         table = codec.encode([x.encode() for x in part])
@@ -184,8 +212,7 @@ def _learn(codec: Codec, fresh: list[str], ids: dict, decoded: dict) -> None:
         edges = np.searchsorted(w, np.arange(len(part) + 1)) * 4
         bodies = codec.decode(table)
         for i, x in enumerate(part):
-            ids[x] = packed[edges[i]:edges[i + 1]]
-            decoded[x] = bodies[i]
+            held[x] = (packed[edges[i]:edges[i + 1]], bodies[i])
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -195,17 +222,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, keys: tupl
     shared = spark.sparkContext.broadcast(ranks)  # a vocabulary, of a fixed size
 
     def run(batches):
-        codec, ids, decoded = _codec(shared.value)
+        codec, cache = _codec(shared.value)
         split = regex.compile(own_pattern(pattern)).findall
-        for part, texts in text_slices(batches, "__text"):
+        for part, texts in text_slices(batches, "__text", SLICE):
             pieces = [split(t) if t else [] for t in texts]
-            if len(ids) > HELD:
-                ids.clear(), decoded.clear()
-            fresh = {x for own in pieces for x in own if x not in ids}
+            held, fresh = cache.known({x for own in pieces for x in own})
             if fresh:
-                _learn(codec, list(fresh), ids, decoded)
-            packed = [b"".join(map(ids.__getitem__, own)) for own in pieces]
-            bodies = [b"".join(map(decoded.__getitem__, own)) for own in pieces]
+                _learn(codec, fresh, held)
+            packed = [b"".join([held[x][0] for x in own]) for own in pieces]
+            bodies = [b"".join([held[x][1] for x in own]) for own in pieces]
+            cache.forget(fresh)
             yield pa.RecordBatch.from_arrays(
                 [part.column(i) for i in range(part.num_columns - 1)]
                 + [pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(packed, pa.binary()), pa.array(bodies, pa.binary())],

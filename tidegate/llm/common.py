@@ -46,6 +46,17 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 4 <<
             yield batch.slice(start), values.slice(start).to_pylist()
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where ``df`` has columns called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def settle(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """``df`` on reliable storage, read in one part per ``rows`` rows at most.
 

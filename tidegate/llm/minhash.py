@@ -33,7 +33,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidegate.llm.common import components, settle, text_slices
+from tidegate.llm.common import components, settle, spare, text_slices
 from tidegate.session import cut_lineage
 
 BANDS, ROWS = 40, 5
@@ -279,13 +279,17 @@ def _measured(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) ->
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs``, one of each group of near duplicates; of rows that repeat an id, the least."""
+    """The rows of ``docs``, one of each group of near duplicates, the least by id and text.
+
+    Where ids repeat, rows are numbered along (id, text) first, so that different
+    texts of one id are judged one by one; a row without an id stays.
+    """
     held = docs.columns
-    dropped = near_duplicates(docs, key=key, text=text, **how).filter("NOT kept").select(F.col("doc_id").alias(key)).distinct()
-    rest = docs.join(dropped, key, "left_anti")
-    again = docs.groupBy(key).count().filter(F.col("count") > 1).filter(F.col(key).isNotNull()).select(key)
-    again = cut_lineage(again)
-    if again.isEmpty():
-        return rest.select(*held)
-    least = rest.join(again, key, "left_semi").groupBy(key).agg(F.min(F.struct(*held)).alias("row")).select("row.*")
-    return rest.join(again, key, "left_anti").select(*held).unionByName(least)
+    if docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > 1).isEmpty():
+        dropped = near_duplicates(docs, key=key, text=text, **how).filter("NOT kept").select(F.col("doc_id").alias(key)).distinct()
+        return docs.join(dropped, key, "left_anti").select(*held)
+    (row,) = spare(docs, "__row")
+    along = docs.repartitionByRange(F.col(key), F.col(text)).sortWithinPartitions(key, text)
+    numbered = cut_lineage(along.withColumn(row, F.when(F.col(key).isNotNull(), F.monotonically_increasing_id())))
+    dropped = near_duplicates(numbered, key=row, text=text, **how).filter("NOT kept").select(F.col("doc_id").alias(row))
+    return numbered.join(dropped, row, "left_anti").select(*held)

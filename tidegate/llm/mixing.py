@@ -27,7 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidegate.llm.common import WORD
+from tidegate.llm.common import WORD, spare
 from tidegate.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -100,11 +100,13 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
 def repeat(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it.
 
-    Rows are matched by a hash of their id, source and text; equal rows add up their copies.
+    Rows are matched by a hash of all their columns; equal rows add up their copies.
     """
     held = docs.columns
-    named = docs.withColumn("__row", F.xxhash64(F.lit("mix"), F.col(key), F.col(source), F.col(text)))
-    copies = mix(named, key="__row", text=text, source=source, **how).groupBy("doc_id").agg(F.sum("copies").alias("__copies")) \
-        .filter("__copies > 0").withColumnRenamed("doc_id", "__row")
-    return named.dropDuplicates(["__row"]).join(copies, "__row") \
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*held)
+    row, copies, copy = spare(docs, "__row", "__copies", "__copy")
+    cells = [F.to_json(F.struct(f.name)) if "map" in f.dataType.simpleString() else F.struct(f.name, F.col(f.name).isNull()) for f in docs.schema]
+    named = docs.withColumn(row, F.xxhash64(F.lit("mix"), *cells))
+    taken = mix(named, key=row, text=text, source=source, **how).groupBy("doc_id").agg(F.sum("copies").alias(copies)) \
+        .filter(F.col(copies) > 0).withColumnRenamed("doc_id", row)
+    return named.dropDuplicates([row]).join(taken, row) \
+        .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*held)

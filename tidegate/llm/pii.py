@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.llm.common import text_slices
+from tidegate.llm.common import spare, text_slices
 from tidegate.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -283,8 +283,10 @@ def listing(spans: str) -> Column:
 def redact(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``docs`` with every span found replaced by its kind in brackets; columns stay as they are."""
     held = docs.columns
-    named = docs.withColumn("__row", F.xxhash64(F.lit("pii"), F.col(key), F.col(text)))
-    spans = find(named, keys=("__row",), text=text, **how).filter(F.size("spans") > 0).select("__row", "spans").dropDuplicates(["__row"])
+    row, own = spare(docs, "__row", "__spans")
+    named = docs.withColumn(row, F.xxhash64(F.lit("pii"), F.col(key), F.col(text)))
+    found = find(named.select(F.col(row).alias("__row"), F.col(text).alias("text")), keys=("__row",), **how)
+    spans = found.filter(F.size("spans") > 0).select(F.col("__row").alias(row), F.col("spans").alias(own)).dropDuplicates([row])
 
     @F.pandas_udf("string")
     def mask(texts: pd.Series, found: pd.Series) -> pd.Series:
@@ -297,5 +299,5 @@ def redact(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **how) -
                 at = max(at, s["end"])
             out.append("".join([*pieces, t[at:]]))
         return pd.Series(out, dtype=object)
-    marked = named.join(spans, "__row", "left").withColumn("spans", F.coalesce("spans", F.array()))
-    return marked.withColumn(text, F.when(F.size("spans") > 0, mask(F.coalesce(text, F.lit("")), "spans")).otherwise(F.col(text))).select(*held)
+    marked = named.join(spans, row, "left").withColumn(own, F.coalesce(own, F.array()))
+    return marked.withColumn(text, F.when(F.size(own) > 0, mask(F.coalesce(text, F.lit("")), own)).otherwise(F.col(text))).select(*held)
