@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.predicates import Predicate, default_splits, where
 from tidegate.operators import keys as K, profile as G, schema as B
-from tidegate.plans import dataset as D
+from tidegate.plans import dataset as D, evaluation as E
 from tidegate.sources import readers, writers
 
 
@@ -168,3 +168,36 @@ def test_approximate_profile_is_close(spark):
     close = {r.column: r for r in G.column_stats(df, approximate=True).collect()}
     assert all(exact[c].null_pct == close[c].null_pct for c in exact)
     assert abs(close["id"].nunique - 5000) < 500 and exact["id"].nunique == 5000
+
+
+def test_slices_prune_the_folders_of_a_partitioned_dataset(spark, tmp_path):
+    df = K.add_split(spark.range(3000).selectExpr("id", "CAST(id % 7 AS STRING) AS v"), ["id"]).select("v", K.SPLIT, "id")
+    plain, _ = D.write_version(df, str(tmp_path / "plain"))
+    parted, new = D.write_version(df, str(tmp_path / "parted"), partition=K.SPLIT)
+    assert new and parted.record["content_hash"] == plain.record["content_hash"]
+    assert parted.load(spark, verify=True).dtypes == df.dtypes
+    for split in ("train", "test"):
+        a, b = (d.load(spark, split=split) for d in (plain, parted))
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and 0 < b.count() < 3000
+    plan = parted.load(spark, split="test")._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({K.SPLIT}" in plan
+
+
+@pytest.mark.parametrize("limit", [0.995, 0.5, 0.3, 0.02])
+def test_dominant_values_are_exact(spark, limit):
+    df = spark.range(4000).selectExpr("id", "IF(id % 3 = 0, NULL, id) AS third", "IF(id % 100 < 51, 'a', CAST(id AS STRING)) AS half",
+                                      "IF(id < 3990, 'x', 'y') AS nearly", "'c' AS one", "id % 40 AS even", "CAST(NULL AS STRING) AS nothing")
+    want = {r.column: r for r in G.column_stats(df).collect()}
+    got = G.dominant_values(df.repartition(7), share_of_rows=limit)
+    for c, (n, nulls, top) in got.items():
+        assert n == 4000 and nulls / n == want[c].null_pct
+        assert (top / n if top else 0) == (want[c].dominance_pct if want[c].dominance_pct >= limit else 0), c
+    plan = G.near_constant(df)
+    assert {r.column for r in plan.collect()} == {"nearly", "one", "nothing"}
+    assert G.near_constant(df.filter("false")).count() == 0
+
+
+def test_text_parity_sees_what_text_changes(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0.1, 'a,"b"'), (2, None, ""), (3, 1e-17, None), (4, 2.5, "x\ny")], "id long, v double, t string")
+    score = lambda d: d.selectExpr("id", "coalesce(v, -1D) + CASE WHEN t IS NULL THEN 10 WHEN t = '' THEN 20 ELSE length(t) END AS y_pred")
+    assert tuple(E.text_parity(df, score, ["id"], str(tmp_path / "a")).first()) == (4, 4, 0.0, True)

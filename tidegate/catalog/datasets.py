@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidegate.catalog import standins as S
@@ -65,8 +67,19 @@ def a2(spark, sf):
 @query("a3_managed_table_select", f"""
 SELECT o_orderkey, o_custkey, o_totalprice, {S.bucket_sql('o_custkey')}::INTEGER AS "SPLIT_PCT" FROM orders WHERE o_totalprice > 50000""")
 def a3(spark, sf):
-    orders = S.table(spark, sf, "orders").filter("o_totalprice > 50000").select("o_orderkey", "o_custkey", "o_totalprice")
-    return K.add_split(orders, ["o_custkey"])
+    # Built from its SELECT once, loaded again from the catalog, and refused once a stored bucket is not its key's.
+    name = f"managed_{uuid.uuid4().hex}"
+    built = readers.ManagedTableSource(name, f"SELECT o_orderkey, o_custkey, o_totalprice FROM parquet.`{sf}/orders.parquet`", ("o_orderkey",),
+                                       ("o_custkey",), f"SELECT * FROM {name} WHERE o_totalprice > 50000")
+    if not built.ensure(spark) or built.ensure(spark):
+        raise RuntimeError("the table is built when it is missing, and only then")
+    spark.table(name).withColumn(K.SPLIT, F.expr(f"IF(o_orderkey % 50 = 0, 99 - {K.SPLIT}, {K.SPLIT})")).write.saveAsTable(f"{name}_tampered")
+    try:
+        readers.ManagedTableSource(f"{name}_tampered", "", ("o_orderkey",), ("o_custkey",)).load(spark)
+    except ValueError:
+        spark.sql(f"DROP TABLE {name}_tampered")
+        return built.load(spark)
+    raise RuntimeError("a tampered bucket went unnoticed")
 
 
 @query("a5_split_invariant", f"""
@@ -300,8 +313,9 @@ def c9(spark, sf):
 SELECT CASE WHEN {S.bucket_sql('o_custkey')} < 80 THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS key_sum
 FROM orders GROUP BY 1""")
 def c12(spark, sf):
-    df = K.add_split(S.table(spark, sf, "orders"), ["o_custkey"])
-    parts = [D.load_slice(df, split=n).agg(F.count("*").alias("n_rows"), F.sum("o_orderkey").alias("key_sum")).withColumn(
+    orders = K.add_split(S.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_custkey"])
+    written, _ = D.write_version(orders, scratch_folder(spark, "splits"), partition=K.SPLIT)
+    parts = [written.load(spark, split=n).agg(F.count("*").alias("n_rows"), F.sum("o_orderkey").alias("key_sum")).withColumn(
         "split", F.lit(n)) for n in default_splits()]
     return parts[0].unionByName(parts[1])
 

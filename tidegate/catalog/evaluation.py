@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidegate.catalog import rules as RC
 from tidegate.catalog import standins as S
 from tidegate.catalog.registry import query
+from tidegate.session import scratch_folder
 from tidegate.functions.predicates import where
 from tidegate.operators.latest import first_in_group
 from tidegate.plans import evaluation as E, rules as R
@@ -201,3 +202,12 @@ def f22(spark, sf):
     a = S.scored_orders(spark, sf).selectExpr(KEY, "score AS y_pred")
     b = a.selectExpr(KEY, "y_pred + IF(o_orderkey % 100 = 0, 1e-6D, 0D) AS y_pred")
     return E.score_parity(a, b, [KEY])
+
+
+@query("f22_score_parity_text", SCORED + """
+SELECT count(*) AS n_left, count(*) AS n_right, 0.0::DOUBLE AS max_abs_diff, true AS matches FROM scored""")
+def f22_text(spark, sf):
+    rows = S.scored_orders(spark, sf).select(KEY, "loan_amount", "feature_as_of_ts", "o_orderpriority", "label_mature_d45", "score")
+    weigh = lambda df: df.selectExpr(
+        KEY, "score / 3 + ln(loan_amount) * IF(o_orderpriority = '1-URGENT', 0.7D, 0.1D) + year(feature_as_of_ts) * label_mature_d45 / 7 AS y_pred")
+    return E.text_parity(rows, weigh, [KEY], scratch_folder(spark, "text"))

@@ -69,15 +69,37 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
         "column", "n_rows", "n_null / nullif(n_rows, 0) AS null_pct")
 
 
+def dominant_values(df: DataFrame, columns: Sequence[str] | None = None, share_of_rows: float = 0.5) -> dict[str, tuple[int, int, int]]:
+    """Per column (rows, nulls, rows of the commonest value if it holds ``share_of_rows`` or more, else 0), nulls a value too.
+
+    No distinct value is shuffled: mergeable frequent-item sketches name the few
+    values that can hold such a share, and a second pass counts those exactly.
+    """
+    columns = list(columns or df.columns)
+    most = max(1, int(1 / share_of_rows))  # so many values can hold the share at once
+    # The sketch overrates by less than a tenth of the share, so twice as many items hold all that reach it.
+    tracked = max(64, 1 << (40 * most - 1).bit_length())
+    cells = [f"CAST(`{c}` AS STRING)" for c in columns]
+    first = df.agg(F.count("*").alias("n"), *[e for i, v in enumerate(cells) for e in (
+        F.expr(f"count_if({v} IS NULL)").alias(f"null{i}"), F.expr(f"approx_top_k({v}, {2 * most}, {tracked})").alias(f"top{i}"))]).first()
+    found = [[x["item"] for x in first[f"top{i}"] if x["item"] is not None] for i in range(len(columns))]
+    exact = df.agg(F.count("*").alias("n"), *[F.count_if(F.expr(v) == F.lit(x)).alias(f"c{i}_{k}")
+                                              for i, (v, items) in enumerate(zip(cells, found)) for k, x in enumerate(items)]).first()
+    out = {}
+    for i, c in enumerate(columns):
+        top = max([first[f"null{i}"], *(exact[f"c{i}_{k}"] for k in range(len(found[i])))])
+        out[c] = (first["n"], first[f"null{i}"], top if first["n"] and top >= share_of_rows * first["n"] else 0)
+    return out
+
+
 def quality_columns(df: DataFrame, *, protected: Sequence[str] = (), null_threshold: float = 0.99,
                     constant_threshold: float = 1.0) -> list[str]:
     """Columns worth keeping: not too null, not too constant, or protected."""
     free = [c for c in df.columns if c not in set(protected)]
-    stats = {r.column: r for r in column_stats(df, free).collect()} if free else {}
-    if free and not stats:
+    stats = dominant_values(df, free, min(constant_threshold, 1.0)) if free else {}
+    if any(not n for n, _, _ in stats.values()):
         raise ValueError("the source has no rows")
-    drop = {c for c, r in stats.items()
-            if r.null_pct > null_threshold or r.dominance_pct >= constant_threshold}
+    drop = {c for c, (n, nulls, top) in stats.items() if nulls / n > null_threshold or top / n >= constant_threshold}
     return [c for c in df.columns if c not in drop]
 
 
@@ -176,9 +198,9 @@ def high_cardinality(df: DataFrame, columns: Sequence[str] | None = None, above:
 
 def near_constant(df: DataFrame, share_of_rows: float = 0.995) -> DataFrame:
     """Columns with one value, or one value on at least 99.5% of rows."""
-    return column_stats(df).filter(
-        f"dominance_pct >= {share_of_rows} OR nunique + IF(null_pct > 0, 1, 0) <= 1").selectExpr(
-        "column", "dominance_pct AS dominant_share")
+    stats = dominant_values(df, share_of_rows=min(share_of_rows, 1.0))
+    # One row per column of the input.
+    return df.sparkSession.createDataFrame([(c, top / n) for c, (n, _, top) in stats.items() if top], "column string, dominant_share double")
 
 
 def datetime_review(df: DataFrame, as_of: str) -> DataFrame:

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidegate.functions.predicates import Predicate, default_splits
 from tidegate.operators import keys as K, profile, schema
@@ -70,8 +71,8 @@ class Dataset:
 
     def load(self, spark: SparkSession, *, split: str | None = None, predicate: Predicate | None = None,
              splits: Mapping[str, Predicate] | None = None, verify: bool = False) -> DataFrame:
-        """The table or a slice of it; the slice condition reaches the parquet scan."""
-        df = spark.read.parquet(f"{self.folder}/data")
+        """The table or a slice of it; the slice condition reaches the scan, and prunes folders where the table is partitioned."""
+        df = _read(spark, f"{self.folder}/data", self.record)
         if verify:
             verify_dataset(df, self.record)
         return load_slice(df, split=split, predicate=predicate, splits=splits)
@@ -117,8 +118,11 @@ def prepare(spec: DataSpec, spark: SparkSession, *, dry_run: bool = False) -> Da
 
 
 def write_version(df: DataFrame, root: str, *, recipe: Mapping[str, Any] | None = None,
-                  registry: DataFrame | None = None) -> tuple[Dataset, bool]:
-    """Write ``v{n}_{hash8}`` unless the same content is already there; True when new."""
+                  registry: DataFrame | None = None, partition: str | None = None) -> tuple[Dataset, bool]:
+    """Write ``v{n}_{hash8}`` unless the same content is already there; True when new.
+
+    ``partition`` names the column whose values become folders, the split bucket for slices by split.
+    """
     spark = df.sparkSession
     fingerprint = content_hash(df)
     versions = [n for n in writers.list_names(spark, root) if n.startswith("v") and "_" in n]
@@ -129,16 +133,25 @@ def write_version(df: DataFrame, root: str, *, recipe: Mapping[str, Any] | None
     number = max((int(n[1:].split("_")[0]) for n in versions), default=0) + 1
     version = f"v{number}_{fingerprint[:8]}"
     folder = f"{root}/{version}"
-    writers.write_dataset(df, folder)
+    writers.write_dataset(df, folder, partition)
     if registry is not None:
         registry.coalesce(1).write.parquet(f"{folder}/registry")  # one row per column
-    written = spark.read.parquet(f"{folder}/data")
-    record = {"id": version, "content_hash": fingerprint, "schema_hash": schema_hash(df),
+    schema_fields = {"schema": df.schema.jsonValue()} if partition else {}
+    written = _read(spark, f"{folder}/data", schema_fields)
+    record = {**schema_fields, "id": version, "content_hash": fingerprint, "schema_hash": schema_hash(df),
               "n_rows": written.count(), "n_columns": len(df.columns), "recipe": dict(recipe or {})}
     writers.write_record(spark, folder, record)
     return Dataset(version, folder, record), True
 
 
+def _read(spark: SparkSession, folder: str, record: Mapping[str, Any]) -> DataFrame:
+    """A written table; a partitioned one gets its columns and types back from the record."""
+    if "schema" not in record:
+        return spark.read.parquet(folder)
+    kind = StructType.fromJson(dict(record["schema"]))
+    return spark.read.schema(kind).parquet(folder).select(*kind.names)
+
+
 def verify_dataset(df: DataFrame, record: Mapping[str, Any]) -> None:
     """Row count, columns, schema and content must match the record."""
     parts = content_parts(df).first()

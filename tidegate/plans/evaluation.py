@@ -215,6 +215,19 @@ def score_parity(left: DataFrame, right: DataFrame, key: Sequence[str], score: s
     ).selectExpr("*", f"n_left = n_right AND coalesce(max_abs_diff, 0D) <= {tolerance!r}D AS matches")
 
 
+def text_parity(df: DataFrame, score: Callable[[DataFrame], DataFrame], key: Sequence[str], folder: str, **how) -> DataFrame:
+    """``score_parity`` of rows scored as they are and after a trip through text files where every value is text.
+
+    Text gets its types back by name; a column that is missing, new or not text fails. Null and empty text stay apart.
+    """
+    df.select([F.col(f.name).cast("string").alias(f.name) for f in df.schema]).write.option("header", True).option(
+        "nullValue", "\\N").option("escape", '"').csv(folder)
+    text = df.sparkSession.read.option("header", True).option("nullValue", "\\N").option("escape", '"').option("multiLine", True).csv(folder)
+    if text.columns != df.columns or any(kind != "string" for _, kind in text.dtypes):
+        raise ValueError(f"text columns {text.dtypes} are not those of the input as text: {df.columns}")
+    typed = text.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema])
+    return score_parity(score(df), score(typed), key, **how)
+
 
 # ---- batch evaluation -----------------------------------------------------------
 

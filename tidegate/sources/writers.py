@@ -41,9 +41,16 @@ def read_record(spark: SparkSession, folder: str) -> dict[str, Any]:
     return json.loads(lines[0])
 
 
-def write_dataset(df: DataFrame, folder: str) -> None:
-    """Snappy parquet; refuses to write over an existing dataset."""
-    df.write.mode("errorifexists").option("compression", "snappy").parquet(f"{folder}/data")
+def write_dataset(df: DataFrame, folder: str, partition: str | None = None) -> None:
+    """Snappy parquet; refuses to write over an existing dataset.
+
+    With ``partition``, one folder per value of that column (a split bucket, say),
+    so a slice by it reads only the folders it needs. Rows are dealt by the column
+    first, large values over several files.
+    """
+    dealt = df.hint("rebalance", partition) if partition else df
+    writer = dealt.write.mode("errorifexists").option("compression", "snappy")
+    (writer.partitionBy(partition) if partition else writer).parquet(f"{folder}/data")
 
 
 def write_predictions(predictions: DataFrame, folder: str, key: list[str], label: str = "") -> dict[str, Any]:
