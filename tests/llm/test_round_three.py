@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, brown, chat, minhash, mixing, phrases, pii, variants
+from tidegate.llm import bpe, brown, chat, embeddings, minhash, mixing, phrases, pii, variants
 from tidegate.llm.quotient import QuotientFilter
 
 WORDS = ["colour", "color", "colours", "colouur", "collour", "harbour", "harbor", "harbours", "élevée", "élevés", "élever", "naïveté"]
@@ -216,3 +216,9 @@ def test_class_matrix_counts_neighbours(spark):
         for j, n in zip(js, ns):
             want[classes[i], classes[j]] += n
     assert (brown._matrix(frame, classes) == want).all()
+
+
+def test_vectors_of_any_finite_length_link(spark):
+    rows = [(1, [1.0, 1.0], "a"), (2, [1e200, 1e200], "a"), (3, [1e-200, 1.01e-200], "a"), (4, [1e308, -1e308], "a"), (5, [5e-324, 0.0], "a"), (6, [7.0, 0.01], "a")]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5)}

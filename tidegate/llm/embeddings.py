@@ -51,6 +51,8 @@ def _directions(trees: int, levels: int, dims: int, seed: int) -> np.ndarray:
 
 def _units(vectors) -> np.ndarray:
     x = np.stack([np.asarray(v, np.float64) for v in vectors])
+    # A power of two is taken out first, which is exact and keeps the squares of any finite vector within range.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
