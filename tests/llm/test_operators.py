@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -71,6 +72,38 @@ def test_minhash_finds_the_links(corpus):
     assert want[2] == want[3] == 1 and want[8] == 7
 
 
+def test_minhash_among_loose_variants_equals_brute_force(spark, monkeypatch):
+    """Variants around the similarity of a link, many of them too far from the original: links between them are found, without meeting in pairs."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+    texts = []
+    for _ in range(700):
+        words = list(base)
+        for at in rng.sample(range(5, 115), rng.choice([1, 3, 4, 5, 6])):
+            words[at] = rng.choice(["", f"x{rng.randrange(3)}"])
+        texts.append(" ".join(words))
+    sets = [set(minhash.shingle_set(t.encode(), 5).tolist()) for t in texts]
+    root = list(range(len(sets)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    tried = []
+    measured = minhash._measured
+    monkeypatch.setattr(minhash, "_measured", lambda pairs, *how: (tried.append(pairs.count()), measured(pairs, *how))[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == {i: top(i) for i in range(len(sets))}
+    assert sum(tried) < 700 * 699 / 2 / 4
+
+
 def test_minhash_links_a_group_through_its_original(spark):
     """Variants that are not alike each other, only like the original, form one group."""
     rng = np.random.default_rng(1)

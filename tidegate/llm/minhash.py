@@ -8,11 +8,11 @@ Rows and sets. Texts of one shingle set form a class, named by its smallest id.
 Classes, not documents, are banded, compared and linked; copies cost one
 aggregate and one join. Buckets compare every member with a pivot first. Large
 buckets that still hold unlinked parts then try their best linked members as
-pivots, which finds the original of a group of near copies. At last every pair
-of members in different parts is drawn that exact bounds leave possible: sizes,
-the shingles that a member shares with no other part, and distances to common
-pivots. So no pair that shares a bucket is left undecided, yet a large linked
-group, and loose variants around it, cost pairs in proportion to their number.
+pivots, which finds the original of a group of near copies. At last members of
+different parts meet: pairwise in small buckets, and in large ones at their
+rarest shingles, a few of which any two similar sets must share. So no pair that
+shares a bucket is left undecided, yet a large linked group, and loose variants
+around it, do not meet in pairs.
 
 Recall. With 40 bands of 5 coordinates a pair of similarity 0.75 misses every
 band with probability 2e-5. Candidates are skipped when their 192-bit sketches agree in
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidegate.llm.common import components, settle, spare, text_slices
 from tidegate.session import cut_lineage
@@ -188,8 +188,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         last = turn == PIVOT_TURNS or large.isEmpty()
         if last:  # every pair of members in different parts
             rivals = large.select("id", "part").distinct()
-            own = side.join(mine, "id").join(_private(rivals, bodies, words), "id", "left")
-            fresh = _across(own, used, measured, fits, agree, percent)
+            fresh = _across(side.filter(F.col("size") < LARGE_BUCKET).join(mine, "id"), fits, agree).unionByName(
+                _meeting(rivals, mine, bodies, words, fits, agree, percent)).distinct()
         else:  # large buckets try their best linked member next: the original of a group of near copies
             degree = measured.filter("near").selectExpr("explode(array(a, b)) AS id").groupBy("id").agg(F.count("*").alias("k"))
             rank = F.struct(F.coalesce("k", F.lit(0)).alias("k"), (-F.col("id")).alias("low"))
@@ -226,34 +226,37 @@ def _shingle_rows(words: int):
     return run
 
 
-def _private(members: DataFrame, bodies: DataFrame, words: int) -> DataFrame:
-    """(id, private): shingles of each member that no member of another part has, and so no link across parts can share."""
-    rows = members.join(bodies, "id").select("id", "part", "body").mapInArrow(_shingle_rows(words), "id long, part long, shingle long")
-    # Most shingles are in one text only; min and max merge before the shuffle.
-    lone = rows.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p = q").select("shingle")
-    return cut_lineage(rows.join(lone, "shingle", "left_semi").groupBy("id").agg(F.count("*").alias("private")))
+def _meeting(rivals: DataFrame, mine: DataFrame, bodies: DataFrame, words: int, fits: str, agree: str, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``rivals(id, part)`` in different parts that meet at one of their rarest shingles.
 
-
-def _across(side: DataFrame, used: DataFrame, measured: DataFrame, fits: str, agree: str, percent: int) -> DataFrame:
-    """Pairs of bucket members in different parts that sizes, sketches, private shingles and pivots leave possible.
-
-    Two members of a large bucket share no shingle that either has to its part.
-
-    One minus similarity is a metric, so two members whose known distances to the
-    same pivot differ by more than the distance of a link cannot be linked.
+    Sets of n and m shingles that are similar enough share at least
+    ``need`` = percent (n + m) / (100 + percent) of them. In any common order of
+    shingles the first n - need + 1 of the one and the first m - need + 1 of the
+    other then hold a common shingle, so nothing else has to meet. The order is
+    by frequency: variants of one text that are too far from it to be linked have
+    shingles of their own first, and meet at what their edits have in common.
+    A shingle of one part joins nothing, and members of a shingle's largest part
+    are not joined with each other.
     """
-    apart = 1 - percent / 100 + 1e-9
-    known = side.select("bucket", "id").join(used, "bucket").filter("id <> pivot") \
-        .selectExpr("bucket", "id", "pivot", "least(id, pivot) AS a", "greatest(id, pivot) AS b") \
-        .join(measured.select("a", "b", "dist"), ["a", "b"]) \
-        .groupBy("bucket", "id").agg(F.map_from_entries(F.collect_list(F.struct("pivot", "dist"))).alias("far"))  # a few pivots
-    usable = F.when(F.col("size") >= LARGE_BUCKET, F.col("n") - F.coalesce("private", F.lit(0))).otherwise(F.col("n"))
-    side = side.join(known, ["bucket", "id"], "left").withColumn("usable", usable)
-    side = settle(side.filter(f"100 * usable >= {percent} * n"))  # else too little is left to share with anyone
-    other = side.selectExpr("bucket", "id AS id2", "n AS m", "usable AS usable2", "s1 AS t1", "s2 AS t2", "s3 AS t3", "part AS part2", "far AS far2")
-    room = f"100 * least(usable, usable2) >= {percent} * (n + m - least(usable, usable2))"
-    reach = f"far IS NULL OR far2 IS NULL OR NOT exists(map_keys(far), k -> coalesce(abs(far[k] - far2[k]) > {apart}, false))"
-    return side.join(other, "bucket").filter(f"id < id2 AND part <> part2 AND {fits} AND {room} AND {agree} AND ({reach})") \
+    rows = cut_lineage(rivals.join(bodies, "id").select("id", "part", "body").mapInArrow(_shingle_rows(words), "id long, part long, shingle long"))
+    held = rows.groupBy("shingle", "part").agg(F.count("*").alias("k")).groupBy("shingle").agg(
+        F.sum("k").alias("k"), F.count("*").alias("parts"), F.max_by("part", F.struct("k", "part")).alias("main"))
+    order = Window.partitionBy("id").orderBy("k", "shingle")
+    longest = f"n - (n * {percent} + 99) div 100 + 1"  # with the smallest set that may still be similar enough
+    first = rows.join(held, "shingle").withColumn("pos", F.row_number().over(order)).join(mine, "id") \
+        .filter(f"parts > 1 AND pos <= {longest}").select("shingle", "main", "id", "part", "pos", "n", "s1", "s2", "s3")
+    first = settle(first)
+    one, other = first.filter("part <> main"), first.drop("main").toDF("shingle", "id2", "part2", "pos2", "m", "t1", "t2", "t3")
+    need = f"((n + m) * {percent} + {99 + percent}) div {100 + percent}"
+    return one.join(other, "shingle").filter(
+        f"part <> part2 AND (id < id2 OR part2 = main) AND pos <= n - {need} + 1 AND pos2 <= m - {need} + 1 AND {fits} AND {agree}") \
+        .selectExpr("least(id, id2) AS a", "greatest(id, id2) AS b").distinct()
+
+
+def _across(side: DataFrame, fits: str, agree: str) -> DataFrame:
+    """Pairs of members of small buckets in different parts that sizes and sketches leave possible."""
+    other = side.selectExpr("bucket", "id AS id2", "n AS m", "s1 AS t1", "s2 AS t2", "s3 AS t3", "part AS part2")
+    return side.join(other, "bucket").filter(f"id < id2 AND part <> part2 AND {fits} AND {agree}") \
         .selectExpr("id AS a", "id2 AS b").distinct()
 
 
