@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tidegate.functions import clock
 from tidegate.operators import spans as J
 from tidegate.sources.readers import read_event_lines
-from tidegate.streaming.jobs import pair_spans_stream, velocity_stream
-from tidegate.streaming.ordered import as_event_time
+from tidegate.streaming.jobs import pair_spans_stream, phase_rollup_stream, velocity_stream
+from tidegate.streaming.ordered import Tape, as_event_time
 
 T0 = datetime(2026, 1, 1)
 
@@ -84,6 +84,70 @@ def test_stream_velocity_equals_brute_force(spark, events, tmp_path):
         assert got[i] == (sum(s >= at - timedelta(hours=6) for s in prior), len(prior), v)
 
 
+def in_turn(spark, batches, schema, tmp_path, build):
+    """Each batch becomes one trigger, in the given order."""
+    place = tmp_path / "turns"
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(place))
+        source = spark.readStream.schema(schema).parquet(str(place))
+        build(as_event_time(source, "ts")).writeStream.format("parquet").option(
+            "checkpointLocation", str(tmp_path / "turns_cp")).trigger(availableNow=True).start(str(tmp_path / "turns_out")).awaitTermination()
+    return spark.read.parquet(str(tmp_path / "turns_out"))
+
+
+def test_late_rows_are_counted_and_the_rest_rolled_up(spark, tmp_path):
+    t = lambda m: T0 + timedelta(minutes=m)
+    batches = [[("a", t(0), 1, "start", "x"), ("a", t(20), 2, "end", "x"), ("b", t(5), 3, "start", "")],
+               [("a", t(400), 4, "start", "y"), ("b", t(401), 5, "end", "y")],
+               [("a", t(10), 6, "start", "x"), ("a", t(11), 7, "end", "x"), ("b", t(12), 8, "end", "x"), ("a", t(430), 9, "end", "y")],
+               [("zzz", t(9000), 10, "none", "y")]]
+    schema = "u string, ts timestamp_ntz, i long, kind string, phase string"
+    spans = in_turn(spark, batches, schema, tmp_path / "spans",
+                    lambda df: pair_spans_stream(df, "u", "ts", "i", delay="30 minutes", late="late_rows")).cache()
+    assert {(r.u, r.late_rows) for r in spans.filter("late_rows IS NOT NULL").collect()} == {("a", 2), ("b", 1)}
+    assert {(r.u, r.start_seq, r.end_seq, r.outcome) for r in spans.filter("late_rows IS NULL").collect()} == {
+        ("a", 1, 2, "span"), ("b", 3, 5, "span"), ("a", 4, 9, "span")}
+    rolled = in_turn(spark, batches, schema, tmp_path / "rolled",
+                     lambda df: phase_rollup_stream(df, "u", "ts", "i", "phase", delay="30 minutes"))
+    got = {(r.phase, r.duration_s, r.n_spans) for r in rolled.filter("n_spans > 0").collect()}
+    assert got == {("x", 1200.0, 1), ("unknown", 396 * 60.0, 1), ("y", 1800.0, 1)}
+    assert rolled.selectExpr("sum(late_rows)").first()[0] == 3
+
+
+class Entries(dict):
+    """Map state without a store."""
+    containsKey, getValue, updateValue = dict.__contains__, dict.__getitem__, dict.__setitem__
+    removeKey = dict.pop
+
+
+def test_tape_equals_a_list_and_touches_few_blocks():
+    rng, entries, want, low = random.Random(5), Entries(), [], 0
+    tape = Tape(entries, 0, 0)
+    for turn in range(3000):
+        for _ in range(rng.randrange(3)):
+            tape.append(turn), want.append(turn)
+        if want and rng.random() < 0.3:
+            assert tape.pop() == want.pop()
+        if want and rng.random() < 0.1:
+            cut = rng.randrange(min(len(want), 40))
+            tape.forget_before(tape.low + cut)
+            want = want[cut:]
+        if rng.random() < 0.05:
+            tape.save()
+            tape = Tape(entries, tape.low, tape.high)
+        assert len(tape) == len(want) and (not want or tape[tape.low] == want[0] and tape[tape.high - 1] == want[-1])
+    while want:
+        assert tape.pop() == want.pop()
+    tape.save()
+    assert not entries
+    for n in range(10_000):
+        tape.append(n)
+    tape.save()
+    tape = Tape(entries, tape.low, tape.high)
+    tape.append(-1)
+    assert len(tape.held) == 1
+
+
 def test_event_lines_skip_blanks_and_non_objects(spark, tmp_path):
     (tmp_path / "e.jsonl").write_text('{"event": "start", "agent_id": "a", "time_s": 1.5}\n\n   \n[1]\n3\n{"event": "end"}\n')
     assert [(r.event, r.agent_id, r.time_s) for r in read_event_lines(spark, str(tmp_path)).collect()] == [

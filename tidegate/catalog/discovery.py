@@ -14,7 +14,7 @@ from tidegate.operators import spans as J
 from tidegate.plans import discovery as D, evaluation as E, models as M, runs as R
 from tidegate.plans.rules import Rule, residual
 from tidegate.session import scratch_folder, share
-from tidegate.streaming.jobs import alerts, pair_spans_stream, velocity_stream
+from tidegate.streaming.jobs import alerts, pair_spans_stream, phase_rollup_stream, velocity_stream
 from tidegate.streaming.ordered import as_event_time
 
 FEATURES = ("loan_amount", "c_acctbal", "score", "weekday")
@@ -297,6 +297,18 @@ def j1s(spark, sf):
     return drained(spark, sf, build, "spans").filter("outcome = 'span'").select("user_id", "start_seq", "end_seq", "duration_s")
 
 
+@query("j2_phase_rollup_stream", _PAIR + """
+SELECT time_bucket(INTERVAL 1 HOUR, end_ts) AS window_start, phase::VARCHAR AS phase,
+       ((sum(epoch_us(end_ts) - epoch_us(start_ts))::BIGINT + 5) // 10) / 1e5 AS duration_s, count(*) AS n_spans, 0::BIGINT AS late_rows FROM spans GROUP BY 1, 2""")
+def j2s(spark, sf):
+    build = lambda ev: phase_rollup_stream(
+        ev.filter("event_type IN ('view', 'click')").withColumns(
+            {"kind": F.expr("IF(event_type = 'view', 'start', 'end')"), "phase": F.expr(f"CAST({S.K} % 4 AS STRING)")}),
+        "user_id", "ts", "event_id", "phase", delay=f"{STREAM_DELAY_S} seconds")
+    return drained(spark, sf, build, "phases").selectExpr(
+        "CAST(window_start AS TIMESTAMP_NTZ) AS window_start", "phase", "duration_s", "n_spans", "late_rows")
+
+
 @query("j5_velocity_alert_stream", """
 WITH p AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase'),
 v AS (SELECT a.user_id, a.event_id, a.value, a.ts, count(b.event_id) FILTER (WHERE b.ts >= a.ts - INTERVAL 24 HOUR) AS prior_events_24h,

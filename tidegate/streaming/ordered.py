@@ -1,9 +1,15 @@
 """Per-key processing in event-time order on an unordered stream.
 
-Events wait in keyed state until the watermark has passed them, then are handed
-on in (time, sequence) order. The last events of an exhausted source leave once a
-closing event far ahead moves the watermark past them. Rows later than the watermark are dropped, so a
-stream without late rows gives exactly what a batch over the same input gives.
+Events wait in keyed state, dealt to slots of event time, until the watermark has
+passed their slot; a timer per slot then hands them on in (time, sequence) order.
+An event is written, read and deleted once, however long its key lives. What a
+step remembers is a short head and a tape: items in numbered blocks of map
+state, of which a trigger reads and writes only those it touches.
+
+The last events of an exhausted source leave once a closing event far ahead moves
+the watermark past them. Rows later than the watermark never reach a step; they
+can be counted per key and trigger. A stream without late rows gives exactly what
+a batch over the same input gives.
 """
 
 from __future__ import annotations
@@ -14,9 +20,134 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BLOCK = 256  # items of a tape in one entry of the state store
+
+
+class Tape:
+    """Items numbered from ``low`` to ``high``: added and taken at the end, forgotten from the start."""
+
+    def __init__(self, blocks: Any, low: int, high: int):
+        self.blocks, self.low, self.high = blocks, low, high
+        self.held: dict[int, list] = {}
+        self.changed: set[int] = set()
+
+    def _block(self, number: int) -> list:
+        if number not in self.held:
+            found = self.blocks.getValue((number,)) if self.blocks.containsKey((number,)) else None
+            self.held[number] = pickle.loads(found[0]) if found else []
+        return self.held[number]
+
+    def __len__(self) -> int:
+        return self.high - self.low
+
+    def __getitem__(self, place: int) -> Any:
+        return self._block(place // BLOCK)[place % BLOCK]
+
+    def append(self, item: Any) -> None:
+        block = self._block(self.high // BLOCK)
+        del block[self.high % BLOCK:]
+        block.append(item)
+        self.changed.add(self.high // BLOCK)
+        self.high += 1
+
+    def pop(self) -> Any:
+        self.high -= 1
+        return self[self.high]
+
+    def forget_before(self, place: int) -> None:
+        for number in range(self.low // BLOCK, place // BLOCK):
+            self._drop(number)
+        self.low = place
 
-Step = Callable[[Any, tuple], tuple[Any, list[tuple]]]
+    def _drop(self, number: int) -> None:
+        if self.blocks.containsKey((number,)):
+            self.blocks.removeKey((number,))
+        self.held.pop(number, None)
+        self.changed.discard(number)
+
+    def save(self) -> None:
+        if not len(self):
+            for number in range(self.low // BLOCK, max([self.high // BLOCK, *self.changed]) + 1):
+                self._drop(number)
+        for number in sorted(self.changed):
+            if self.low // BLOCK <= number <= max(self.high - 1, self.low) // BLOCK:
+                self.blocks.updateValue((number,), (pickle.dumps(self.held[number]),))
+            else:
+                self._drop(number)
+        self.changed.clear()
+
+
+# step(head, tape, event) -> (head, rows); a falsy head with an empty tape is nothing to remember.
+Step = Callable[[Any, Tape, tuple], tuple[Any, list[tuple]]]
+
+
+class _Ordered(StatefulProcessor):
+    def __init__(self, step: Step, names: list[str], slot_us: int, late: str | None, stamp: str | None):
+        self.step, self.names, self.slot_us, self.late, self.stamp = step, names, slot_us, late, stamp
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.parts = handle.getMapState("parts", "slot long", "n int")
+        self.waiting = handle.getMapState("waiting", "slot long, part int", "rows binary")
+        self.head = handle.getValueState("head", "low long, high long, head binary")
+        self.blocks = handle.getMapState("tape", "number long", "items binary")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        late, slots = 0, {}
+        for batch in rows:
+            if batch.empty:  # has no columns
+                continue
+            # By place: Spark does not keep the name of a computed column. The key comes first, the time last.
+            seq, *columns, us = (batch.iloc[:, k].tolist() for k in range(1, batch.shape[1]))
+            for row in zip(us, seq, *columns):
+                if row[0] <= mark:  # behind the watermark
+                    late += 1
+                else:
+                    slots.setdefault(row[0] // self.slot_us, []).append(row)
+        for slot, arrived in slots.items():
+            n = self.parts.getValue((slot,))[0] if self.parts.containsKey((slot,)) else 0
+            if not n:
+                self.handle.registerTimer((slot + 1) * self.slot_us // 1000 - 1)  # fires once the watermark is beyond it
+            self.waiting.updateValue((slot, n), (pickle.dumps(arrived),))
+            self.parts.updateValue((slot,), (n + 1,))
+        if late and self.late:
+            blank = dict.fromkeys(self.names)
+            blank[self.names[0]], blank[self.late] = key[0], late
+            if self.stamp:
+                blank[self.stamp] = pd.Timestamp(mark + 1000, unit="us", tz="UTC")  # the first that is not late itself
+            yield pd.DataFrame([blank], columns=self.names).astype({self.late: "int64"})
+
+    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        slot = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.slot_us
+        events: list[tuple] = []
+        for part in range(self.parts.getValue((slot,))[0]):
+            events += pickle.loads(self.waiting.getValue((slot, part))[0])
+            self.waiting.removeKey((slot, part))
+        self.parts.removeKey((slot,))
+        low, high, head = self.head.get() if self.head.exists() else (0, 0, None)
+        head, tape = pickle.loads(head) if head else None, Tape(self.blocks, low, high)
+        end = (pd.Timestamp((slot + 1) * self.slot_us - 1, unit="us", tz="UTC"),) if self.stamp else ()
+        more = (*((None,) if self.late else ()), *end)
+        out: list[tuple] = []
+        for event in sorted(events, key=lambda e: e[:2]):
+            head, made = self.step(head, tape, event)
+            out += [(*key, *row, *more) for row in made]
+        tape.save()
+        if head or len(tape):
+            self.head.update((tape.low, tape.high, pickle.dumps(head)))
+        elif self.head.exists():  # nothing to remember: the key leaves the state store
+            self.head.clear()
+        if out:
+            yield pd.DataFrame(out, columns=self.names)
+
+    def close(self) -> None:
+        pass
 
 
 def in_order(
@@ -29,46 +160,33 @@ def in_order(
     output: str,
     *,
     delay: str = "1 hour",
-    start: Callable[[], Any] = dict,
+    slot_s: int = 900,
+    late: str | None = None,
+    stamp: str | None = None,
 ) -> DataFrame:
-    """Run ``step(memory, event) -> (memory, rows)`` per key over ordered events.
+    """Run ``step(head, tape, event) -> (head, rows)`` per key over ordered events.
 
     ``event`` is (time in micros, seq, *columns). ``output`` is the row schema
     without the key, which is added as the first column. ``ts`` must be a
-    TIMESTAMP column, as watermarks require.
+    TIMESTAMP column, as watermarks require. Rows leave when the watermark has
+    passed their slot of ``slot_s`` seconds.
+
+    ``late`` names a column that counts late rows: one row per key and trigger
+    that has some, null elsewhere. ``stamp`` names a column with the last
+    microsecond of the event's slot, the event time for windows further on.
     """
-    key_type = dict(events.dtypes)[key]
-    out_schema = f"{key} {key_type}, {output}"
-    names = [f.split()[0] for f in out_schema.replace(",", ", ").split(", ") if f]
-
-    def run(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting, memory = pickle.loads(state.get[0]) if state.exists else ([], start())
-        mark = state.getCurrentWatermarkMs() * 1000
-        for batch in batches:
-            rows_in = zip(batch["__us"].tolist(), batch[seq].tolist(), *[batch[c].tolist() for c in columns])
-            waiting += [r for r in rows_in if r[0] > mark]  # rows behind the watermark are late
-        waiting.sort(key=lambda r: (r[0], r[1]))
-        rows: list[tuple] = []
-        ready = 0
-        while ready < len(waiting) and waiting[ready][0] <= mark:
-            memory, made = step(memory, waiting[ready])
-            rows += [(*k, *r) for r in made]
-            ready += 1
-        waiting = waiting[ready:]
-        if not waiting and not memory:  # nothing to remember: the key leaves the state store
-            if state.exists:
-                state.remove()
-        else:
-            state.update((pickle.dumps((waiting, memory)),))
-        if waiting:  # wake up once the watermark passes the oldest waiting event
-            state.setTimeoutTimestamp(max(waiting[0][0] // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        if rows:
-            yield pd.DataFrame(rows, columns=names)
-
-    # Epoch micros travel as a number: pandas would shift timestamps to the session zone.
-    rows = events.select(key, ts, seq, *columns, F.unix_micros(ts).alias("__us")).withWatermark(ts, delay)
-    return rows.groupBy(key).applyInPandasWithState(
-        run, out_schema, "payload binary", "append", GroupStateTimeout.EventTimeTimeout)
+    spark = events.sparkSession
+    spark.conf.set(PROVIDER, ROCKSDB)  # the only provider with map state and timers
+    fields = f"{key} {dict(events.dtypes)[key]}, {output}"
+    fields += f", {late} long" if late else ""
+    fields += f", {stamp} timestamp" if stamp else ""
+    schema = StructType.fromDDL(fields)
+    # Epoch micros travel as a number: pandas would shift timestamps to the session zone. Without the time column
+    # itself Spark drops no late row before it is counted.
+    rows = events.withWatermark(ts, delay).select(key, seq, *columns, F.unix_micros(ts))
+    return rows.groupBy(key).transformWithStateInPandas(
+        _Ordered(step, schema.names, slot_s * 1_000_000, late, stamp), schema, "Append", "EventTime",
+        eventTimeColumnName=stamp or "")
 
 
 def as_event_time(df: DataFrame, column: str) -> DataFrame:
