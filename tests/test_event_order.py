@@ -2,7 +2,9 @@
 
 import random
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tidegate.functions import clock
 from tidegate.operators import spans as J
 from tidegate.sources.readers import read_event_lines
 from tidegate.streaming.jobs import pair_spans_stream, phase_rollup_stream, velocity_stream
-from tidegate.streaming.ordered import Tape, as_event_time
+from tidegate.streaming.ordered import Tape, _Ordered, as_event_time
 
 T0 = datetime(2026, 1, 1)
 
@@ -152,3 +154,59 @@ def test_event_lines_skip_blanks_and_non_objects(spark, tmp_path):
     (tmp_path / "e.jsonl").write_text('{"event": "start", "agent_id": "a", "time_s": 1.5}\n\n   \n[1]\n3\n{"event": "end"}\n')
     assert [(r.event, r.agent_id, r.time_s) for r in read_event_lines(spark, str(tmp_path)).collect()] == [
         ("start", "a", 1.5), ("end", None, None)]
+
+
+class Value:
+    """Value state and handle without a store; ``calls`` counts what would go to it."""
+    calls = 0
+
+    def __init__(self):
+        self.kept, self.maps, self.timers = None, {}, set()
+
+    def get(self):
+        Value.calls += 1
+        return self.kept
+
+    def update(self, value):
+        Value.calls += 1
+        self.kept = value
+
+    def clear(self):
+        self.kept = None
+
+    def getValueState(self, name, schema):
+        return self.maps.setdefault(name, Value())
+
+    def getMapState(self, name, key, value):
+        return self.maps.setdefault(name, Entries())
+
+    def registerTimer(self, at):
+        Value.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_events_wait_in_runs_behind_one_timer():
+    rng, handle, out = random.Random(8), Value(), []
+    step = lambda head, tape, e: (None, [e])
+    made = _Ordered(step, ["k", "us", "seq"], 900_000_000, None, None)
+    made.init(handle)
+    times = lambda mark: SimpleNamespace(getCurrentWatermarkInMs=lambda: mark)
+    sent, day, mark, timers = [], 86_400_000_000, 0, 0
+    for turn in range(6):  # 700 events a turn, each in a slot of its own about, over two days; the watermark follows
+        new = [(turn * day + rng.randrange(1, 2 * day), turn * 1000 + i) for i in range(700)]
+        new = [e for e in new if e[0] > mark * 1000]
+        sent += new
+        list(made.handleInputRows(("a",), iter([pd.DataFrame([("a", seq, us) for us, seq in new])]), times(mark)))
+        mark = turn * day // 1000 + 40_000_000 if turn < 5 else 100 * day
+        while due := sorted(t for t in handle.timers if t < mark):
+            timers += 1
+            for frame in made.handleExpiredTimer(("a",), times(mark), SimpleNamespace(getExpiryTimeInMs=lambda: due[0])):
+                out += [tuple(r)[1:] for r in frame.itertuples(index=False)]
+            handle.timers.discard(due[0])
+        assert len(handle.timers) <= 1
+    assert out == sorted(sent) and len(sent) > 3000
+    assert timers <= 6 and Value.calls < 60
+    assert not handle.timers and not handle.maps["waiting"] and handle.maps["index"].kept is None
