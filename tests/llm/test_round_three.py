@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, brown, chat, embeddings, minhash, mixing, phrases, pii, variants
+from tidegate.llm import bpe, brown, chat, embeddings, minhash, mixing, phrases, pii, variants, wrappers
 from tidegate.llm.quotient import QuotientFilter
 
 WORDS = ["colour", "color", "colours", "colouur", "collour", "harbour", "harbor", "harbours", "élevée", "élevés", "élever", "naïveté"]
@@ -222,3 +222,13 @@ def test_vectors_of_any_finite_length_link(spark):
     rows = [(1, [1.0, 1.0], "a"), (2, [1e200, 1e200], "a"), (3, [1e-200, 1.01e-200], "a"), (4, [1e308, -1e308], "a"), (5, [5e-324, 0.0], "a"), (6, [7.0, 0.01], "a")]
     got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5)}
+
+
+def test_long_streams_align_like_short_ones():
+    shared = [f"s{i}" for i in range(1100)]
+    a = wrappers.collapse(["a", *(t for s in shared for t in (s, f"a{s}")), "b"])
+    b = wrappers.collapse(["c", *(t for s in shared for t in (f"b{s}", s)), "d"])
+    assert len(a) * len(b) > 1_000_000
+    made = wrappers.align(a, b)
+    assert [token for token, optional, _ in made if not optional] == shared
+    assert len(made) == len(a) + len(b) - len(shared)

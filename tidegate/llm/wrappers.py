@@ -207,6 +207,55 @@ def numbered(tokens: list) -> tuple[list, list[list[int]]]:
     return items, places
 
 
+def _path(x: list, y: list):
+    """Steps ("both", "left", "right") along a longest common subsequence, for lists of any length.
+
+    Row i has a bit for every j where the subsequence of x[i:] and y[j:] is longer than that of x[i:] and
+    y[j + 1:]; a row follows from the one below by an addition of long integers. Every ``gap``-th row is kept,
+    the rows between two of them are made again when the path passes, so about 2 sqrt(len(x)) rows are held.
+    """
+    m = len(y)
+    name: dict[str, int] = {}
+    right = [name.setdefault(json.dumps(token), len(name)) for token in y]
+    places: dict[int, list[int]] = {}
+    for j, own in enumerate(right):  # bit m - 1 - j stands for j, so that carries run towards the start
+        places.setdefault(own, []).append(m - 1 - j)
+    often = {own: sum(1 << p for p in at) for own, at in places.items() if len(at) > 64}  # the others cost less made when met
+    codes = [name.get(json.dumps(token), -1) for token in x]
+    full, gap = (1 << m) - 1, int(len(x) ** 0.5) + 1
+
+    def above(row: int, code: int) -> int:
+        still = full ^ row
+        met = still & (often[code] if code in often else sum(1 << p for p in places.get(code, ())))
+        return full ^ (((still + met) | (still - met)) & full)
+    kept, row = {len(x): 0}, 0
+    for i in range(len(x) - 1, -1, -1):
+        row = above(row, codes[i])
+        if i % gap == 0:
+            kept[i] = row
+    i = j = 0
+    rows: dict[int, int] = {}
+    while i < len(x) and j < m:
+        if codes[i] == right[j]:
+            yield "both"
+            i, j = i + 1, j + 1
+            continue
+        if i not in rows or i + 1 not in rows:
+            low = i - i % gap
+            high = min(low + gap, len(x))
+            rows = {high: kept[high]}
+            for k in range(high - 1, low - 1, -1):
+                rows[k] = above(rows[k + 1], codes[k])
+        rest = (1 << (m - j)) - 1
+        if rows[i] >> (m - 1 - j) & 1 or (rows[i] & rest).bit_count() == (rows[i + 1] & rest).bit_count():
+            yield "left"
+            i += 1
+        else:
+            yield "right"
+            j += 1
+    yield from ["left"] * (len(x) - i) + ["right"] * (m - j)
+
+
 def align(a: list, b: list) -> list:
     """The wrapper of both: shared items in order, the others optional."""
     head = 0
@@ -219,25 +268,10 @@ def align(a: list, b: list) -> list:
     maybe = lambda x: [x[0], True, x[2]]
     out = [both(x, y) for x, y in zip(a[:head], b[:head])]
     x, y = a[head:len(a) - tail], b[head:len(b) - tail]
-    if len(x) * len(y) <= 1_000_000:
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(len(x) - 1, -1, -1):
-            for j in range(len(y) - 1, -1, -1):
-                best[i][j] = best[i + 1][j + 1] + 1 if x[i][0] == y[j][0] else max(best[i + 1][j], best[i][j + 1])
-        i = j = 0
-        while i < len(x) and j < len(y):
-            if x[i][0] == y[j][0]:
-                out.append(both(x[i], y[j]))
-                i, j = i + 1, j + 1
-            elif best[i + 1][j] >= best[i][j + 1]:
-                out.append(maybe(x[i]))
-                i += 1
-            else:
-                out.append(maybe(y[j]))
-                j += 1
-        out += [maybe(z) for z in (*x[i:], *y[j:])]
-    else:  # two long streams with nothing at their ends in common: one after the other, both optional
-        out += [maybe(z) for z in (*x, *y)]
+    i = j = 0
+    for step in _path([item[0] for item in x], [item[0] for item in y]):
+        out.append(both(x[i], y[j]) if step == "both" else maybe(x[i]) if step == "left" else maybe(y[j]))
+        i, j = i + (step != "right"), j + (step != "left")
     out += [both(x, y) for x, y in zip(a[len(a) - tail:], b[len(b) - tail:])]
     return _joined(out)
 
