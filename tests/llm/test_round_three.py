@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, brown, chat, embeddings, minhash, mixing, phrases, pii, variants, wrappers
+from tidegate.llm import bpe, brown, chat, cnn, embeddings, minhash, mixing, phrases, pii, variants, wrappers
 from tidegate.llm.quotient import QuotientFilter
 
 WORDS = ["colour", "color", "colours", "colouur", "collour", "harbour", "harbor", "harbours", "élevée", "élevés", "élever", "naïveté"]
@@ -232,3 +232,12 @@ def test_long_streams_align_like_short_ones():
     made = wrappers.align(a, b)
     assert [token for token, optional, _ in made if not optional] == shared
     assert len(made) == len(a) + len(b) - len(shared)
+
+
+def test_steps_of_the_classifier_read_few_parts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(cnn, "cut_lineage", lambda df: df.repartition(40))  # as many parts as a cluster's shuffle makes
+    monkeypatch.setattr(cnn, "_total", lambda rows, net: seen.append(rows.rdd.getNumPartitions()) or (0, {}))
+    docs = spark.range(60).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text")
+    cnn.fit(docs, spark.range(60).selectExpr("id AS doc_id", "id % 2 AS quality"), steps=2)
+    assert seen and max(seen) <= cnn.PARTS

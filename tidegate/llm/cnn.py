@@ -184,7 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     sample = bounded_sample(known, key, rows)
     texts = docs.select(F.col(key), F.col(text).cast("binary").alias("text")).join(F.broadcast(sample), key) \
         .select(F.xxhash64(F.col(key), "text").alias("k"), F.col("__label").alias("label"), "text")
-    held = cut_lineage(texts.repartition(PARTS, "k").sortWithinPartitions("k", "label"))
+    # However many parts the shuffle made, a step reads PARTS of them: it costs a task each.
+    held = cut_lineage(texts.repartition(PARTS, "k").sortWithinPartitions("k", "label")).coalesce(PARTS)
     n, ones = held.agg(F.count("*"), F.coalesce(F.avg("label"), F.lit(1.0))).first()
     groups = -(-n // BATCH)
 
