@@ -7,6 +7,7 @@ import pytest
 
 from tidegate.graph import components as C, queues as Q, replay, store as S, traverse as T
 from tidegate.plans.rules import Rule
+from tidegate.session import cut_lineage
 
 SCHEMA = ("advance_id string, user_id string, feature_as_of_ts timestamp_ntz, device_id string, bank_account_key string, "
           "loan_amount double, is_fraud int, label_gross_dpd45 int, label_mature_d45 int, expected_dpd45_date timestamp_ntz")
@@ -200,3 +201,16 @@ def test_direct_seeds_of_advances_with_many_entities(spark):
     for hub_seeds in (0, 8, 100):
         got = replay.leakfree_features(df, S.build_edges(df), degree_cap=None, hub_seeds=hub_seeds)
         assert {r.advance_id: r.nb_d1 for r in got.collect()} == want
+
+
+def test_large_frames_are_not_checkpointed_as_text(spark, monkeypatch):
+    kinds = []
+    monkeypatch.setattr(C, "cut_lineage", lambda df: kinds.extend(k for _, k in df.dtypes) or cut_lineage(df))
+    rows = spark.createDataFrame([(1, "device", "x"), (1, "device", "x"), (2, "device", "x"), (3, "bank", "y")],
+                                 "user_id long, entity_type string, entity_value string")  # rows may repeat
+    users = spark.range(1, 5).withColumnRenamed("id", "user_id")
+    for rest in (C.REST, 0):  # finished by one task, and in rounds only
+        monkeypatch.setattr(C, "REST", rest)
+        got = {r.vertex: r.comp_id for r in C.vertex_components(rows, users).collect()}
+        assert got == {"user:1": "device:x", "user:2": "device:x", "device:x": "device:x", "user:3": "bank:y", "bank:y": "bank:y", "user:4": "user:4"}
+    assert set(kinds) <= {"bigint"}
