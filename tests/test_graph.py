@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from tidegate.graph import components as C, queues as Q, replay, store as S, traverse as T
+from tidegate.graph.store import user_pairs
 from tidegate.plans.rules import Rule
 from tidegate.session import cut_lineage
 
@@ -214,3 +215,12 @@ def test_large_frames_are_not_checkpointed_as_text(spark, monkeypatch):
         got = {r.vertex: r.comp_id for r in C.vertex_components(rows, users).collect()}
         assert got == {"user:1": "device:x", "user:2": "device:x", "device:x": "device:x", "user:3": "bank:y", "bank:y": "bank:y", "user:4": "user:4"}
     assert set(kinds) <= {"bigint"}
+
+
+def test_neighbours_of_several_flags_read_one_set_of_pairs(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(T, "user_pairs", lambda edges: made.append(1) or user_pairs(edges))
+    rows = spark.createDataFrame([(1, "device", "x"), (2, "device", "x"), (2, "bank", "y"), (3, "bank", "y")], "user_id long, entity_type string, entity_value string")
+    flags = spark.createDataFrame([(1, 1, False), (2, 0, False), (3, 0, False)], "user_id long, is_fraud int, scenario_any boolean")
+    got = {(r.user_id, r.hops_to_is_fraud, r.hops_to_scenario_any) for r in Q.bad_neighbours(rows, flags).collect()}
+    assert got == {("2", 1, None), ("3", 2, None)} and len(made) == 1

@@ -7,18 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, ENTITY_COLUMNS, TS, check_layers, user_pairs, view
-from tidegate.session import cut_lineage
+from tidegate.session import cut_lineage, stored
 
 BLOCK_USERS = 1000  # users of an entity that meet under one key
 
 
-def reach(edges: DataFrame, seeds: DataFrame, max_hops: int) -> DataFrame:
-    """Users within ``max_hops`` user-hops of the seeds: (user_id, hops, nearest).
+def incidences(edges: DataFrame) -> DataFrame:
+    """Distinct (user, entity) pairs of edges, whose rows may repeat, written once for several traversals."""
+    return stored(user_pairs(edges).select("user_id", "entity"), "pairs")
+
+
+def reach(edges: DataFrame, seeds: DataFrame, max_hops: int, *, pairs: DataFrame | None = None) -> DataFrame:
+    """Users within ``max_hops`` user-hops of the seeds: (user_id, hops, nearest); ``pairs`` are the edges' ``incidences``.
 
     One frontier step is users -> entities -> users. An entity expands once, so
     the total work is linear in the edges. Ties go to the smallest seed id.
     """
-    pairs = cut_lineage(user_pairs(edges).select("user_id", "entity"))
+    pairs = incidences(edges) if pairs is None else pairs
     frontier = seeds.selectExpr("CAST(user_id AS STRING) AS user_id").distinct().selectExpr(
         "user_id", "0 AS hops", "user_id AS nearest")
     seen = cut_lineage(frontier)
@@ -28,7 +33,7 @@ def reach(edges: DataFrame, seeds: DataFrame, max_hops: int) -> DataFrame:
             F.min("nearest").alias("nearest"))
         if opened is not None:
             touched = touched.join(opened, "entity", "left_anti")
-        touched = cut_lineage(touched)
+        touched = stored(touched, "touched")
         frontier = cut_lineage(
             pairs.join(touched, "entity").groupBy("user_id").agg(F.min("nearest").alias("nearest"))
             .join(seen.select("user_id"), "user_id", "left_anti").selectExpr("user_id", f"{hop} AS hops", "nearest"))
@@ -37,9 +42,9 @@ def reach(edges: DataFrame, seeds: DataFrame, max_hops: int) -> DataFrame:
     return seen
 
 
-def near_flagged(edges: DataFrame, flagged: DataFrame, max_hops: int = 3) -> DataFrame:
+def near_flagged(edges: DataFrame, flagged: DataFrame, max_hops: int = 3, *, pairs: DataFrame | None = None) -> DataFrame:
     """Unflagged users near a flagged one, with the hop count and the nearest flagged user."""
-    return reach(edges, flagged, max_hops).filter("hops >= 1").selectExpr(
+    return reach(edges, flagged, max_hops, pairs=pairs).filter("hops >= 1").selectExpr(
         "user_id", "hops", "nearest AS nearest_flagged")
 
 
