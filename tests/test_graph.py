@@ -224,3 +224,11 @@ def test_neighbours_of_several_flags_read_one_set_of_pairs(spark, monkeypatch):
     flags = spark.createDataFrame([(1, 1, False), (2, 0, False), (3, 0, False)], "user_id long, is_fraud int, scenario_any boolean")
     got = {(r.user_id, r.hops_to_is_fraud, r.hops_to_scenario_any) for r in Q.bad_neighbours(rows, flags).collect()}
     assert got == {("2", 1, None), ("3", 2, None)} and len(made) == 1
+
+
+def test_replay_rows_are_not_checkpointed(spark, monkeypatch):
+    seen = set()
+    monkeypatch.setattr(replay, "cut_lineage", lambda df: seen.update(df.columns) or cut_lineage(df))
+    adv = spark.createDataFrame(WORLD, SCHEMA)
+    assert replay.leakfree_features(adv, S.build_edges(adv), degree_cap=None).count() == len({r[0] for r in WORLD})
+    assert seen and not seen & {"bit", "was_seeded"}  # units to halve are listed, not copied

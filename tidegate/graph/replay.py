@@ -70,20 +70,20 @@ def leakfree_features(
     """
     capped = view(edges, layers=layers, degree_cap=degree_cap)
     bit = "CASE entity_type " + " ".join(f"WHEN '{t}' THEN {1 << i}" for i, t in enumerate(ENTITY_COLUMNS)) + " END"
-    touched = cut_lineage(capped.selectExpr(
+    touched = stored(capped.selectExpr(
         "CAST(advance_id AS STRING) AS advance_id", "concat(entity_type, ':', entity_value) AS ent_v",
-        f"CAST({bit} AS INT) AS bit").distinct())
+        f"CAST({bit} AS INT) AS bit").distinct(), "touched")
     events = _ordered_events(advances, seed_label, seed_activation)
     firsts = events.groupBy("user_id").agg(
         F.min("o").alias("first_o"), F.min(F.expr("IF(kind = 1, o, NULL)")).alias("seed_o"))
     # "first" and "seeded" marks per event; reads carry what their own user had done.
-    marked = cut_lineage(events.join(firsts, "user_id").selectExpr(
+    marked = stored(events.join(firsts, "user_id").selectExpr(
         "o", "kind = 0 AS is_read", "advance_id", "concat('user:', user_id) AS user_v", "user_id", "ts",
         "kind = 0 OR o = first_o AS adds", "IF(o = first_o, 1L, 0L) AS du", "IF(o = seed_o, 1L, 0L) AS ds",
-        "o > first_o AS was_present", "coalesce(o > seed_o, false) AS was_seeded"))
+        "o > first_o AS was_present", "coalesce(o > seed_o, false) AS was_seeded"), "marked")
     rows = marked.join(touched, "advance_id", "left").selectExpr(
         "'' AS unit", *[c for c in _COLUMNS if c != "unit"])
-    counted = _replay_units(cut_lineage(_into_units(cut_lineage(rows))), unit_rows)
+    counted = _replay_units(stored(_into_units(stored(rows, "replay")), "replay"), unit_rows)
     direct = _direct_seeds(marked, touched, hub_seeds)
     reads = marked.filter("is_read").select("advance_id", "user_id", "ts", "was_present", "was_seeded")
     return reads.join(counted, "advance_id", "left").join(direct, "advance_id", "left").selectExpr(
