@@ -232,3 +232,15 @@ def test_replay_rows_are_not_checkpointed(spark, monkeypatch):
     adv = spark.createDataFrame(WORLD, SCHEMA)
     assert replay.leakfree_features(adv, S.build_edges(adv), degree_cap=None).count() == len({r[0] for r in WORLD})
     assert seen and not seen & {"bit", "was_seeded"}  # units to halve are listed, not copied
+
+
+def test_entities_and_counts_from_repeated_rows(spark):
+    """Nulls are no user and no advance, as in count(DISTINCT); counts need no ready edges."""
+    at = [datetime(2026, 1, 1 + i) for i in range(4)]
+    rows = [("a1", "u1", "device", "x", at[0]), ("a1", "u1", "device", "x", at[0]), ("a2", "u1", "device", "x", at[1]), ("a2", "u2", "bank", "x", at[1]),
+            ("a2", "u3", "bank", "x", at[2]), (None, "u3", "bank", "x", at[3]), ("a3", None, "bank", "y", at[3]), ("a3", "u1", "bank", "y", at[3])]
+    edges = spark.createDataFrame(rows, "advance_id string, user_id string, entity_type string, entity_value string, ts timestamp_ntz")
+    got = {(r.entity_type, r.entity_value): tuple(r)[2:] for r in S.build_entities(edges).collect()}
+    assert got == {("device", "x"): (1, 2, at[0], at[1]), ("bank", "x"): (2, 1, at[1], at[3]), ("bank", "y"): (1, 1, at[3], at[3])}
+    adv = spark.createDataFrame(WORLD, SCHEMA)
+    assert {tuple(r) for r in S.build_counts(adv).collect()} == {tuple(r) for r in S.build_counts(adv, S.build_edges(adv)).collect()}
