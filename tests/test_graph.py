@@ -234,6 +234,18 @@ def test_replay_rows_are_not_checkpointed(spark, monkeypatch):
     assert seen and not seen & {"bit", "was_seeded"}  # units to halve are listed, not copied
 
 
+def test_projection_starts_from_entities_of_several_users(spark, monkeypatch):
+    """Rows may repeat; entities of one user, however many rows they have, are not written or made distinct."""
+    kept = []
+    monkeypatch.setattr(T, "stored", lambda df, name: kept.append((name, df.count())) or df, raising=False)
+    rows = [("device", "x", 1), ("device", "x", 2), ("device", "x", 2), ("bank", "y", 1), ("bank", "y", 1), ("bank", "z", 3), ("bank", "x", None), ("bank", "x", 4)]
+    edges = spark.createDataFrame(rows, "entity_type string, entity_value string, user_id long")
+    for cap in (None, 2):
+        assert [tuple(r) for r in T.project_users(edges, degree_cap=cap).collect()] == [(1, 2, 1, 1)]
+    assert T.project_users(edges, degree_cap=1).count() == 0
+    assert kept == [("met", 2)] * 3
+
+
 def test_entities_and_counts_from_repeated_rows(spark):
     """Nulls are no user and no advance, as in count(DISTINCT); counts need no ready edges."""
     at = [datetime(2026, 1, 1 + i) for i in range(4)]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, ENTITY_COLUMNS, TS, check_layers, user_pairs, view
+from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, ENTITY_COLUMNS, TS, check_layers, entities_of_several, user_pairs, view
 from tidegate.session import cut_lineage, stored
 
 BLOCK_USERS = 1000  # users of an entity that meet under one key
@@ -69,9 +69,12 @@ def project_users(edges: DataFrame, *, degree_cap: int | None, layers: Sequence[
     Without a cap the result holds every pair of a hub. The users of an entity
     above ``block_users`` are dealt to blocks, and every two blocks meet under a
     key of their own, so a key never emits more than ``block_users`` squared pairs
-    (about: blocks are dealt by hash) however large its entity is.
+    (about: blocks are dealt by hash) however large its entity is. Edges may repeat.
     """
-    pairs = view(edges, layers=layers, degree_cap=degree_cap, as_of=as_of).select("user_id", *ENTITY).distinct()
+    # An entity of one user makes no pair, and most are: only the others take part, and are made distinct.
+    rows = view(edges, layers=layers, as_of=as_of).select("user_id", *ENTITY).filter("user_id IS NOT NULL")
+    met = stored(rows.join(entities_of_several(rows, "user_id"), list(ENTITY), "left_semi").distinct(), "met")
+    pairs = view(met, layers=layers, degree_cap=degree_cap)
     hubs = pairs.groupBy(*ENTITY).agg(F.count("*").alias("n")).filter(F.col("n") > block_users) \
         .select(*ENTITY, F.ceil(F.col("n") / block_users).cast("int").alias("blocks"))
     dealt = pairs.join(hubs, list(ENTITY), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
