@@ -256,3 +256,11 @@ def test_entities_and_counts_from_repeated_rows(spark):
     assert got == {("device", "x"): (1, 2, at[0], at[1]), ("bank", "x"): (2, 1, at[1], at[3]), ("bank", "y"): (1, 1, at[3], at[3])}
     adv = spark.createDataFrame(WORLD, SCHEMA)
     assert {tuple(r) for r in S.build_counts(adv).collect()} == {tuple(r) for r in S.build_counts(adv, S.build_edges(adv)).collect()}
+
+
+def test_ring_leaves_the_graph_as_it_is(world, monkeypatch):
+    """Only what the ring reaches is made distinct and written, not the incidences of the whole graph."""
+    def whole(edges):
+        raise AssertionError("incidences of the whole graph")
+    monkeypatch.setattr(T, "user_pairs", whole)
+    assert {r.entity_value for r in T.ring(world.edges, "u1", 2).collect()} == {"d1", "b1"}

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.graph.store import DEFAULT_LAYERS, ENTITY, ENTITY_COLUMNS, TS, check_layers, entities_of_several, user_pairs, view
-from tidegate.session import cut_lineage, stored
+from tidegate.session import stored
 
 BLOCK_USERS = 1000  # users of an entity that meet under one key
 
@@ -21,12 +21,13 @@ def reach(edges: DataFrame, seeds: DataFrame, max_hops: int, *, pairs: DataFrame
     """Users within ``max_hops`` user-hops of the seeds: (user_id, hops, nearest); ``pairs`` are the edges' ``incidences``.
 
     One frontier step is users -> entities -> users. An entity expands once, so
-    the total work is linear in the edges. Ties go to the smallest seed id.
+    the total work is linear in the edges. Ties go to the smallest seed id. Frontiers
+    are written as tables, whose size Spark knows: a small one is broadcast and moves no pairs.
     """
     pairs = incidences(edges) if pairs is None else pairs
     frontier = seeds.selectExpr("CAST(user_id AS STRING) AS user_id").distinct().selectExpr(
         "user_id", "0 AS hops", "user_id AS nearest")
-    seen = cut_lineage(frontier)
+    seen = stored(frontier, "frontier")
     frontier, opened = seen, None
     for hop in range(1, max_hops + 1):
         touched = pairs.join(frontier.select("user_id", "nearest"), "user_id").groupBy("entity").agg(
@@ -34,9 +35,9 @@ def reach(edges: DataFrame, seeds: DataFrame, max_hops: int, *, pairs: DataFrame
         if opened is not None:
             touched = touched.join(opened, "entity", "left_anti")
         touched = stored(touched, "touched")
-        frontier = cut_lineage(
+        frontier = stored(
             pairs.join(touched, "entity").groupBy("user_id").agg(F.min("nearest").alias("nearest"))
-            .join(seen.select("user_id"), "user_id", "left_anti").selectExpr("user_id", f"{hop} AS hops", "nearest"))
+            .join(seen.select("user_id"), "user_id", "left_anti").selectExpr("user_id", f"{hop} AS hops", "nearest"), "frontier")
         opened = touched.select("entity") if opened is None else opened.unionByName(touched.select("entity"))
         seen = seen.unionByName(frontier)
     return seen
@@ -55,10 +56,11 @@ def ring(edges: DataFrame, user_id: str, hops: int = 2) -> DataFrame:
     its entity touches a user one hop closer (or the same entity was opened).
     """
     center = edges.filter(F.col("user_id").cast("string") == str(user_id)).select("user_id").distinct()
-    around = reach(edges, center, hops)
+    # A ring is small beside its graph: the graph's incidences stay as they are instead of being made distinct and written.
+    around = reach(edges, center, hops, pairs=edges.selectExpr("CAST(user_id AS STRING) AS user_id", "concat(entity_type, ':', entity_value) AS entity"))
     inner = around.filter(F.col("hops") < hops).select("user_id")
-    entities = edges.join(inner.withColumn("user_id", F.col("user_id").cast(dict(edges.dtypes)["user_id"])),
-                          "user_id", "left_semi").select(*ENTITY).distinct()
+    entities = stored(edges.join(inner.withColumn("user_id", F.col("user_id").cast(dict(edges.dtypes)["user_id"])),
+                                 "user_id", "left_semi").select(*ENTITY).distinct(), "entities")
     return edges.join(entities, list(ENTITY), "left_semi")
 
 
