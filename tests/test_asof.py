@@ -111,3 +111,14 @@ def test_hour_boundaries_count_crossings(spark):
                     f"{clock.wall_micros('a')} AS m, {clock.micros_to_wall(clock.wall_micros('a'))} = a AS same FROM "
                     "(SELECT timestamp_ntz'1969-12-31 23:50:00.000001' AS a, timestamp_ntz'1970-01-01 00:10:00' AS b)").first()
     assert (row.h, row.d, row.m, row.same) == (1, 1, -599_999_999, True)
+
+
+def test_fold_shuffles_rows_once_as_they_are(spark):
+    """No aggregate keyed by position stands before the shuffle; repeated changes and reads of one position give one row."""
+    from tidegate.operators.prefix import Fold, fold_until
+    changes = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("a", 11, 4), ("a", 12, 8), ("b", 1, 16)], "k string, __pos long, n long")
+    reads = spark.createDataFrame([("a", 1), ("a", 1), ("a", 11), ("a", 25), ("b", 0)], "k string, __pos long")
+    out = fold_until(changes, reads, ["k"], [Fold("n")], width=10)
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 1, 3), ("a", 11, 7), ("a", 25, 15), ("b", 0, 0)]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert not any("HashAggregate(keys=[k#" in line and "__pos#" in line.split("functions=")[0] for line in plan.splitlines())

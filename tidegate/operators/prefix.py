@@ -5,8 +5,7 @@ position". A window over the key alone would send one hot key to one task, and
 a range join would emit every pair inside it. Here the axis is cut into
 buckets:
 
-1. changes and read points collapse to one row per (key, position) - partial
-   aggregation runs before the shuffle;
+1. changes and read points are dealt by (key, bucket) as they are;
 2. one small row per (key, bucket) is folded along the key (the carry);
 3. positions are folded inside each (key, bucket), which is the unit of work of
    a task, and the carry of the earlier buckets is added.
@@ -87,22 +86,25 @@ def fold_until(
     group = ", ".join([*keys, BUCKET])
     both = changes.selectExpr(*keys, POS, *[f.name for f in folds], f"0 AS {READ}").unionByName(
         reads.selectExpr(*keys, POS, f"1 AS {READ}"), allowMissingColumns=True)
-    aggs = [f"{f.aggregate} AS {f.name}" for f in folds]
     present = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, BUCKET])
-    # The carry and the local fold read the same shuffles: both keep every column
-    # and no branch-specific null filter, so Spark plans those exchanges once.
-    points = _grouped(both.selectExpr("*", f"{bucket} AS {BUCKET}").filter(present), [*keys, BUCKET, POS],
-                      [*aggs, f"max({READ}) AS {READ}"]).repartition(*keys, BUCKET)
+    # One shuffle of the rows as they are: positions are nearly distinct, so aggregating them before it
+    # would only hold a scan's whole split in memory. The carry and the local fold read this same shuffle:
+    # both keep every column and no branch-specific null filter, so Spark plans it once.
+    points = both.selectExpr("*", f"{bucket} AS {BUCKET}").filter(present).repartition(*keys, BUCKET)
+    aggs = [f"{f.aggregate} AS {f.name}" for f in folds]
     along = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {BUCKET} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     carry = (
         _grouped(points, [*keys, BUCKET], [*aggs, f"max({READ}) AS {READ}", f"max({POS}) AS __last"])
         .selectExpr(*keys, BUCKET, READ, "__last", *[f"{f.aggregate} {along} AS __carry_{f.name}" for f in folds])
         .filter(f"{READ} = 1 AND __last IS NOT NULL").drop(READ, "__last")
     )
-    inside = f"OVER (PARTITION BY {group} ORDER BY {POS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    # Rows of one position are peers: each sees the changes of all, and the first of its reads stands for them.
+    ordered = f"OVER (PARTITION BY {group} ORDER BY {POS}"
     local = points.selectExpr(
-        *keys, BUCKET, POS, READ, *[f"{f.aggregate} {inside} AS {f.name}" for f in folds],
-    ).filter(f"{READ} = 1")
+        *keys, BUCKET, POS, READ,
+        *[f"{f.aggregate} {ordered} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {f.name}" for f in folds],
+    ).filter(f"{READ} = 1").selectExpr("*", f"lag({POS}) {ordered}) AS __earlier").filter(
+        f"__earlier IS NULL OR __earlier <> {POS}").drop("__earlier")
     return local.join(carry, [*keys, BUCKET], "inner").selectExpr(
         *keys, POS, *[f"{f.combine('__carry_' + f.name, f.name)} AS {f.name}" for f in folds])
 
