@@ -122,3 +122,15 @@ def test_fold_shuffles_rows_once_as_they_are(spark):
     assert sorted(tuple(r) for r in out.collect()) == [("a", 1, 3), ("a", 11, 7), ("a", 25, 15), ("b", 0, 0)]
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert not any("HashAggregate(keys=[k#" in line and "__pos#" in line.split("functions=")[0] for line in plan.splitlines())
+
+
+def test_uncovered_time_keeps_spans_as_they_are(spark):
+    from tidegate.operators.spans import uncovered_time
+    at = lambda s: datetime(2026, 1, 1) + timedelta(seconds=s)
+    spans = [("a", 0, 5), ("a", 0, 7), ("a", 2, 6), ("a", 7, 8), ("a", 20, 90), ("a", 20, 21), ("a", 9, 9), ("c", -5, 1)]
+    spans = spark.createDataFrame([(k, at(s), at(e)) for k, s, e in spans], "k string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    bounds = spark.createDataFrame([("a", at(0), at(30)), ("b", at(0), at(4)), ("c", at(0), at(2))], "k string, first_ts timestamp_ntz, last_ts timestamp_ntz")
+    out = uncovered_time(spans, bounds, "k")
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 30.0, 12.0), ("b", 4.0, 4.0), ("c", 2.0, 1.0)]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert not any("HashAggregate(keys=[k#" in line and "__pos#" in line.split("functions=")[0] for line in plan.splitlines())

@@ -76,17 +76,17 @@ def uncovered_time(spans: DataFrame, bounds: DataFrame, key: str, *, width: int
     """Seconds between the key's first and last event that no span covers.
 
     ``spans(key, start_ts, end_ts)``; ``bounds(key, first_ts, last_ts)``. New
-    cover of a span is what lies beyond the furthest end of all earlier starts,
-    an as-of maximum.
+    cover at a start is what its spans add beyond the furthest end of all
+    earlier starts: the as-of maximum with and without the start itself.
     """
     m = clock.wall_micros
     clipped = spans.join(bounds, key).selectExpr(
         key, f"greatest({m('start_ts')}, {m('first_ts')}) AS {POS}", f"least({m('end_ts')}, {m('last_ts')}) AS __end",
-    ).filter(f"__end > {POS}").groupBy(key, POS).agg(F.max("__end").alias("__end"))
-    earlier = fold_until(clipped.selectExpr(key, f"{POS} + 1 AS {POS}", "__end"), clipped.select(key, POS), [key],
-                         [Fold("__end", "max")], width=width).withColumnRenamed("__end", "__far")
-    covered = clipped.join(earlier, [key, POS]).groupBy(key).agg(
-        F.expr(f"sum(greatest(0L, __end - greatest({POS}, coalesce(__far, {POS}))))").alias("__covered"))
+    ).filter(f"__end > {POS}")
+    changes = clipped.selectExpr(key, f"stack(2, {POS}, __end, CAST(NULL AS BIGINT), {POS} + 1, NULL, __end) AS ({POS}, __upto, __far)")
+    ends = fold_until(changes, clipped.select(key, POS), [key], [Fold("__upto", "max"), Fold("__far", "max")], width=width)
+    covered = ends.groupBy(key).agg(
+        F.expr(f"sum(greatest(0L, __upto - greatest({POS}, coalesce(__far, {POS}))))").alias("__covered"))
     return bounds.join(covered, key, "left").selectExpr(
         key, f"({m('last_ts')} - {m('first_ts')}) / 1e6D AS total_s",
         f"greatest(0L, {m('last_ts')} - {m('first_ts')} - coalesce(__covered, 0L)) / 1e6D AS unattributed_s")
