@@ -264,3 +264,27 @@ def test_ring_leaves_the_graph_as_it_is(world, monkeypatch):
         raise AssertionError("incidences of the whole graph")
     monkeypatch.setattr(T, "user_pairs", whole)
     assert {r.entity_value for r in T.ring(world.edges, "u1", 2).collect()} == {"d1", "b1"}
+
+
+def test_user_census_equals_the_census_of_all_vertices(spark, monkeypatch):
+    """Rows may repeat, by one user or by several; only entities of more than one row are met."""
+    rng = random.Random(3)
+    rows = [(rng.randrange(60), kind, f"{kind}{rng.randrange(size)}") for kind, size in (("device", 40), ("bank", 300), ("ip", 9)) for _ in range(45)]
+    rows = [r for r in rows if r[1] != "ip" or r[0] < 4] + rows[:30] + [(70, "phone", "own"), (70, "phone", "own"), (71, "phone", "alone")]
+    edges = spark.createDataFrame(rows, "user_id long, entity_type string, entity_value string")
+    flags = spark.createDataFrame([(u, u % 3) for u in range(0, 75, 2)], "user_id long, is_fraud int").selectExpr("user_id", "IF(is_fraud = 1, 1, 0) AS is_fraud")
+    users = spark.range(75).withColumnRenamed("id", "user_id")
+    linked = []
+    contract = C.contract
+    monkeypatch.setattr(C, "contract", lambda links: linked.append(links.count()) or contract(links))
+    nobody = edges.filter("false")
+    for some in (edges, nobody):
+        members, rings = C.user_census(some, users, flags, "is_fraud")
+        whole = C.vertex_components(some, users)
+        want = C.census(whole, flags, "is_fraud")
+        assert rings.columns == want.columns and rings.dtypes == want.dtypes
+        assert sorted(map(tuple, rings.collect())) == sorted(map(tuple, want.collect()))
+        assert sorted(map(tuple, members.select("vertex", "kind", "comp_id").collect())) == sorted(
+            map(tuple, whole.filter("kind = 'user'").select("vertex", "kind", "comp_id").collect()))
+    seen = [r[1:] for r in rows]
+    assert linked[0] == sum(seen.count(e) > 1 for e in seen)
