@@ -288,3 +288,19 @@ def test_user_census_equals_the_census_of_all_vertices(spark, monkeypatch):
             map(tuple, whole.filter("kind = 'user'").select("vertex", "kind", "comp_id").collect()))
     seen = [r[1:] for r in rows]
     assert linked[0] == sum(seen.count(e) > 1 for e in seen)
+
+
+def test_component_queries_link_only_entities_that_meet(spark, monkeypatch):
+    """The bulk of the entities has one row: it is counted, not linked."""
+    from tidegate import catalog
+    from tidegate.catalog import graphs
+    sf = "/root/testdata/sf0.001"
+    rows = graphs.rows(spark, sf)
+    several = rows.groupBy("entity_type", "entity_value").count().filter("count > 1").agg({"count": "sum"}).first()[0] or 0
+    linked = []
+    contract = C.contract
+    monkeypatch.setattr(C, "contract", lambda links: linked.append(links.count()) or contract(links))
+    for name in ("h9_component_census", "h13_residual_ring_members"):
+        catalog.queries()[name](spark, sf).count()
+        spark.catalog.clearCache()
+    assert linked == [several] * 2 and several < rows.count() / 10
