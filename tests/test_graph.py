@@ -8,7 +8,7 @@ import pytest
 from tidegate.graph import components as C, queues as Q, replay, store as S, traverse as T
 from tidegate.graph.store import user_pairs
 from tidegate.plans.rules import Rule
-from tidegate.session import cut_lineage
+from tidegate.session import cut_lineage, stored
 
 SCHEMA = ("advance_id string, user_id string, feature_as_of_ts timestamp_ntz, device_id string, bank_account_key string, "
           "loan_amount double, is_fraud int, label_gross_dpd45 int, label_mature_d45 int, expected_dpd45_date timestamp_ntz")
@@ -304,3 +304,20 @@ def test_component_queries_link_only_entities_that_meet(spark, monkeypatch):
         catalog.queries()[name](spark, sf).count()
         spark.catalog.clearCache()
     assert linked == [several] * 2 and several < rows.count() / 10
+
+
+def test_replay_rows_are_events_and_the_entities_that_link(spark, monkeypatch):
+    """An entity of one user is a type of its event, not a row; an advance of several users acts for the first of them."""
+    made = []
+    monkeypatch.setattr(replay, "stored", lambda df, name: made.append((name, df.count())) or stored(df, name))
+    rows = [row("a1", "u1", "2026-01-01T10:00", "d1", "b1"), row("a2", "u2", "2026-01-02T10:00", "d1", "b2"), row("a2", "u2", "2026-01-02T10:00", "d1", "b2"),
+            row("a3", "u3", "2026-01-03T10:00", "d3"), row("a4", "u3", "2026-01-04T10:00", "d3", "b3"), row("a5", "u4", "2026-01-05T10:00", "d5")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.advance_id: (r.comp_users, r.comp_types) for r in replay.leakfree_features(df, S.edge_rows(df), degree_cap=20).collect()}
+    assert got == {"a1": (1, 2), "a2": (2, 2), "a3": (1, 1), "a4": (1, 2), "a5": (1, 1)}
+    assert [n for name, n in made if name == "replay"] == [5 + 2]
+    mixed = spark.createDataFrame([row("a1", "u1", "2026-01-01T10:00", fraud=1), row("a1", "u2", "2026-01-01T10:00", "d1", fraud=1),
+                                   row("a2", "u2", "2026-01-20T10:00", "d1"), row("a3", None, "2026-01-21T10:00", "d1")], SCHEMA)
+    for cap, want in ((None, (2, 1, 1, 1)), (2, (2, 1, 1, 1)), (1, (1, 0, 0, 0)), (0, (1, 0, 0, 0))):  # d1 counts u2 and a missing user
+        out = {r.advance_id: tuple(r)[3:] for r in replay.leakfree_features(mixed, S.edge_rows(mixed), degree_cap=cap).collect()}
+        assert out["a2"] == want and set(out) == {"a1", "a2"}
